@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, simhash, storage, wavelet
+from . import bottomk, chunk_bpe, decontaminate, simhash, storage, warc, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +23,22 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
+def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(_table(spark, sf_dir, "pages"), storage.workspace(spark, "warc"))
+    return warc.read_archives(manifest)
+
+
+def op7_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.encode_documents(_table(spark, sf_dir, "documents"), digests_only=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op8_chunk_bpe)}
+QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe)}
 ORACLE_SQL: dict[str, str] = {}
