@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, chunk_bpe, decontaminate, simhash, storage, warc, wavelet
+from . import bottomk, chunk_bpe, decontaminate, secret_crf, simhash, storage, toxicity, warc, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_mil_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.edited_likeness(_table(spark, sf_dir, "documents"))
 
@@ -40,5 +45,10 @@ def op8_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.encode_documents(_table(spark, sf_dir, "documents"), digests_only=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe)}
+def op10_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return secret_crf.scan(docs, secret_crf.fit(docs))
+
+
+QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op3_mil_toxicity, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe, op10_crf_secrets)}
 ORACLE_SQL: dict[str, str] = {}
