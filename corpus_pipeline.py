@@ -1,3 +1,60 @@
-STAGES = []
-ORACLE_SQL = None
-def run(spark, sf_dir): ...
+"""Documents to training text in five stages: every stage reads all that the one before kept.
+
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame. ``run`` writes each stage's rows as
+Parquet in the shared folder and reads them again for the next. All but the last return the columns of ``documents``; the last returns
+the encoding of every document that is left."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lumenmill.llm import chunk_bpe, decontaminate, secret_crf, simhash, storage, toxicity
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose noisy-or of sentence scores reaches a half go."""
+    storage.workers_find_package(spark)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.keep(docs.select(*COLUMNS), model)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the smallest id; of rows with one id and equal texts, one."""
+    storage.workers_find_package(spark)
+    groups = simhash.near_duplicates(docs)
+    gone = groups.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark passage by the contamination rule go."""
+    storage.workers_find_package(spark)
+    return decontaminate.keep_clean(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced in its text; all documents stay."""
+    storage.workers_find_package(spark)
+    field = secret_crf.fit(docs)
+    return secret_crf.redact(docs.select(*COLUMNS), field).withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and digests of ids and decoded text."""
+    storage.workers_find_package(spark)
+    return chunk_bpe.encode_documents(docs, digests_only=True)
+
+
+STAGES = [("toxicity", toxic_filter), ("near_dedup", near_dedup), ("decontamination", decontamination), ("secrets", secret_redaction), ("bpe", encoding)]
+ORACLE_SQL = None  # learned models, XXH64 bits and merges are beyond SQL; tests hold the stages against plain Python
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = storage.workspace(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = storage.staged(stage(spark, docs, sf_dir), f"{folder}/{name}")
+    return docs

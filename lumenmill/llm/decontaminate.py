@@ -142,6 +142,35 @@ def pack_tests(tests: DataFrame, folder: str, window: int, block_words: int, id_
     return [r[0] for r in storage.staged(tests.repartition(blocks).mapInArrow(pack, "path string"), f"{folder}/tests").collect()]
 
 
+def judge(texts: list[bytes | None], blocks: list[str]) -> tuple[np.ndarray, np.ndarray, dict[int, set], list[int]]:
+    """Of every text of a shard: words, hit words; items by text; the longest match from a hit."""
+    words: list[bytes] = []
+    starts = [0]
+    for t in texts:
+        words += words_of(t)
+        starts.append(len(words))
+    begin = np.array(starts[:-1])
+    ends = np.repeat(np.array(starts[1:]), np.diff(starts))
+    edge = np.zeros(len(words) + 1, np.int64)
+    items: dict[int, set] = {}
+    longest = [0] * len(texts)
+    for uri in blocks:
+        found, matches = load_block(uri).search(words, ends)
+        for at, size, names in found:
+            edge[at] += 1
+            edge[at + size] -= 1
+            items.setdefault(int(np.searchsorted(begin, at, "right")) - 1, set()).update(names)
+        for at, size in matches:
+            d = int(np.searchsorted(begin, at, "right")) - 1
+            longest[d] = max(longest[d], size)
+    hit = np.concatenate([[0], np.cumsum(np.cumsum(edge[:-1]) > 0)])
+    return np.diff(starts), hit[starts[1:]] - hit[starts[:-1]], items, longest
+
+
+def affected(n_words: np.ndarray, n_hit: np.ndarray, min_share: int) -> np.ndarray:
+    return (n_hit > 0) & (min_share * n_hit >= n_words)
+
+
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long"
 
 
@@ -152,33 +181,24 @@ def contamination(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", tex
 
     def run(batches):
         for b in batches:
-            texts = b.column(1).to_pylist()
-            words: list[bytes] = []
-            starts = [0]
-            for t in texts:
-                words += words_of(t)
-                starts.append(len(words))
-            begin = np.array(starts[:-1])
-            ends = np.repeat(np.array(starts[1:]), np.diff(starts))
-            edge = np.zeros(len(words) + 1, np.int64)
-            items: dict[int, set] = {}
-            longest = [0] * len(texts)
-            for uri in blocks:
-                found, matches = load_block(uri).search(words, ends)
-                for at, size, names in found:
-                    edge[at] += 1
-                    edge[at + size] -= 1
-                    items.setdefault(int(np.searchsorted(begin, at, "right")) - 1, set()).update(names)
-                for at, size in matches:
-                    d = int(np.searchsorted(begin, at, "right")) - 1
-                    longest[d] = max(longest[d], size)
-            hit = np.concatenate([[0], np.cumsum(np.cumsum(edge[:-1]) > 0)])
-            n = np.diff(starts)
-            n_hit = hit[starts[1:]] - hit[starts[:-1]]
-            names = [sorted(items.get(d, ())) for d in range(len(texts))]
+            n, n_hit, items, longest = judge(b.column(1).to_pylist(), blocks)
+            names = [sorted(items.get(d, ())) for d in range(len(n))]
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array(n, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()),
-                pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]), pa.array((n_hit > 0) & (min_share * n_hit >= n)), pa.array(longest, pa.int64()),
+                pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]), pa.array(affected(n, n_hit, min_share)), pa.array(longest, pa.int64()),
             ], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, SCHEMA)
+
+
+def keep_clean(docs: DataFrame, tests: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, min_share: int = 20, block_words: int = 1 << 21) -> DataFrame:
+    """The rows, with all their columns, that are not contaminated."""
+    blocks = pack_tests(tests, storage.workspace(docs.sparkSession, "decontaminate"), window, block_words, item_col, item_text_col)
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            n, n_hit, _, _ = judge([t.encode() if t else b"" for t in b.column(place).to_pylist()], blocks)
+            yield b.filter(pa.array(~affected(n, n_hit, min_share)))
+
+    return docs.mapInArrow(run, docs.schema)

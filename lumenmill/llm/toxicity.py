@@ -130,3 +130,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out(F.col(id_col).cast("long")), F.lit(False)).alias("held_out"), F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, worst_sentence int")
+
+
+def keep(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, whose score is below ``threshold``."""
+    shared, place = docs.sparkSession.sparkContext.broadcast((model.vocab, model.weights, model.bias, model.leak)), docs.columns.index(text_col)
+
+    def run(batches):
+        m = Model(*shared.value)
+        for b in batches:
+            for i in range(0, b.num_rows, 1000):
+                part = b.slice(i, 1000)
+                p, _ = m.score([t.encode() if t else b"" for t in part.column(place).to_pylist()])
+                yield part.filter(pa.array(p < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
