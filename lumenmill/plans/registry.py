@@ -1,4 +1,229 @@
 """Named queries over the driver tables, with the SQL that states the same result."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import patterns as p
+from ..functions import text as t
+from ..operators import dedup, extract, gates, quality, split
+from .fixture import MATHDOCS_SQL, mathdocs, scored
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def n(c: str, q: p.P) -> str:
+    return f"len(regexp_extract_all({c}, {lit(q.re2)}))"
+
+
+def rx(c: str, q: p.P, to: str = "") -> str:
+    return f"regexp_replace({c}, {lit(q.re2)}, {lit(to)}, 'g')"
+
+
+def has(c: str, q: p.P) -> str:
+    return f"regexp_matches({c}, {lit(q.re2)})"
+
+
+def strip(c: str) -> str:
+    return rf"regexp_replace({c}, '\A[\s\x1c-\x1f\x0b\x{{85}}\x{{a0}}]+|[\s\x1c-\x1f\x0b\x{{85}}\x{{a0}}]+\z', '', 'g')"
+
+
+M = f"with m as ({MATHDOCS_SQL})"
+CASCADE = f"""{M}, s as (select m.doc_id, m.text, cast(1.0 + coalesce(l.quality, 1) as double) as score from m left join labels l on m.doc_id = l.doc_id),
+c as (select doc_id, case when length(text) < 800 then 'too_short' when score < 1.5 then 'low_nemo'
+ when {n('text', p.NOISE)} / (length(text) / 100.0) > 0.15 then 'noise_dense' when {n('text', p.MATH)} / (length(text) / 500.0) < 0.5 then 'low_math' end as reason, length(text) > 50000 as long from s),
+d as (select doc_id, reason, case when reason is not null then 'discard' when long then 'long' else 'normal' end as label from c)"""
+
+
+def cascade(spark, sf_dir):
+    return quality.quality_cascade(scored(spark, sf_dir)).select("doc_id", "label", quality.reason_kind(F.col("reason")).alias("reason"))
+
+
+@query(f"{CASCADE} select doc_id, label, reason from d")
+def flt3_quality_cascade(spark, sf_dir):
+    return cascade(spark, sf_dir)
+
+
+@query(f"{CASCADE} select label, count(*) as n from d group by label")
+def agg1_label_counts(spark, sf_dir):
+    return cascade(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query(f"{CASCADE} select reason, count(*) as n from d where reason is not null group by reason")
+def agg2_reason_histogram(spark, sf_dir):
+    return cascade(spark, sf_dir).filter("reason is not null").groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(f"{M} select doc_id, {n('text', p.NOISE)} as noise, {n('text', p.MATH)} as math from m")
+def flt1_flt2_density_counts(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", t.count(F.col("text"), p.NOISE).alias("noise"), t.count(F.col("text"), p.MATH).alias("math"))
+
+
+CMS = rx(rx(rx(rx("text", p.DEL), p.INS, r"\1"), p.DEL_BARE), p.INS_BARE)
+FORUM = rx(rx("text", p.NAV_LINE), p.FORUM_META)
+LATEX = rx(rx("text", p.LATEX_DISPLAY, r"$$\1$$"), p.LATEX_INLINE, r"$\1$")
+
+
+def rule(name):
+    return dict(quality.CLEANING)[name](F.col("text"))
+
+
+@query(f"{M} select doc_id, {CMS} as text from m")
+def txt2_cms_markers(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", rule("cms").alias("text"))
+
+
+@query(f"{M} select doc_id, {rx('text', p.NAV_LINE)} as text from m")
+def txt1_nav_lines(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", rule("nav").alias("text"))
+
+
+@query(f"{M} select doc_id, {rx('text', p.FORUM_META)} as text from m")
+def txt3_forum_meta(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", rule("forum").alias("text"))
+
+
+@query(f"{M} select doc_id, {LATEX} as text from m")
+def txt7_latex_delimiters(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", rule("latex").alias("text"))
+
+
+CLEAN = f"""{M}, t1 as (select doc_id, text as t0, {CMS} as text from m), t2 as (select doc_id, t0, text as t1, {rx('text', p.NAV_LINE)} as text from t1),
+t3 as (select doc_id, t0, t1, text as t2, {rx('text', p.FORUM_META)} as text from t2), t4 as (select doc_id, t0, t1, t2, text as t3, {LATEX} as text from t3),
+t5 as (select doc_id, t0, t1, t2, t3, text as t4, {rx('text', p.EXCESS_BLANK, chr(10) * 2)} as text from t4)"""
+
+
+@query(f"{CLEAN} select doc_id, {strip('text')} as text, length({strip('text')}) >= 600 as kept from t5")
+def txt9_clean(spark, sf_dir):
+    return quality.clean(mathdocs(spark, sf_dir)).select("doc_id", "text", F.col("reason").isNull().alias("kept"))
+
+
+@query(f"""{CLEAN} select count(*) filter (t0 <> t1) as cms, count(*) filter (t1 <> t2) as nav, count(*) filter (t2 <> t3) as forum, cast(0 as bigint) as wrong, count(*) filter (t3 <> t4) as latex, count(*) filter (t4 <> text) as blank from t5""")
+def agg3_rule_hits(spark, sf_dir):
+    out = quality.clean(mathdocs(spark, sf_dir))
+    return out.agg(*(F.count_if(f"hit_{k}").alias(k) for k, _ in quality.CLEANING))
+
+
+LINES = f"list_filter(list_transform(string_split(text, chr(10)), lambda x: {strip('x')}), lambda x: x <> '')"
+CALC = f"({n('text', p.CALC_LINE)} >= 8 or {has('text', p.UNIT_TABLE)} or (len({LINES}) >= 10 and 2 * len(list_filter({LINES}, lambda x: {has('x', p.NUMBER_LINE)})) > len({LINES})))"
+RULE = f"""case when {CALC} then 'E' when {n('text', p.FORUM_STRONG)} >= 2 then 'B' when {n('text', p.NUMBERED_SECTION)} >= 2 and {n('text', p.FORMAL_BLOCK)} >= 2 then 'D'
+ when {has('text', p.PROB_MARK)} and {has('text', p.SOL_MARK)} then 'A' end"""
+LABELLED = f"""{M}, r as (select doc_id, text, {RULE} as r from m), f as (select doc_id, coalesce(r, case when {has('substring(text, 1, 800)', p.WORD_PROBLEM)} and length(text) < 5000 then 'A' when {has('text', p.DEFINITION)} then 'C' else 'F' end) as label,
+ case when r is null then 'model' else 'rule' end as label_source from r)"""
+
+
+@query(f"{M} select doc_id, {RULE} as label from m")
+def flt10_rule_label(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", quality.rule_label(F.col("text")).alias("label"))
+
+
+@query(f"{LABELLED} select doc_id, label, label_source from f")
+def flt11_classify(spark, sf_dir):
+    return quality.classify(mathdocs(spark, sf_dir)).select("doc_id", "label", "label_source")
+
+
+@query(f"{LABELLED} select label, count(*) filter (label_source = 'rule') as by_rule, count(*) filter (label_source = 'model') as by_model from f group by label")
+def agg4_label_source(spark, sf_dir):
+    out = quality.classify(mathdocs(spark, sf_dir))
+    return out.groupBy("label").agg(F.count_if(F.col("label_source") == "rule").alias("by_rule"), F.count_if(F.col("label_source") == "model").alias("by_model"))
+
+
+@query(f"""{M} select doc_id, ({has('text', p.DIVISOR_PAGE)} or ({has('text', p.ISBN)} and length(text) < 4000) or ({has('text', p.CONTENTS_PAGE)} and not {has('text', p.WORKED)}) or ({has('text', p.UPLOADED)} and length(text) < 3000)) as low_value from m""")
+def flt14_low_value(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", quality.is_low_value(F.col("text")).alias("low_value"))
+
+
+@query()
+def flt15_concept_routing(spark, sf_dir):
+    docs = mathdocs(spark, sf_dir)
+    return docs.select("doc_id", quality.is_concept(t.title(F.col("text")), F.col("text")).alias("concept"))
+
+
+@query()
+def tvf4_split_documents(spark, sf_dir):
+    return split.split_documents(mathdocs(spark, sf_dir)).select("doc_id", "chunk_id", F.col("chunk_index").cast("long").alias("chunk_index"), "chunk_total", "chunk_chars")
+
+
+@query()
+def agg7_chunk_stats(spark, sf_dir):
+    docs = mathdocs(spark, sf_dir)
+    return split.chunk_stats(split.split_documents(docs), docs)
+
+
+@query("""with s as (select doc_id, text, unnest(range(0, greatest(length(text), 1), 1300)) as pos from documents where text is not null)
+select doc_id, pos as chunk_start, substring(text, pos + 1, 1500) as chunk from s where length(substring(text, pos + 1, 1500)) > 0""")
+def des11_overlapping_chunks(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return split.overlapping_chunks(docs).select("doc_id", "chunk_start", "chunk")
+
+
+@query("select min(doc_id) as doc_id, text from documents where text is not null group by text")
+def dd3_first_of_key(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").filter("text is not null")
+    return dedup.first_of_key(docs, "text", "doc_id")
+
+
+def token_rows(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return docs.select("doc_id", t.normalise(F.col("text")).alias("norm"), t.tokens(F.col("text")).alias("tokens"))
+
+
+@query()
+def dd1_greedy_dedup(spark, sf_dir):
+    return dedup.dedup_questions(token_rows(spark, sf_dir), "doc_id", "norm", "tokens", 8200).select("doc_id")
+
+
+@query()
+def dd2_bigram_dedup(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select("doc_id", t.fingerprint120(F.col("text")).alias("fp"), t.bigrams(F.col("text")).alias("grams"))
+    return dedup.dedup_questions(rows, "doc_id", "fp", "grams", 8000).select("doc_id")
+
+
+@query(f"{LABELLED} select f.doc_id from f where f.label <> 'A' and not exists (select 1 from labels l where l.doc_id = f.doc_id)")
+def rel6_resume_anti_join(spark, sf_dir):
+    done = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
+    return quality.classify(mathdocs(spark, sf_dir)).filter("label <> 'A'").join(done, "doc_id", "left_anti").select("doc_id")
+
+
+@query("select doc_id, left(sha256(text), 8) as h, printf('%d__chunk%03d', doc_id, doc_id % 7) as chunk_id, cast(floor(length(text) / 3.5) as bigint) as tokens from documents where text is not null")
+def txt30_txt31_txt32_ids(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("text is not null")
+    return docs.select("doc_id", t.short_hash(F.col("text")).alias("h"), t.chunk_id(F.col("doc_id"), F.col("doc_id") % 7).alias("chunk_id"), t.estimated_tokens(F.col("text")).alias("tokens"))
+
+
+@query()
+def cas_a_to_d_extraction(spark, sf_dir):
+    docs = quality.classify(quality.clean(mathdocs(spark, sf_dir)).filter("reason is null").drop("reason"))
+    return extract.extract_pairs(docs.filter("label in ('A', 'B', 'C', 'D')")).select("doc_id", "label", "strategy", "problem", "solution")
+
+
+@query()
+def agg5_strategy_counts(spark, sf_dir):
+    return cas_a_to_d_extraction(spark, sf_dir).groupBy("label", "strategy").agg(F.count("*").alias("n"))
+
+
+@query()
+def agg6_gate_histogram(spark, sf_dir):
+    pairs = gates.gated(cas_a_to_d_extraction(spark, sf_dir), relaxed=True)
+    return pairs.groupBy(F.coalesce(F.split_part("gate", F.lit(":"), F.lit(1)), F.lit("passed")).alias("gate")).agg(F.count("*").alias("n"), F.count_if("boxed_injected").alias("injected"))
+
+
+@query()
+def txt17_clean_question(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", t.clean_question(F.col("text")).alias("question"))
