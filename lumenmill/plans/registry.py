@@ -178,23 +178,6 @@ def dd3_first_of_key(spark, sf_dir):
     return dedup.first_of_key(docs, "text", "doc_id")
 
 
-def token_rows(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return docs.select("doc_id", t.normalise(F.col("text")).alias("norm"), t.tokens(F.col("text")).alias("tokens"))
-
-
-@query()
-def dd1_greedy_dedup(spark, sf_dir):
-    return dedup.dedup_questions(token_rows(spark, sf_dir), "doc_id", "norm", "tokens", 8200).select("doc_id")
-
-
-@query()
-def dd2_bigram_dedup(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = docs.select("doc_id", t.fingerprint120(F.col("text")).alias("fp"), t.bigrams(F.col("text")).alias("grams"))
-    return dedup.dedup_questions(rows, "doc_id", "fp", "grams", 8000).select("doc_id")
-
-
 @query(f"{LABELLED} select f.doc_id from f where f.label <> 'A' and not exists (select 1 from labels l where l.doc_id = f.doc_id)")
 def rel6_resume_anti_join(spark, sf_dir):
     done = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
