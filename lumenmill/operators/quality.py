@@ -83,8 +83,11 @@ def rule_label(c: Column) -> Column:
 
 def fallback_label(c: Column, label: Column) -> Column:
     """FLT11: only the label F is looked at again."""
-    again = F.coalesce(rule_label(c), F.when(t.has(F.substring(c, 1, 800), p.WORD_PROBLEM) & (F.length(c) < 5000), "A").when(t.has(c, p.DEFINITION), "C").otherwise("F"))
-    return F.when(label == "F", again).otherwise(label)
+    return F.when(label == "F", F.coalesce(rule_label(c), undecided_label(c))).otherwise(label)
+
+
+def undecided_label(c: Column) -> Column:
+    return F.when(t.has(F.substring(c, 1, 800), p.WORD_PROBLEM) & (F.length(c) < 5000), "A").when(t.has(c, p.DEFINITION), "C").otherwise("F")
 
 
 def classify(docs: DataFrame, text: str = "text", model=None) -> DataFrame:
@@ -95,7 +98,8 @@ def classify(docs: DataFrame, text: str = "text", model=None) -> DataFrame:
         out = model(out.filter("_rule is null")).unionByName(out.filter("_rule is not null"), allowMissingColumns=True)
     else:
         out = out.withColumn("model_label", F.lit("F"))
-    out = out.withColumn("label", F.coalesce("_rule", fallback_label(c, F.coalesce("model_label", F.lit("F")))))
+    given = F.coalesce("model_label", F.lit("F"))  # the rules have left these undecided: they need no second run
+    out = out.withColumn("label", F.coalesce("_rule", F.when(given == "F", undecided_label(c)).otherwise(given)))
     return out.withColumn("label_source", F.when(F.col("_rule").isNotNull(), "rule").otherwise("model")).drop("_rule", "model_label")
 
 
