@@ -21,7 +21,7 @@ class P:
 
     @property
     def re2(self) -> str:
-        return (f"(?{self.flags})" if self.flags else "") + self.body
+        return (f"(?{self.flags})" if self.flags else "") + self.body.replace(r"\×", "×")
 
     @cached_property
     def re(self) -> re.Pattern:
