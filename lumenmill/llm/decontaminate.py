@@ -1,6 +1,6 @@
 """Benchmark decontamination with suffix arrays.
 
-Documents are read in shards (an Arrow batch each, every document whole). A shard's suffix array
+Documents are read in shards (consecutive rows of ``shard_bytes`` together, every document whole; a longer one is a shard of its own). A shard's suffix array
 lists the word positions whose first words also start some test suffix, sorted by what follows;
 every test suffix is searched in it by bisection, which gives the places of each test window
 and the longest verbatim match. All other positions cannot match ``SEED`` words of any test text and
@@ -24,6 +24,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -167,6 +168,18 @@ def judge(texts: list[bytes | None], blocks: list[str]) -> tuple[np.ndarray, np.
     return np.diff(starts), hit[starts[1:]] - hit[starts[:-1]], items, longest
 
 
+def shards(column: pa.Array, most: int):
+    """Texts of consecutive rows with ``most`` bytes at most, so that a worker never holds the words of a whole Arrow batch."""
+    lo = held = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if i > lo and held + n > most:
+            yield column.slice(lo, i - lo)
+            lo, held = i, 0
+        held += n
+    if lo < len(column):
+        yield column.slice(lo)
+
+
 def affected(n_words: np.ndarray, n_hit: np.ndarray, min_share: int) -> np.ndarray:
     return (n_hit > 0) & (min_share * n_hit >= n_words)
 
@@ -174,31 +187,37 @@ def affected(n_words: np.ndarray, n_hit: np.ndarray, min_share: int) -> np.ndarr
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long"
 
 
-def contamination(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, min_share: int = 20, block_words: int = 1 << 21) -> DataFrame:
+def contamination(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, min_share: int = 20, block_words: int = 1 << 21, shard_bytes: int = 4 << 20) -> DataFrame:
     """One row per document: words, hit words, items with an occurring window, the verdict (a hit word in every ``min_share`` at least) and the longest match from a hit."""
     folder = storage.workspace(docs.sparkSession, "decontaminate")
     blocks = pack_tests(tests, folder, window, block_words, item_col, item_text_col)
 
     def run(batches):
         for b in batches:
-            n, n_hit, items, longest = judge(b.column(1).to_pylist(), blocks)
-            names = [sorted(items.get(d, ())) for d in range(len(n))]
-            yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array(n, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()),
-                pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]), pa.array(affected(n, n_hit, min_share)), pa.array(longest, pa.int64()),
-            ], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"])
+            at = 0
+            for part in shards(b.column(1), shard_bytes):
+                n, n_hit, items, longest = judge(part.to_pylist(), blocks)
+                names = [sorted(items.get(d, ())) for d in range(len(n))]
+                ids, at = b.column(0).slice(at, len(n)), at + len(n)
+                yield pa.RecordBatch.from_arrays([
+                    ids, pa.array(n, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()),
+                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]), pa.array(affected(n, n_hit, min_share)), pa.array(longest, pa.int64()),
+                ], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, SCHEMA)
 
 
-def keep_clean(docs: DataFrame, tests: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, min_share: int = 20, block_words: int = 1 << 21) -> DataFrame:
+def keep_clean(docs: DataFrame, tests: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, min_share: int = 20, block_words: int = 1 << 21, shard_bytes: int = 4 << 20) -> DataFrame:
     """The rows, with all their columns, that are not contaminated."""
     blocks = pack_tests(tests, storage.workspace(docs.sparkSession, "decontaminate"), window, block_words, item_col, item_text_col)
     place = docs.columns.index(text_col)
 
     def run(batches):
         for b in batches:
-            n, n_hit, _, _ = judge([t.encode() if t else b"" for t in b.column(place).to_pylist()], blocks)
-            yield b.filter(pa.array(~affected(n, n_hit, min_share)))
+            at = 0
+            for part in shards(b.column(place), shard_bytes):
+                n, n_hit, _, _ = judge([t.encode() if t else b"" for t in part.to_pylist()], blocks)
+                rows, at = b.slice(at, len(n)), at + len(n)
+                yield rows.filter(pa.array(~affected(n, n_hit, min_share)))
 
     return docs.mapInArrow(run, docs.schema)
