@@ -240,13 +240,13 @@ def train(docs: list[bytes], rounds: int = 80, clean_lines: int = 1200, planted:
     """Full-batch Adam on the conditional likelihood of padded windows of ``width`` tokens."""
     rng = random.Random(10)
     seqs: list[tuple[list[str], list[int], bytes]] = []
-    clean: list[tuple[list[str], bytes]] = []
-    for raw in docs:
+    clean: list[tuple[int, int, int]] = []  # document, first and last code point: far more windows than are drawn
+    for number, raw in enumerate(docs):
         text = raw.decode()
         spans = [(s, e) for s, _, e in base_spans(raw, text)]
         at = 0
         for line in text.split("\n"):
-            tokens, tags, free = [], [], True
+            tokens, tags, places, free = [], [], [], True
             inside = False
             for m in re.finditer(r"[^ \t\r\x0b\x0c]+", line):
                 lo, hi = value_part(m[0])
@@ -255,6 +255,7 @@ def train(docs: list[bytes], rounds: int = 80, clean_lines: int = 1200, planted:
                 last_of = hit and (b >= hit[1] or at + m.end() >= hit[1])
                 secret = bool(hit and last_of and b - a >= 6)
                 tokens.append(m[0])
+                places.append((at + m.start(), at + m.end()))
                 tags.append((INSIDE if inside else BEGIN) if secret else OUT)
                 inside, free = secret, free and not secret
             at += len(line) + 1
@@ -262,10 +263,16 @@ def train(docs: list[bytes], rounds: int = 80, clean_lines: int = 1200, planted:
                 if any(tags[i : i + width]):
                     seqs.append((tokens[i : i + width], tags[i : i + width], raw))
                 elif free:
-                    clean.append((tokens[i : i + width], raw))
+                    clean.append((number, places[i][0], places[min(i + width, len(places)) - 1][1]))
     rng.shuffle(clean)
-    seqs += [(t, [OUT] * len(t), raw) for t, raw in clean[:clean_lines]]
-    for tokens, raw in (clean * (1 + planted // max(1, len(clean))))[-planted:]:
+
+    def window(place: tuple[int, int, int]) -> tuple[list[str], bytes]:
+        raw = docs[place[0]]
+        return re.findall(r"[^ \t\r\x0b\x0c]+", raw.decode()[place[1] : place[2]]), raw
+
+    seqs += [(t, [OUT] * len(t), raw) for t, raw in map(window, clean[:clean_lines])]
+    drawn = clean[-planted:]
+    for tokens, raw in map(window, (drawn * (1 + planted // max(1, len(drawn))))[-planted:]):
         put = synthetic_secrets(rng)
         k = rng.randint(0, len(tokens))
         row = tokens[:k] + put + tokens[k:]
@@ -340,8 +347,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_tra
     """Train on the ``max_train_docs`` documents whose ids have the smallest hashes; of an id with several texts, the greatest."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     ids = rows.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_docs)
-    got = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")).orderBy("doc_id").collect()
-    return train([bytes(r["text"] or b"") for r in got])
+    got = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")).orderBy("doc_id").select("text").toArrow()
+    texts = [t or b"" for t in got.column("text").to_pylist()]
+    del got
+    return train(texts)
 
 
 def _scan(field: Field, docs: list[bytes]) -> list[list[tuple[int, int, int]]]:

@@ -70,33 +70,43 @@ def train(texts: list[bytes], labels: list[int], min_docs: int = 5, max_words: i
     for w, n in seen.items():  # a start among words that toxic documents have far above chance; the likelihood is not convex
         if w in vocab and (n - df[w] * base) / np.sqrt(df[w] * base * (1 - base)) > 4:
             weights[vocab[w]] = 6.0
-    word, sent, doc_of = array("q"), array("q"), array("q")
+    del df, seen
+    word, size, doc_of = array("i"), array("i"), array("i")  # words of all sentences, their number in each, its document
     for d, t in enumerate(texts):
         for line in (t or b"").translate(_TABLE).split(b"\n"):
             if got := {vocab[w] for w in line.split() if w in vocab}:
                 word.extend(got)
-                sent.extend([len(doc_of)] * len(got))
+                size.append(len(got))
                 doc_of.append(d)
-        doc_of.append(d)  # a sentence without known words: the bias alone
-    word, sent, doc_of = np.frombuffer(word, np.int64), np.frombuffer(sent, np.int64), np.frombuffer(doc_of, np.int64)
+        size.append(0)  # a sentence without known words: the bias alone
+        doc_of.append(d)
+    word, size, doc_of = (np.frombuffer(x, np.int32) for x in (word, size, doc_of))
+    stops = np.cumsum(size, dtype=np.int64)
+    cuts = np.unique(np.append(np.searchsorted(stops, np.arange(0, len(word), 1 << 18), "right"), len(size)))
+    blocks = [(lo, hi, int(stops[lo] - size[lo]), int(stops[hi - 1])) for lo, hi in zip([0, *cuts.tolist()], cuts.tolist(), strict=False) if lo < hi]  # sentences and their words, so that no array of all words is made in a round
     m = [np.zeros(len(weights)), 0.0, 0.0]
     v = [np.zeros(len(weights)), 0.0, 0.0]
     for k in range(1, rounds + 1):
-        z = bias + np.bincount(sent, weights[word], len(doc_of))
+        z = np.full(len(doc_of), bias)
+        for lo, hi, i, j in blocks:
+            z[lo:hi] += np.bincount(np.repeat(np.arange(hi - lo), size[lo:hi]), weights[word[i:j]], hi - lo)
         p = 1 / (1 + np.exp(-z))
         e = 1 / (1 + np.exp(-leak))
         s = np.minimum(np.bincount(doc_of, -np.logaddexp(0, z), len(y)) + np.log1p(-e), -1e-9)
         up = np.where(y, -np.exp(s) / -np.expm1(s), 1.0)  # of the loss by -log of the chance that no sentence is toxic
         g = p * up[doc_of] / len(y)
-        grads = (np.bincount(word, g[sent], len(weights)), g.sum(), e * up.sum() / len(y))
+        of_word = np.zeros(len(weights))
+        for lo, hi, i, j in blocks:
+            of_word += np.bincount(word[i:j], np.repeat(g[lo:hi], size[lo:hi]), len(weights))
+        grads = (of_word, g.sum(), e * up.sum() / len(y))
         step = []
         for i, grad in enumerate(grads):
             m[i] = 0.9 * m[i] + 0.1 * grad
             v[i] = 0.999 * v[i] + 0.001 * grad * grad
-            size = rate / (np.sqrt(v[i] / (1 - 0.999**k)) + 1e-9)
-            step.append(size * m[i] / (1 - 0.9**k))
+            pace = rate / (np.sqrt(v[i] / (1 - 0.999**k)) + 1e-9)
+            step.append(pace * m[i] / (1 - 0.9**k))
             if i == 0:
-                shrink = l1 * size
+                shrink = l1 * pace
         weights, bias, leak = weights - step[0], bias - step[1], leak - step[2]
         weights = np.sign(weights) * np.maximum(np.abs(weights) - shrink, 0)
     weights[:2] = 0
@@ -112,8 +122,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").filter(~held_out(F.col("doc_id")))
     ids = ids.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_docs)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(ids), "doc_id")  # at most max_train_docs ids
-    got = rows.groupBy("doc_id", "y").agg(F.max("text").alias("text")).orderBy("doc_id").collect()
-    return train([bytes(r["text"] or b"") for r in got], [r["y"] for r in got])
+    got = rows.groupBy("doc_id", "y").agg(F.max("text").alias("text")).orderBy("doc_id").select("y", "text").toArrow()
+    y, texts = got.column("y").to_pylist(), [t or b"" for t in got.column("text").to_pylist()]
+    del got
+    return train(texts, y)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
