@@ -10,7 +10,7 @@ there on the ids agree with those of the whole text, whatever stands around.
 ``encode_documents`` gives ids and the decoded text of every row in the order of its input:
 null and empty texts have no ids, repeated rows are all kept, an empty table gives none, extra
 columns are ignored. One pass over the table, no shuffle; a task holds one Arrow batch and
-``cache_bytes``."""
+``cache_bytes`` of chunks and two generations of ``pieces`` words."""
 
 from __future__ import annotations
 
@@ -60,8 +60,8 @@ def split_core(chunk: bytes) -> tuple[bytes, bytes, bytes] | None:
 
 
 class ChunkEncoder:
-    def __init__(self, path: str = bpe.DEFAULT_PATH, cache_bytes: int = 48 << 20):
-        self.enc, self.room = bpe.encoder(path), cache_bytes
+    def __init__(self, path: str = bpe.DEFAULT_PATH, cache_bytes: int = 24 << 20, pieces: int = 150_000):
+        self.enc, self.room = bpe.Encoder(path, pieces), cache_bytes
         self.cache: dict[bytes, tuple | None] = {}
         self.held = self.hits = self.misses = 0
 
