@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions import text as t
-from ..operators import dedup, extract, gates, quality, split
+from ..operators import dedup, extract, gates, quality, sampling, split
 from .fixture import MATHDOCS_SQL, mathdocs, scored
 
 QUERIES: dict = {}
@@ -210,3 +210,58 @@ def agg6_gate_histogram(spark, sf_dir):
 @query()
 def txt17_clean_question(spark, sf_dir):
     return mathdocs(spark, sf_dir).select("doc_id", t.clean_question(F.col("text")).alias("question"))
+
+
+@query()
+def dd1_greedy_dedup(spark, sf_dir):
+    docs = mathdocs(spark, sf_dir)
+    keyed = docs.select("doc_id", t.normalise(F.col("text")).alias("k"), t.tokens(F.col("text")).alias("s"))
+    return dedup.dedup_questions(keyed, "doc_id", "k", "s", 8200).select("doc_id")
+
+
+@query()
+def dd2_shingle_dedup(spark, sf_dir):
+    pairs = cas_a_to_d_extraction(spark, sf_dir)
+    keyed = pairs.select("doc_id", t.fingerprint120(F.col("problem")).alias("k"), t.bigrams(F.col("problem")).alias("s"))
+    return dedup.dedup_questions(keyed, "doc_id", "k", "s", 8000).select("doc_id")
+
+
+@query("select doc_id, left(md5(cast(doc_id as varchar)), 4) < '4ccd' as sampled, left(md5(cast(doc_id as varchar)), 4) < '0ccd' as thinking from documents")
+def des3_des9_hash_shares(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", sampling.in_share(F.col("doc_id"), 0.3).alias("sampled"), sampling.in_share(F.col("doc_id"), 0.05).alias("thinking"))
+
+
+@query("""with d as (select d.doc_id, d.source, coalesce(l.quality, 1) = 0 as bad from documents d left join labels l on d.doc_id = l.doc_id)
+select doc_id, source, coalesce(bool_or(bad) over (partition by source), false) as penalised from d""")
+def des4_source_penalty(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source").join(labels, "doc_id", "left")
+    return sampling.source_penalty(docs, "source", F.col("quality") == 0).select("doc_id", "source", "penalised")
+
+
+@query("select min(doc_id) as doc_id from documents group by md5(lower(coalesce(text, '')))")
+def des7_first_of_lower(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return sampling.first_of_lower(docs, "text", "doc_id").select("doc_id")
+
+
+TOPIC = "case " + " ".join(f"when regexp_matches(lower(text), '{words}') then '{name}'" for name, _, words in sampling.TOPICS) + " else 'other' end"
+SHARE = "case topic " + " ".join(f"when '{name}' then {share}" for name, share, *_ in (*sampling.TOPICS, sampling.OTHER)) + " end"
+
+
+@query(f"""{M}, k as (select doc_id, {TOPIC} as topic from m), r as (select doc_id, topic, row_number() over (partition by topic order by md5(cast(doc_id as varchar)), doc_id) as r from k)
+select doc_id, topic from r where r <= {SHARE}""")
+def des8_topic_quota(spark, sf_dir):
+    docs = mathdocs(spark, sf_dir).select("doc_id", sampling.topic(F.col("text")).alias("topic"))
+    return sampling.topic_quota(docs, "topic", "doc_id", 100)
+
+
+@query(f"{M} select doc_id, cast(floor(length(text) / 3.5) as bigint) between 200 and 9012 as kept from m")
+def des15_token_length(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", sampling.token_length_kept(F.col("text")).alias("kept"))
+
+
+@query()
+def des18_acceptance(spark, sf_dir):
+    return sampling.acceptance(cas_a_to_d_extraction(spark, sf_dir))
