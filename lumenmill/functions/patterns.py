@@ -115,7 +115,7 @@ META_LINE = P(
 QUOTE_LINE = P(r"^>.*$", "m")
 POST_HEADER = P(r"^(###)\s+(.+)$", "m")
 POST_NUMBER = P(r"^\*\*\s*(\d+)\s*[\.\)]\s*.*?#\s*\1\s*\*\*|^\*\*\s*(\d+)\s*[\.\)]\s*\*\*", "m")
-THREAD_TITLE = P(r"Thread|Discussion|Forum|Pre-University|Math Help", "i")
+THREAD_TITLE = P(r"\b(Thread|Discussion|Forum|Pre-University|Math Help)\b", "i")
 BOLD_QUESTION = P(r"^\*\*(question|problem|exercise|task)\**\s*[\d\.\:]*\s*\*?\*?\s*[:：]?\s*(.+?)$", "mi")
 BOLD_ANSWER = P(r"^\*\*(solution|answer|proof|hint)\**\s*[\d\.\:]*\s*\*?\*?\s*[:：]?\s*", "mi")
 MCQ_ANSWER = P(r"(?:\*{0,2}Answer[\*:]{0,3}|Correct answer[\s\*:]+)\s*(.+?)(?=\n\n|\n#{1,4}|\Z)", "is")
@@ -168,3 +168,27 @@ ANSWER_LIKE = P(
     "i",
 )
 PROBLEM_UNIT = tuple(P(x, "s") for x in (r"(## Problem Statement.*?## Solution.*?)(?=\n## |\Z)", r"(## Interview Question.*?## Answer.*?)(?=\n## |\Z)", r"(### Problem.*?## Solution.*?)(?=\n## |\Z)", r"(\*\*Question:\*\*.*?(?:\*\*Answer:\*\*|## Solution).*?)(?=\n## |\Z)", r"(## Example.*?## Solution.*?)(?=\n## |\Z)"))
+LEAK_WORDS = ("instruction", "actual session", "request:", "source unit", "source excerpt", "assistant:", "user:")
+ROLE_LINE = P(r"^(assistant|user|system|instruction|request|source unit|source excerpt|answer)\s*[:：].*$", "im")
+SESSION_WORD = P(r"(actual session|prompt:|response:)", "i")
+THINK, NEXT_Q, NEXT_PROBLEM = P(r"<think>.*?</think>", "s"), P(r"\n##\s+Q\b.*", "s"), P(r"\n#{1,3}\s+(Question|Problem|Exercise)\b.*", "is")
+QUESTION_WITH_ANSWER = P(r"is\s+\$[^$]+\$[^?]*\?$")
+LIST_MARK = P(r"^[\-\d\.\)\s]+")
+# A final answer at the end of a text: pattern, where it looks (the text, its last six lines in one, its last line), what is trimmed off the end, least and most characters.
+RESCUE = (
+    (P(r"\$\$\s*([\s\S]+?)\s*\$\$\s*[.。]?\s*$"), "text", "", 1, 119),
+    (P(r"=\s*\$?([^$=\n]{1,60}?)\$?\s*[.。]?\s*$"), "lines", ".。 ", 1, 49),
+    (P(r"(?:is|are)\s+(-?[\d,]+(?:\.\d+)?(?:\s*/\s*[\d,]+)?)\s*[.。]?\s*$", "i"), "lines", ".。,", 1, 39),
+    (P(r"\*\*([^*\n]{1,60})\*\*\s*[.。]?\s*$"), "lines", ".。", 1, 59),
+    (P(r"\$([^$\n]{1,80})\$\s*[.。,]?\s*$"), "lines", "", 2, 79),
+    (P(r"(?:answer|result|value)\s+(?:is|=)\s+\$?([^$\n.。]{1,50})", "i"), "lines", ".。", 1, 49),
+    (P(r"(?<![a-zA-Z])(-?[\d,]+(?:\.\d+)?(?:\s*/\s*[\d,]+)?)\s*[.。]?\s*$"), "last", ".。,", 1, 29),
+)
+NOT_TOPIC = P(r"\b(chapter|unit|module|part\s+\d|index|contents?|overview|syllabus)\b", "i")
+LATEX_LOOSE = P(r"\$[^$]+\$|\$\$[\s\S]+?\$\$")
+EXAMPLE_VERB_LOOSE, EXAMPLE_VERB = P(r"(find|prove|show|calculate|solve|evaluate|determine|compute)", "i"), P(r"\b(find|prove|show|calculate|solve|evaluate|determine|compute)\b", "i")
+FORUM_ASKS = P(r"\b(find|prove|show|calculate|solve|determine|if|given)\b", "i")
+LABEL_QUESTION_D = P(r"\*{1,2}(?:question|problem)\*{0,2}[\s\*:]+(.+?)(?=\*{1,2}(?:answer|solution)\*{0,2}[\s\*:]|\Z)", "is")
+LABEL_ANSWER_D = P(r"\*{1,2}(?:answer|solution)\*{0,2}[\s\*:]+(.+?)(?=\n\n#{1,4}|\Z)", "is")
+FORUM_QUESTION, FORUM_ANSWER = P(r"^\*\*Question\*\*\s*\n+(.+?)(?=\n\*\*Answer|\n---|\Z)", "ims"), P(r"^\*\*Answer[^*]*\*\*\s*\n+(.+)", "ims")
+BOLD_USER = P(r"^\*\*([A-Za-z][\w\s\.]{1,40})\*\*\s*$", "m")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import BOXED_PLAIN, EXCESS_BLANK, P
+from .patterns import ANSWER_LIKE, BOXED_PLAIN, CONCEPT_MARK, EXCESS_BLANK, EXPLICIT_QUESTION, LIST_MARK, NEXT_PROBLEM, NEXT_Q, PROBLEM_UNIT, RESCUE, ROLE_LINE, SESSION_WORD, THINK, P
 
 _STRIP = r"(?Ud)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
 
@@ -32,6 +34,11 @@ def density(c: Column, p: P, per: int) -> Column:
     return F.when(F.length(c) > 0, F.regexp_count(c, F.lit(p.java)) / (F.length(c) / F.lit(float(per)))).otherwise(F.lit(0.0))
 
 
+def let(x: Column, f) -> Column:
+    """``f`` of a value that is computed once: what is built of many uses of a long expression stays small."""
+    return F.get(F.transform(F.array(x), f), 0)
+
+
 def nullif_empty(c: Column) -> Column:
     return F.when(c != "", c)
 
@@ -86,14 +93,20 @@ def fingerprint120(c: Column) -> Column:
     return F.substring(F.regexp_replace(strip(F.lower(c)), r"(?Ud)[\s\x1c-\x1f]+", " "), 1, 120)
 
 
-def clean_question(c: Column, fallback: str = "") -> Column:
+def clean_question(c: Column, fallback: str | Column = "") -> Column:
     """TXT17: the first question of 8 to 220 characters, else the first line; labels off, a question mark on, 220 characters at most."""
-    raw = light_clean(c)
-    q = F.coalesce(nullif_empty(strip(F.regexp_extract(raw, r"[^?？\n]{8,220}[?？]", 0))), strip(F.substring_index(raw, "\n", 1)))
+    return let(light_clean(c), lambda raw: _question(raw, fallback))
+
+
+def _question(raw: Column, fallback: str | Column) -> Column:
+    # a text without a question mark would try 220 characters from every place
+    asked = F.when(raw.rlike("[?？]"), F.regexp_extract(raw, r"[^?？\n]{8,220}[?？]", 0))
+    q = F.coalesce(nullif_empty(strip(asked)), strip(F.substring_index(raw, "\n", 1)))
     q = F.regexp_replace(F.regexp_replace(q, r"(?Ud)^[\-\d\.\)\s]+", ""), r"(?Uid)^(question|instruction)\s*[:：]\s*", "")
     q = F.regexp_replace(q, r"^[ \"'`]+|[ \"'`]+$", "")
-    q = F.coalesce(nullif_empty(q), F.lit(fallback or "What is the main mathematical question in this source unit?"))
-    return F.substring(F.when(q.rlike("[?？]$"), q).otherwise(F.concat(F.regexp_replace(q, "[。.:：]+$", ""), F.lit("?"))), 1, 220)
+    given = fallback if isinstance(fallback, Column) else F.lit(fallback)
+    q = F.coalesce(nullif_empty(q), nullif_empty(given), F.lit("What is the main mathematical question in this source unit?"))
+    return let(q, lambda x: F.substring(F.when(x.rlike("[?？]$"), x).otherwise(F.concat(F.regexp_replace(x, "[。.:：]+$", ""), F.lit("?"))), 1, 220))
 
 
 def short_hash(c: Column) -> Column:
@@ -120,3 +133,104 @@ def with_reasoning(reasoning: Column, answer: Column) -> Column:
 def estimated_tokens(c: Column) -> Column:
     """TXT30."""
     return F.floor(F.length(c) / 3.5).cast("long")
+
+
+def explicit_question(unit: Column, title_: Column) -> Column:
+    """TXT18: the question that a marked place asks, else the first line that is a question and no answer, else a title that asks; '' if none does."""
+    unit = F.coalesce(unit, F.lit(""))
+    marked = [nullif_empty(F.regexp_extract(unit, q.java, 1)) for q in EXPLICIT_QUESTION]
+    lines = F.transform(F.split(light_clean(unit), "\n"), strip)
+    asks = lambda x: x.endswith("?") & F.length(x).between(12, 220) & ~x.rlike(r"\A(\*\*|#)") & ~F.contains(x, F.lit("Tags")) & ~has(x, ANSWER_LIKE)
+    found = F.coalesce(*marked, F.get(F.filter(lines, asks), 0), F.when(strip(title_).endswith("?"), title_))
+    return F.coalesce(let(found, lambda q: F.when(q.isNotNull(), clean_question(q))), F.lit(""))
+
+
+def problem_unit(c: Column, most: int = 1400) -> Column:
+    """TXT19: the first block of problem and solution, else the head of a text that has such marks and a question; '' otherwise."""
+    c = F.coalesce(c, F.lit(""))
+    blocks = [nullif_empty(F.regexp_extract(c, q.java, 1)) for q in PROBLEM_UNIT]
+    head = light_clean(F.substring(c, 1, most))
+    marked = F.exists(F.array(*map(F.lit, ("Problem", "Question", "Solution", "Answer"))), lambda w: F.contains(c, w))
+    whole = let(head, lambda h: F.when(marked & F.contains(h, F.lit("?")), h).otherwise(""))
+    return F.coalesce(let(F.coalesce(*blocks), lambda b: F.when(b.isNotNull(), light_clean(F.substring(b, 1, most)))), whole)
+
+
+def concept_excerpt(c: Column, most: int = 900) -> Column:
+    """TXT20: paragraphs with a marker until ``most`` characters are reached, else the first three."""
+    blocks = F.filter(F.transform(F.split(light_clean(c), r"(?U)\n\s*\n"), strip), lambda x: x != "")
+    marked = F.filter(blocks, lambda x: F.exists(F.array(*map(F.lit, CONCEPT_MARK)), lambda w: F.contains(F.lower(x), w)))
+    grow = lambda acc, x: F.when(F.length(acc) >= most, acc).otherwise(F.concat(acc, F.when(acc == "", "").otherwise("\n\n"), x))
+    kept = F.aggregate(marked, F.lit(""), grow)
+    return F.substring(light_clean(F.coalesce(nullif_empty(kept), F.array_join(F.slice(blocks, 1, 3), "\n\n"))), 1, most)
+
+
+def without_thinking(c: Column) -> Column:
+    """What a model's reply keeps: no thinking, no turn symbols (LLM2)."""
+    return F.translate(sub(c, THINK), "⚇⚼", "")
+
+
+def _without_leaks(c: Column) -> Column:
+    return sub(sub(c, ROLE_LINE), SESSION_WORD)
+
+
+def _ended(c: Column) -> Column:
+    return F.when(c.rlike(r"[^。.!?]\z"), F.concat(c, F.lit("。"))).otherwise(c)
+
+
+def rescue_boxed(c: Column) -> Column:
+    """TXT22: the first of seven forms of a final answer at the end of a text; '' if none is there."""
+    split = lambda text: F.filter(F.transform(F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"), strip), lambda x: x != "")
+    return let(strip(c), lambda text: let(split(text), lambda lines: _rescued(text, lines)))
+
+
+def _rescued(text: Column, lines: Column) -> Column:
+    tail = F.when(F.size(lines) > 6, F.slice(lines, -6, 6)).otherwise(lines)
+    places = {"text": text, "lines": F.array_join(tail, " "), "last": F.coalesce(F.try_element_at(lines, F.lit(-1)), F.lit(""))}
+
+    def sure(least: int, most: int, v: Column) -> Column:
+        free = ~v.startswith("=") & ~F.contains(v, F.lit("\\begin{array}")) & ~F.contains(v, F.lit("\\begin{align"))
+        return F.when(F.length(v).between(least, most) & free, v)
+
+    found = []
+    for q, place, trim, least, most in RESCUE:
+        v = F.regexp_extract(places[place], q.java, 1)
+        v = strip(F.regexp_replace(v, r"(?U)\s+", " ") if place == "text" else v)
+        v = F.regexp_replace(v, f"[{trim}]+\\z", "") if trim else v
+        found.append(let(v, partial(sure, least, most)))
+    return F.coalesce(*found, F.lit(""))
+
+
+def clean_answer(c: Column) -> Column:
+    """TXT21: a reply without leaks and following questions, its last box (or a rescued one) alone at the end."""
+    x = without_thinking(strip(F.coalesce(c, F.lit(""))))
+    return let(strip(compress_blank(_without_leaks(sub(sub(x, NEXT_Q), NEXT_PROBLEM)))), _boxed_last)
+
+
+def _boxed_last(x: Column) -> Column:
+    box = lambda body, answer: F.concat(_ended(body), F.lit("\n\n\\boxed{"), answer, F.lit("}"))
+    kept = let(compress_blank(strip(sub(x, BOXED_PLAIN))), lambda body: strip(box(body, strip(last_boxed(x)))))
+    rescued = let(rescue_boxed(x), lambda r: F.when(r != "", box(x, r)).otherwise(x))
+    return F.when(has(x, BOXED_PLAIN), kept).otherwise(rescued)
+
+
+def clean_reasoning(c: Column) -> Column:
+    """TXT23."""
+    x = F.regexp_replace(strip(F.coalesce(c, F.lit(""))), "</?think>", "")
+    return strip(compress_blank(sub(_without_leaks(x), BOXED_PLAIN)))
+
+
+def parse_judge(c: Column) -> Column:
+    """TXT25: four marks (1 where absent), keep and reason."""
+    raw = light_clean(c)
+    mark = lambda k: F.coalesce(F.regexp_extract(raw, rf"(?i){k}\s*=\s*([1-5])", 1).try_cast("int"), F.lit(1)).alias(k)
+    keep = F.lower(F.regexp_extract(raw, r"(?i)keep\s*=\s*(yes|no)", 1)) == "yes"
+    reason = F.coalesce(nullif_empty(strip(F.regexp_extract(raw, r"(?id)reason\s*=\s*(.+)", 1))), F.substring(raw, 1, 200))
+    return F.struct(*(mark(k) for k in ("groundedness", "reasoning", "pedagogy", "format")), keep.alias("keep"), reason.alias("reason"))
+
+
+def parse_questions(c: Column, most: int = 2) -> Column:
+    """TXT26: questions of a list, distinct, ``most`` at most; a line is cut to 220 characters after the test for repeats."""
+    lines = F.transform(F.split(light_clean(c), "\n"), lambda x: strip(sub(x, LIST_MARK)))
+    lines = F.transform(F.filter(lines, lambda x: F.length(x) >= 10), lambda x: F.when(x.rlike(r"[?？]\z"), x).otherwise(F.concat(F.regexp_replace(x, r"[。.:：]+\z", ""), F.lit("?"))))
+    add = lambda acc, x: F.when((F.size(acc) >= most) | F.array_contains(acc, x), acc).otherwise(F.array_append(acc, F.substring(x, 1, 220)))
+    return F.aggregate(lines, F.array().cast("array<string>"), add)

@@ -15,6 +15,10 @@ def _last_full(c: Column) -> Column:
 
 def gate_reason(problem: Column, solution: Column, relaxed: bool = False) -> Column:
     """L1-L6: the first failure as ``Ln:reason``, or null."""
+    return t.let(F.struct(problem.alias("p"), solution.alias("s")), lambda x: _gate_reason(x["p"], x["s"], relaxed))
+
+
+def _gate_reason(problem: Column, solution: Column, relaxed: bool) -> Column:
     found = F.regexp_count(solution, F.lit(p.BOXED.java))
     # where the last boxed answer starts: what a greedy prefix leaves
     place = F.length(F.regexp_extract(solution, r"(?Uds)\A(.*)\\boxed\{[^}]*\}", 1))
@@ -52,9 +56,13 @@ def clean_answer(c: Column) -> Column:
 
 def inject_boxed(solution: Column) -> Column:
     """TXT29: the solution with its final answer boxed at the end; null where it has a box or no sure answer. Later priorities are tried where an earlier answer isn't clean."""
+    return t.let(solution, _injected)
+
+
+def _injected(solution: Column) -> Column:
     tail = F.right(solution, F.lit(600))
     last = lambda c, q: t.strip(F.try_element_at(F.regexp_extract_all(c, F.lit(q.java), F.lit(1)), F.lit(-1)))
-    ok = lambda a, most=100: F.when(clean_answer(a) & (F.length(a) <= most), a)
+    ok = lambda a, most=100: t.let(a, lambda x: F.when(clean_answer(x) & (F.length(x) <= most), x))
     display = t.strip(F.regexp_replace(t.strip(t.nullif_empty(F.regexp_extract(solution, p.DISPLAY_FINAL.java, 1))), r"(?Ud)\A=\s*", ""))
     # the last inline formula with up to 80 characters before it
     near = r"(?Uds)\A.*?(.{0,80})\$([^$\n]{1,80})\$(?!.*\$[^$\n]{1,80}\$)"
@@ -64,26 +72,38 @@ def inject_boxed(solution: Column) -> Column:
     return F.when(~t.has(solution, p.BOXED) & answer.isNotNull(), F.concat(trimmed, F.lit("\n\n\\boxed{"), answer, F.lit("}")))
 
 
-_LEAKS = ("Source unit", "source unit", "Question:", "Instruction:", "Requirements", "要求", "原文")
+def _flags(*given: tuple[str, Column]) -> Column:
+    return F.array_compact(F.array(*(F.when(cond, F.lit(name)) for name, cond in given)))
+
+
+def _leaks(c: Column) -> Column:
+    return F.exists(F.array(*map(F.lit, p.LEAK_WORDS)), lambda w: F.contains(F.lower(c), w))
+
+
+def _dots(c: Column) -> Column:
+    return F.regexp_count(c, F.lit("[。.]"))
 
 
 def answer_flags(question: Column, answer: Column) -> Column:
-    """FLT16: flags in fixed order."""
-    q, a = t.normalise(question), t.normalise(answer)
-    boxed = t.last_boxed(answer) != ""
-    leak = F.exists(F.array(*map(F.lit, _LEAKS)), lambda w: F.contains(answer, w))
-    thin = ~F.contains(answer, F.lit("\n")) & (F.regexp_count(answer, F.lit("[。.]")) < 1)
-    copied = F.contains(a, q) & ~boxed & (F.length(a) < F.length(q) + 80) & (F.length(q) > 0)
-    flag = lambda cond, name: F.when(cond, F.lit(name))
-    return F.array_compact(F.array(flag(~boxed, "missing_boxed"), flag(leak, "prompt_leak"), flag(F.length(answer) < 50, "too_short"), flag(thin, "thin_reasoning"), flag(copied, "question_copied")))
+    """FLT16: flags in fixed order; nulls count as empty."""
+    question, answer = F.coalesce(question, F.lit("")), F.coalesce(answer, F.lit(""))
+    norm = t.let(F.struct(t.normalise(question).alias("q"), t.normalise(answer).alias("a")), lambda n: (n["q"] != "") & F.contains(n["a"], n["q"]) & (F.length(n["a"]) < F.length(n["q"]) + 80))
+    boxed = F.contains(answer, F.lit("\\boxed{"))
+    thin = ~F.contains(answer, F.lit("\n")) & (_dots(answer) < 1)
+    copied = ~boxed & norm
+    return _flags(("missing_boxed", ~boxed), ("prompt_leak", _leaks(answer)), ("too_short", F.length(answer) < 50), ("thin_reasoning", thin), ("question_copied", copied))
 
 
 def reasoning_flags(c: Column) -> Column:
-    """FLT17."""
-    leak = F.exists(F.array(*map(F.lit, _LEAKS)), lambda w: F.contains(c, w))
-    thin = (F.regexp_count(c, F.lit("\n")) < 2) & (F.regexp_count(c, F.lit("[。.]")) < 4)
-    flag = lambda cond, name: F.when(cond, F.lit(name))
-    return F.array_compact(F.array(flag(F.length(c) < 180, "too_short"), flag(leak, "prompt_leak"), flag(thin, "thin_reasoning"), flag(F.length(c) > 7000, "too_long")))
+    """FLT17: flags in fixed order; null counts as empty."""
+    c = F.coalesce(c, F.lit(""))
+    thin = (F.regexp_count(c, F.lit("\n")) < 2) & (_dots(c) < 4)
+    return _flags(("reasoning_too_short", F.length(c) < 180), ("reasoning_prompt_leak", _leaks(c)), ("reasoning_too_thin", thin), ("reasoning_too_long", F.length(c) > 7000))
+
+
+def question_rejected(c: Column) -> Column:
+    """FLT19: a question that holds its own answer."""
+    return F.contains(c, F.lit("\\boxed{")) | t.has(c, p.QUESTION_WITH_ANSWER)
 
 
 def gated(pairs: DataFrame, relaxed: bool = False) -> DataFrame:

@@ -120,4 +120,4 @@ def is_concept(title: Column, c: Column) -> Column:
 def valid_pair(problem: Column, solution: Column, kind: str) -> Column:
     """FLT12, FLT13."""
     enough = (F.length(problem) >= 30) & (F.length(solution) >= (80 if kind == "B" else 100))
-    return enough & (t.has(solution, p.MATH_IN_SOLUTION) if kind == "A" else t.has(F.concat(problem, F.lit("\n"), solution), p.MATH_CONTENT))
+    return enough & (t.has(solution, p.MATH_IN_SOLUTION) if kind == "A" else t.has(F.concat(problem, solution), p.MATH_CONTENT))

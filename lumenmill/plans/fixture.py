@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 MATHDOCS_SQL = """
@@ -26,3 +28,22 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With the score stand-in: 1 plus the quality label, 2 where there is none."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     return mathdocs(spark, sf_dir).join(labels, "doc_id", "left").selectExpr("doc_id", "lang", "k", "text", "cast(1.0 + coalesce(quality, 1) as double) as score")
+
+
+def scripted_model():
+    """Stands in for a chat model in queries: replies follow from the prompt alone, some without a box, some failing."""
+
+    def reply(prompt: str, max_tokens: int, temperature: float) -> str:
+        n = zlib.crc32(prompt.encode()) % 100
+        if n == 0:
+            raise TimeoutError("no reply")
+        if max_tokens == 180:
+            return f"1. What does rule {n} say about sums?\n2) Compute the sum of {n} and 3."
+        if max_tokens == 160:
+            return f"Question: What is the value of x + {n} in this passage?"
+        if max_tokens == 1500:
+            return "We write the terms down.\nWe add them in order.\n" + f"Adding {n} keeps both sides equal. " * 6
+        end = f"\\boxed{{{n}}}" if n % 3 else f"so that x = {n}."
+        return f"<think>hm</think>We write the terms of the sum down and add them.\nThe total follows, {end}"
+
+    return reply

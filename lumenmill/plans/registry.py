@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions import text as t
-from ..operators import dedup, extract, gates, quality, sampling, split
-from .fixture import MATHDOCS_SQL, mathdocs, scored
+from ..operators import coldstart, dedup, extract, gates, quality, routes, sampling, split
+from .fixture import MATHDOCS_SQL, mathdocs, scored, scripted_model
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -265,3 +265,74 @@ def des15_token_length(spark, sf_dir):
 @query()
 def des18_acceptance(spark, sf_dir):
     return sampling.acceptance(cas_a_to_d_extraction(spark, sf_dir))
+
+
+def flags(*given: tuple[str, str]) -> str:
+    """Names of the conditions that hold, in order, comma-joined."""
+    return "concat_ws(',', " + ", ".join(f"case when {cond} then '{name}' end" for name, cond in given) + ")"
+
+
+DOTS = "len(regexp_extract_all(text, '[。.]'))"
+LEAK = "(" + " or ".join(f"contains(lower(text), '{w}')" for w in p.LEAK_WORDS) + ")"
+
+
+@query(f"""{M} select doc_id, {flags(("reasoning_too_short", "length(text) < 180"), ("reasoning_prompt_leak", LEAK), ("reasoning_too_thin", f"length(text) - length(replace(text, chr(10), '')) < 2 and {DOTS} < 4"), ("reasoning_too_long", "length(text) > 7000"))} as flags from m""")
+def flt17_reasoning_flags(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", F.array_join(gates.reasoning_flags(F.col("text")), ",").alias("flags"))
+
+
+@query(f"{M}, q as (select doc_id, left(text, 120) as q from m) select doc_id, contains(q, chr(92) || 'boxed{{') or {has('q', p.QUESTION_WITH_ANSWER)} as rejected from q")
+def flt19_question_rejected(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", gates.question_rejected(F.left("text", F.lit(120))).alias("rejected"))
+
+
+@query()
+def flt16_answer_flags(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", F.array_join(gates.answer_flags(F.left("text", F.lit(120)), F.col("text")), ",").alias("flags"))
+
+
+@query()
+def txt18_txt19_route_a_units(spark, sf_dir):
+    return routes.units(mathdocs(spark, sf_dir)).select("source_id", "title", "source_unit", "question")
+
+
+@query()
+def txt20_concept_excerpts(spark, sf_dir):
+    return routes.excerpts(mathdocs(spark, sf_dir)).select("source_id", "knowledge_point", "source_unit")
+
+
+@query()
+def txt21_txt22_txt23_clean_replies(spark, sf_dir):
+    c = F.col("text")
+    return mathdocs(spark, sf_dir).select("doc_id", t.clean_answer(c).alias("answer"), t.rescue_boxed(c).alias("rescued"), t.clean_reasoning(c).alias("reasoning"))
+
+
+@query()
+def txt26_question_lists(spark, sf_dir):
+    return mathdocs(spark, sf_dir).select("doc_id", F.array_join(t.parse_questions(F.col("text")), chr(10)).alias("questions"))
+
+
+def generated(spark, sf_dir):
+    docs = routes.routed(quality.classify(mathdocs(spark, sf_dir)))
+    return routes.route_a(docs.filter("route = 'A'"), scripted_model).unionByName(routes.route_b(docs.filter("route = 'B'"), scripted_model))
+
+
+@query()
+def llm10_tvf6_routes(spark, sf_dir):
+    q, a = F.col("messages")[1]["content"], F.col("messages")[2]["content"]
+    return generated(spark, sf_dir).select("route", "source_id", q.alias("question"), a.alias("answer"), F.col("quality.keep").alias("keep"), F.array_join("quality.rule_flags", ",").alias("flags"))
+
+
+@query()
+def rel2_merge_routes(spark, sf_dir):
+    return routes.merged(generated(spark, sf_dir)).select("route", "source_id")
+
+
+@query()
+def cas6_cold_start(spark, sf_dir):
+    return coldstart.cold_start(quality.classify(mathdocs(spark, sf_dir)), relaxed=True).select("source_id", "input_class", "extraction_strategy", "boxed_injected", "boxed_count")
+
+
+@query()
+def snk5_cold_start_rejects(spark, sf_dir):
+    return coldstart.rejects(coldstart.gated_pairs(quality.classify(mathdocs(spark, sf_dir)), relaxed=True))
