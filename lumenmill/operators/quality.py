@@ -93,13 +93,13 @@ def undecided_label(c: Column) -> Column:
 def classify(docs: DataFrame, text: str = "text", model=None) -> DataFrame:
     """Rules, then ``model`` (DataFrame -> DataFrame that adds ``model_label``) for the undecided, then the fallback: ``label`` and ``label_source``. Without a model the undecided count as F."""
     c = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn("_rule", rule_label(c))
+    out = docs.withColumn("_rule", t.let(c, rule_label))  # bound once: a filter on the label is pushed below what made the text
     if model is not None:
         out = model(out.filter("_rule is null")).unionByName(out.filter("_rule is not null"), allowMissingColumns=True)
     else:
         out = out.withColumn("model_label", F.lit("F"))
     given = F.coalesce("model_label", F.lit("F"))  # the rules have left these undecided: they need no second run
-    out = out.withColumn("label", F.coalesce("_rule", F.when(given == "F", undecided_label(c)).otherwise(given)))
+    out = out.withColumn("label", F.coalesce("_rule", F.when(given == "F", t.let(c, undecided_label)).otherwise(given)))
     return out.withColumn("label_source", F.when(F.col("_rule").isNotNull(), "rule").otherwise("model")).drop("_rule", "model_label")
 
 

@@ -193,7 +193,7 @@ def txt30_txt31_txt32_ids(spark, sf_dir):
 @query()
 def cas_a_to_d_extraction(spark, sf_dir):
     docs = quality.classify(quality.clean(mathdocs(spark, sf_dir)).filter("reason is null").drop("reason"))
-    return extract.extract_pairs(docs.filter("label in ('A', 'B', 'C', 'D')")).select("doc_id", "label", "strategy", "problem", "solution")
+    return extract.extract_pairs(docs).select("doc_id", "label", "strategy", "problem", "solution")
 
 
 @query()
