@@ -6,6 +6,8 @@ import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.layout import spread
+
 MATHDOCS_SQL = """
 select doc_id, lang, cast(doc_id % 8 as int) as k, case cast(doc_id % 8 as int)
  when 0 then concat('# Worksheet ', cast(doc_id as varchar(20)), chr(10), chr(10), '## Problem', chr(10), chr(10), 'Find x such that $x + ', cast(doc_id % 97 as varchar(20)), ' = ', cast(2 * (doc_id % 97) as varchar(20)), '$. ', substring(split_part(t, chr(10), 1), 1, 120), chr(10), chr(10), '## Solution', chr(10), chr(10), substring(t, 1, 1500), chr(10), chr(10), 'Thus, the answer is $', cast(doc_id % 97 as varchar(20)), '$.')
@@ -21,7 +23,7 @@ from (select doc_id, lang, coalesce(text, '') as t from documents)
 
 
 def mathdocs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(MATHDOCS_SQL.replace("from documents", "from {documents}"), documents=spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return spark.sql(MATHDOCS_SQL.replace("from documents", "from {documents}"), documents=spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

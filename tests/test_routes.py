@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from lumenmill.functions import text as t
 from lumenmill.operators import coldstart, extract, gates, routes
+from lumenmill.sources.layout import spread
 
 
 def col(spark, values, column):
@@ -107,3 +108,12 @@ def test_extraction_orders():
     got = extract.example_headings(extract.Doc(f"{lead}## Example 1: reduce\n\n{steps}"), "C")
     assert got[0] == "Ratios of numbers\n\nA ratio compares $a$ and $b$ in a fixed order."
     assert extract.solution_only(extract.Doc("## Problem\n\n## Solution\n\nx")) is None
+
+
+def test_spread_deals_out_small_tables(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
+    spark.range(100).repartition(8).write.parquet(f"{tmp_path}/many")
+    one, many = (spread(spark.read.parquet(f"{tmp_path}/{x}")) for x in ("one", "many"))
+    sizes = [r["n"] for r in one.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 100 and len(sizes) == spark.sparkContext.defaultParallelism
+    assert "RoundRobin" not in many._jdf.queryExecution().toString() and many.count() == 100
