@@ -84,21 +84,21 @@ def _dots(c: Column) -> Column:
     return F.regexp_count(c, F.lit("[。.]"))
 
 
-def answer_flags(question: Column, answer: Column) -> Column:
-    """FLT16: flags in fixed order; nulls count as empty."""
+def answer_flags(question: Column, answer: Column, min_chars: int = 50, min_dots: int = 1) -> Column:
+    """FLT16: flags in fixed order; nulls count as empty. DES17 asks for 80 characters and 2 full stops."""
     question, answer = F.coalesce(question, F.lit("")), F.coalesce(answer, F.lit(""))
     norm = t.let(F.struct(t.normalise(question).alias("q"), t.normalise(answer).alias("a")), lambda n: (n["q"] != "") & F.contains(n["a"], n["q"]) & (F.length(n["a"]) < F.length(n["q"]) + 80))
     boxed = F.contains(answer, F.lit("\\boxed{"))
-    thin = ~F.contains(answer, F.lit("\n")) & (_dots(answer) < 1)
+    thin = ~F.contains(answer, F.lit("\n")) & (_dots(answer) < min_dots)
     copied = ~boxed & norm
-    return _flags(("missing_boxed", ~boxed), ("prompt_leak", _leaks(answer)), ("too_short", F.length(answer) < 50), ("thin_reasoning", thin), ("question_copied", copied))
+    return _flags(("missing_boxed", ~boxed), ("prompt_leak", _leaks(answer)), ("too_short", F.length(answer) < min_chars), ("thin_reasoning", thin), ("question_copied", copied))
 
 
-def reasoning_flags(c: Column) -> Column:
-    """FLT17: flags in fixed order; null counts as empty."""
+def reasoning_flags(c: Column, min_chars: int = 180) -> Column:
+    """FLT17: flags in fixed order; null counts as empty. DES17 asks for 220 characters."""
     c = F.coalesce(c, F.lit(""))
     thin = (F.regexp_count(c, F.lit("\n")) < 2) & (_dots(c) < 4)
-    return _flags(("reasoning_too_short", F.length(c) < 180), ("reasoning_prompt_leak", _leaks(c)), ("reasoning_too_thin", thin), ("reasoning_too_long", F.length(c) > 7000))
+    return _flags(("reasoning_too_short", F.length(c) < min_chars), ("reasoning_prompt_leak", _leaks(c)), ("reasoning_too_thin", thin), ("reasoning_too_long", F.length(c) > 7000))
 
 
 def question_rejected(c: Column) -> Column:
@@ -113,6 +113,11 @@ def gated(pairs: DataFrame, relaxed: bool = False) -> DataFrame:
     return out.withColumn("gate", gate_reason(F.col("problem"), F.col("solution"), relaxed))
 
 
+def judged_good(judge: Column) -> Column:
+    """DES13: the least marks of a model's judgement (TXT25)."""
+    return (judge["groundedness"] >= 3) & (judge["reasoning"] >= 3) & (judge["format"] >= 4)
+
+
 def keep_rows(rows: DataFrame) -> DataFrame:
     """FLT18."""
     return rows.filter(F.coalesce(F.col("quality.keep"), F.lit(False)) & F.coalesce(F.col("reasoning_quality.keep"), F.lit(False)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as p
@@ -75,3 +75,20 @@ def overlapping_chunks(docs: DataFrame, text: str = "text", size: int = 1500, ov
     """DES11: windows of ``size`` characters, each ``overlap`` into the one before."""
     starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(size - overlap))
     return docs.withColumn("_at", F.explode(starts)).withColumn("chunk", F.substr(F.col(text), F.col("_at"), F.lit(size))).filter("length(chunk) > 0").withColumn("chunk_start", (F.col("_at") - 1).cast("long")).drop("_at")
+
+
+def split_questions(docs: DataFrame, text: str = "text") -> DataFrame:
+    """DES12: a document with two or more problem headings gives one row for each, from that heading to the next; ``qa_index`` counts from 0.
+    Others stay whole with index 0, as do null texts. What stands before the first problem heading goes with the split."""
+    mark = "\x02"
+    c = F.translate(F.col(text), mark, "")
+    parts = F.split(F.regexp_replace(c, p.PROB_HEADER.java, mark + "$0"), mark)
+    units = F.when(F.size(parts) > 2, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(F.array(F.col(text)))
+    rest = [x for x in docs.columns if x != text]
+    return docs.select(*rest, F.posexplode(units).alias("qa_index", text)).select(*docs.columns, F.col("qa_index").cast("long").alias("qa_index"))
+
+
+def first_pairs(pairs: DataFrame, article: str, order: str, most: int = 2) -> DataFrame:
+    """DES10: of every article its first ``most`` pairs. Each task ranks before the shuffle (a group limit), so a long article sends few rows. Null articles are one article."""
+    rank = F.row_number().over(Window.partitionBy(article).orderBy(order))
+    return pairs.withColumn("_r", rank).filter(F.col("_r") <= most).drop("_r")

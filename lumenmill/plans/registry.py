@@ -336,3 +336,14 @@ def cas6_cold_start(spark, sf_dir):
 @query()
 def snk5_cold_start_rejects(spark, sf_dir):
     return coldstart.rejects(coldstart.gated_pairs(quality.classify(mathdocs(spark, sf_dir)), relaxed=True))
+
+
+QA_PARTS = f"string_split(regexp_replace(text, {lit(f'(?{p.PROB_HEADER.flags})({p.PROB_HEADER.body})')}, chr(2) || '\\1', 'g'), chr(2))"
+
+
+@query(f"""{M}, s as (select doc_id, concat(text, chr(10), text) as text from m), q as (select doc_id, text, {QA_PARTS} as parts from s),
+u as (select doc_id, unnest(case when len(parts) > 2 then parts[2:] else [text] end) as text, unnest(range(0, case when len(parts) > 2 then len(parts) - 1 else 1 end)) as qa_index from q)
+select doc_id, qa_index, text from u where qa_index < 2""")
+def des10_des12_question_splits(spark, sf_dir):
+    twice = mathdocs(spark, sf_dir).select("doc_id", F.concat("text", F.lit("\n"), "text").alias("text"))
+    return split.first_pairs(split.split_questions(twice), "doc_id", "qa_index").select("doc_id", "qa_index", "text")

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenmill.functions import text as t
-from lumenmill.operators import coldstart, extract, gates, routes
+from lumenmill.operators import coldstart, extract, gates, routes, split
 from lumenmill.sources.layout import spread
 
 
@@ -18,6 +18,8 @@ def test_flags(spark):
     assert got == [[], ["missing_boxed", "prompt_leak", "too_short", "thin_reasoning"], ["missing_boxed", "too_short", "thin_reasoning", "question_copied"], ["too_short", "thin_reasoning"], ["missing_boxed", "too_short", "thin_reasoning"]]
     got = col(spark, ["a. " * 80, "x" * 7001, "User: hi", None], gates.reasoning_flags)
     assert got == [[], ["reasoning_too_thin", "reasoning_too_long"], ["reasoning_too_short", "reasoning_prompt_leak", "reasoning_too_thin"], ["reasoning_too_short", "reasoning_too_thin"]]
+    assert col(spark, ["y" * 60 + ". a\n", "z" * 80 + "."], lambda c: gates.answer_flags(F.lit("q"), c, 80, 2)) == [["missing_boxed", "too_short"], ["missing_boxed", "thin_reasoning"]]
+    assert col(spark, ["groundedness=3 reasoning=3 format=4", "groundedness=5 reasoning=5 format=3"], lambda c: gates.judged_good(t.parse_judge(c))) == [True, False]
     assert col(spark, ["What is $x$ now?", "is $x$ = 4?", "a \\boxed{1}?", "What?"], gates.question_rejected) == [True, True, True, False]
 
 
@@ -117,3 +119,11 @@ def test_spread_deals_out_small_tables(spark, tmp_path):
     sizes = [r["n"] for r in one.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 100 and len(sizes) == spark.sparkContext.defaultParallelism
     assert "RoundRobin" not in many._jdf.queryExecution().toString() and many.count() == 100
+
+
+def test_question_splits(spark):
+    texts = ["lead\n## Problem 1\na\n## Solution\nb\n## Problem 2\nc\n### Question\nd", "## Problem\nx", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r["doc_id"], r["qa_index"], r["text"]) for r in split.split_questions(docs).orderBy("doc_id", "qa_index").collect()]
+    assert got == [(0, 0, "## Problem 1\na\n## Solution\nb\n"), (0, 1, "## Problem 2\nc\n"), (0, 2, "### Question\nd"), (1, 0, "## Problem\nx"), (2, 0, ""), (3, 0, None)]
+    assert split.first_pairs(split.split_questions(docs), "doc_id", "qa_index").count() == 5
