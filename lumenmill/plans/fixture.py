@@ -10,8 +10,8 @@ from ..sources.layout import spread
 
 MATHDOCS_SQL = """
 select doc_id, lang, cast(doc_id % 8 as int) as k, case cast(doc_id % 8 as int)
- when 0 then concat('# Worksheet ', cast(doc_id as varchar(20)), chr(10), chr(10), '## Problem', chr(10), chr(10), 'Find x such that $x + ', cast(doc_id % 97 as varchar(20)), ' = ', cast(2 * (doc_id % 97) as varchar(20)), '$. ', substring(split_part(t, chr(10), 1), 1, 120), chr(10), chr(10), '## Solution', chr(10), chr(10), substring(t, 1, 1500), chr(10), chr(10), 'Thus, the answer is $', cast(doc_id % 97 as varchar(20)), '$.')
- when 1 then concat('# Sheet ', cast(doc_id as varchar(20)), chr(10), chr(10), 'Compute the integral of x + ', cast(doc_id % 97 as varchar(20)), '. ', substring(t, 1, 200), chr(10), chr(10), '## Answer', chr(10), chr(10), substring(t, 1, 1500), ' and 1 + 1 = 2')
+ when 0 then concat('# Worksheet ', cast(doc_id as varchar(20)), chr(10), chr(10), '## Problem', chr(10), chr(10), 'Find x such that $x + ', cast(doc_id % 97 as varchar(20)), ' = ', cast(2 * (doc_id % 97) as varchar(20)), '$. ', split_part(t, chr(10), 1), chr(10), chr(10), '## Solution', chr(10), chr(10), t, chr(10), chr(10), 'Thus, the answer is $', cast(doc_id % 97 as varchar(20)), '$.')
+ when 1 then concat('# Sheet ', cast(doc_id as varchar(20)), chr(10), chr(10), 'Compute the integral of x + ', cast(doc_id % 97 as varchar(20)), '. ', t, chr(10), chr(10), '## Answer', chr(10), chr(10), t, ' and 1 + 1 = 2')
  when 2 then concat('Posted by u', cast(doc_id as varchar(20)), chr(10), 'Joined: 2009', chr(10), t, chr(10), 'Reply #1', chr(10), 'Quote: see https://a.example/x ', t)
  when 3 then concat('1.1 Intro ', t, chr(10), '1.2 More', chr(10), 'Theorem 1.1 abc', chr(10), 'Definition 2 xyz')
  when 4 then concat('1 + 1 = 2', chr(10), '2 + 2 = 4', chr(10), '3 + 3 = 6', chr(10), '4 + 4 = 8', chr(10), '5 + 5 = 10', chr(10), '6 + 6 = 12', chr(10), '7 + 7 = 14', chr(10), '8 + 8 = 16', chr(10), t)
