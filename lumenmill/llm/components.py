@@ -12,7 +12,8 @@ def components(links: DataFrame, folder: str) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b), root being the smallest node that it reaches.
 
     Each round takes the least root among a node and its neighbours, then follows the root's own
-    root, so paths halve; it ends when nothing changes. Rounds are tables in shared storage."""
+    root, so paths halve; it ends when nothing changes. Rounds are tables in shared storage. Repeated
+    links count once, a link from a node to itself and one with a null end name no node; no links, no rows."""
     both = storage.staged(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).filter("a <> b").distinct(), f"{folder}/links")
     roots = storage.staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), f"{folder}/round-0")
     k = 0

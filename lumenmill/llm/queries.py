@@ -40,7 +40,7 @@ def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(_table(spark, sf_dir, "pages"), storage.workspace(spark, "warc"))
-    return warc.read_archives(manifest)
+    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,11 @@ a tile pair by bit count, compares sub-tiles with exclusive-or and bit counts, a
 of sub-tiles whose counts differ beyond the radius. It passes on a spanning forest of its links,
 not all of them: what is connected stays connected, and a large group makes no square of rows.
 
-Rows with equal ids are all kept and share the id's smallest component; a null id is a document
-of its own kind and ranks first. An empty table gives none; extra columns are ignored."""
+``near_duplicates`` gives one row for every input row: rows with equal ids are judged each by its own text, and a component is named by the
+smallest id among its rows (null only where none has one). ``keep_one`` leaves one row of every component: that of the smallest id (a row
+without id only where none has one), of several such rows that of the smallest text hash, of repeats the smallest by all columns; null and empty
+texts are alike. An empty table gives none; extra columns are ignored by the first and kept by the second. A task holds ``BATCH`` bytes of texts,
+or one longer text, and a tile pair. Rows that share a fingerprint meet its component in a join with one row a fingerprint, whose skew AQE splits."""
 
 from __future__ import annotations
 
@@ -21,14 +24,14 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import storage
 from .components import components
 
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-TILE = 1 << 12
+TILE, BATCH = 1 << 12, 4 << 20
 SUB = 512
 
 
@@ -47,14 +50,19 @@ def fingerprint(text: bytes | None) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+    """doc_id, fp (the 64 bits as a signed long), and a hash of the text."""
 
     def run(batches):
-        for b in batches:
-            fps = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+        for whole in batches:
+            for b in storage.bounded(whole, 2, BATCH):
+                fps = np.array([fingerprint(t) for t in b.column(2).to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), b.column(1)], names=["doc_id", "fp", "text_hash"])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long, text_hash long")
+
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))).alias("text_hash")
 
 
 def tile_links(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -139,13 +147,31 @@ def links(fps: DataFrame, folder: str, radius: int = 3, tile: int = TILE) -> Dat
     return paired.select(*order, "fp").repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
 
 
+def _rooted(own: DataFrame, folder: str, radius: int, best: Column) -> DataFrame:
+    """(fp, root, first): of every distinct fingerprint its component, and ``best`` of its rows."""
+    firsts = storage.staged(own.groupBy("fp").agg(best.alias("first")), f"{folder}/distinct")
+    roots = components(links(firsts.select("fp"), folder, radius), folder)
+    return firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id in the document's component."""
+    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id in the row's component."""
     folder = storage.workspace(docs.sparkSession, "simhash")
-    own = storage.staged(fingerprints(docs, id_col, text_col), f"{folder}/fingerprints")
-    firsts = storage.staged(own.groupBy("fp").agg(F.min("doc_id").alias("first")), f"{folder}/distinct")
-    roots = components(links(firsts.select("fp"), folder, radius), folder)
-    of_fp = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    of_root = of_fp.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = of_fp.join(of_root, "root").select("fp", "component_id")
+    own = storage.staged(fingerprints(docs, id_col, text_col).select("doc_id", "fp"), f"{folder}/fingerprints")
+    of_fp = _rooted(own, folder, radius, F.min("doc_id"))
+    named = of_fp.join(of_fp.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id")
     return own.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3) -> DataFrame:
+    """The rows, with all their columns, that stand for their components."""
+    folder = storage.workspace(docs.sparkSession, "simhash")
+    own = storage.staged(fingerprints(docs, id_col, text_col), f"{folder}/fingerprints")
+    rows = storage.staged(own.groupBy("fp", "doc_id", "text_hash").agg(F.count("*").alias("n")), f"{folder}/rows")
+    of_fp = _rooted(rows, folder, radius, F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")))
+    chosen = of_fp.groupBy("root").agg(F.min("first").alias("c")).select(F.col("c.doc_id").alias("_id"), F.col("c.text_hash").alias("_hash"), (F.col("c.n") > 1).alias("_many"))
+    chosen = storage.staged(chosen, f"{folder}/chosen")
+    met = docs.withColumn("_own", text_hash(text_col)).join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")))
+    alone = met.filter(~F.col("_many")).select(*docs.columns)
+    repeats = met.filter("_many").groupBy("_id", "_hash").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")  # a running minimum in each task: repeats are never gathered
+    return alone.unionByName(repeats)

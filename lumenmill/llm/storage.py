@@ -1,28 +1,19 @@
-"""Shared storage of a job: intermediate tables and files that every executor can read."""
+"""Files of a job in shared storage, and the tables of :mod:`lumenmill.sources.shared`."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
-
-ROOT = str(Path(__file__).resolve().parents[2])
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
+from ..sources.shared import staged, workspace  # noqa: F401 - part of this module's interface
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh folder under spark.checkpoint.dir, as a URI that Spark and pyarrow.fs both open.
-
-    Only where that setting is absent (local tests) a temporary folder takes its place."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = os.environ.setdefault("LUMENMILL_SHARED", tempfile.mkdtemp(prefix="lumenmill-"))
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/lumenmill/{name}-{uuid.uuid4().hex}")
-    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
+ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def workers_find_package(spark: SparkSession) -> None:
@@ -33,10 +24,16 @@ def workers_find_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *parts])
 
 
-def staged(df: DataFrame, path: str) -> DataFrame:
-    """Write a table once to shared storage and read it again: lineage ends there, and a lost executor costs no recomputation."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def bounded(batch: pa.RecordBatch, place: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch with ``most`` bytes in column ``place`` at most, so that a worker unpacks no more at once; a longer text comes alone."""
+    lo = held = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()):
+        if i > lo and held + n > most:
+            yield batch.slice(lo, i - lo)
+            lo, held = i, 0
+        held += n
+    if lo < batch.num_rows:
+        yield batch.slice(lo)
 
 
 def open_fs(uri: str):
@@ -62,3 +59,10 @@ def get_file(uri: str) -> bytes:
     system, path = open_fs(uri)
     with system.open_input_file(path) as f:
         return f.read()
+
+
+def get_range(uri: str, start: int, size: int) -> bytes:
+    """Some bytes of a file, without the rest."""
+    system, path = open_fs(uri)
+    with system.open_input_file(path) as f:
+        return f.read_at(size, start)

@@ -1,46 +1,71 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences. Each sentence has the chance sigmoid(bias + weights of its words);
-the document's is their noisy-or with
+A document is a bag of sentences. Each sentence has the chance sigmoid(bias + weights of its words and of their beginnings, ``PREFIXES`` letters long, so
+that inflected forms of a word count without having been seen); the document's is their noisy-or with
 a leak, 1 - (1 - e) prod(1 - p); the leak takes labels that no sentence explains. Weights come from document labels alone,
 so the sentences that carry a label are found on the way (``worst_sentence``).
 
-``fit`` uses a sample of at most ``max_train_docs`` labelled documents, those whose id has the smallest hash;
+``fit`` uses a sample of at most ``max_train_docs`` labelled documents, those whose id has the smallest hash, of each whole sentences up to ``max_train_bytes``
+drawn by their hash, so that the driver's memory is bounded;
 a document with several labels counts as toxic if any says so, one with several texts by the greatest. ``score`` reads every
 whole text: null and empty texts have one empty sentence and the bias' chance; rows are judged each on its own; an empty
-table gives none. Without labels of both kinds all weights are zero. Extra columns are ignored."""
+table gives none. Without labels of both kinds all weights are zero. Extra columns are ignored. A task holds ``BATCH`` bytes of texts, or one longer text,
+and the values of ``CACHE`` words."""
 
 from __future__ import annotations
 
+import re
+import zlib
 from array import array
 from collections import Counter
-from itertools import repeat
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import storage
+
 # Sentence ends become a new line, letters and digits stay, the rest parts words.
 _TABLE = bytes(10 if c in b".!?\n" else c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _END = b"\x01"
+PREFIXES = (4, 5, 6, 7)
+BATCH, CACHE = 1 << 20, 200_000
+
+
+def beginnings(word: bytes) -> list[bytes]:
+    """Its first letters, marked as such."""
+    text = word.decode("utf-8", "replace")
+    return [b"\x02" + text[:k].encode() for k in PREFIXES if k < len(text)]
 
 
 class Model:
-    def __init__(self, vocab: dict[bytes, int], weights: np.ndarray, bias: float, leak: float):
-        self.vocab, self.weights, self.bias, self.leak = vocab, weights, bias, leak
+    def __init__(self, values: dict[bytes, float], bias: float, leak: float):
+        """``values``: the weights of words and beginnings that are not zero."""
+        self.values, self.bias, self.leak = values, bias, leak
+        self.known: dict[bytes, float] = {_END: np.nan}
+
+    def _value(self, word: bytes) -> float:
+        v = self.values
+        return v.get(word, 0.0) + sum(v.get(x, 0.0) for x in beginnings(word))
 
     def score(self, texts: list[bytes | None]) -> tuple[np.ndarray, list[int]]:
-        """Chance of each text, and the number of its likeliest sentence, from 0."""
+        """Chance of each text, and the number of its likeliest sentence, which is that of the ends (. ! ? and new lines) before it."""
         words, ends = [], []
         for t in texts:
             words += (t or b"").translate(_TABLE).replace(b"\n", b" \x01 ").split()
             words.append(_END)
             ends.append(len(words))
-        ids = np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, len(words))
-        stops = np.flatnonzero(ids == 1)  # ends of sentences
+        if len(self.known) > CACHE:
+            self.known = {_END: np.nan}
+        for w in set(words).difference(self.known):
+            self.known[w] = self._value(w)
+        value = np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
+        stops = np.flatnonzero(np.isnan(value))  # ends of sentences
+        value[stops] = 0.0
         begins = np.concatenate([[0], stops[:-1] + 1])
-        sums = np.concatenate([[0.0], np.cumsum(self.weights[ids])])
+        sums = np.concatenate([[0.0], np.cumsum(value)])
         z = self.bias + sums[stops] - sums[begins]
         full = (stops > begins) | np.isin(stops, np.array(ends) - 1)  # runs of ends are no sentences
         logq = np.where(full, -np.logaddexp(0, z), 0.0)
@@ -53,28 +78,35 @@ class Model:
 
 
 def train(texts: list[bytes], labels: list[int], min_docs: int = 5, max_words: int = 30_000, rounds: int = 120, rate: float = 0.1, l1: float = 1.5e-4) -> Model:
-    """Full-batch Adam on the noisy-or's likelihood, with a soft threshold ``l1`` that leaves words without evidence at zero. The vocabulary is the ``max_words`` words of most documents, ``min_docs`` at least."""
+    """Full-batch Adam on the noisy-or's likelihood, with a soft threshold ``l1`` that leaves words without evidence at zero. The vocabulary is the ``max_words`` words of most documents, ``min_docs`` at least,
+    and as many beginnings at most that toxic documents have clearly above chance."""
     y = np.array(labels, bool)
+    bias, leak = -7.0, -4.0
+    if not y.any() or y.all():
+        return Model({}, bias, leak)
     df, seen = Counter(), Counter()
     for t, toxic in zip(texts, y.tolist(), strict=True):  # each pass parts the texts anew: words of all are never held at once
         own = set((t or b"").translate(_TABLE).split())
+        own.update([x for w in own for x in beginnings(w)])
         df.update(own)
         if toxic:
             seen.update(own)
-    kept = sorted((w for w, n in df.items() if n >= min_docs), key=lambda w: (-df[w], w))[:max_words]
-    vocab = {_END: 1} | {w: i + 2 for i, w in enumerate(kept)}
-    weights, bias, leak = np.zeros(len(kept) + 2), -7.0, -4.0
-    if not y.any() or y.all():
-        return Model(vocab, weights, bias, leak)
     base = y.mean()
-    for w, n in seen.items():  # a start among words that toxic documents have far above chance; the likelihood is not convex
-        if w in vocab and (n - df[w] * base) / np.sqrt(df[w] * base * (1 - base)) > 4:
-            weights[vocab[w]] = 6.0
-    del df, seen
+    excess = {w: (n - df[w] * base) / np.sqrt(df[w] * base * (1 - base)) for w, n in seen.items() if df[w] >= min_docs}
+    kept = sorted((w for w, n in df.items() if n >= min_docs and w[0] != 2), key=lambda w: (-df[w], w))[:max_words]
+    kept += sorted((w for w, x in excess.items() if w[0] == 2 and x > 3), key=lambda w: (-excess[w], w))[:max_words]
+    vocab = {w: i for i, w in enumerate(kept)}
+    weights = np.zeros(len(kept))
+    for w, x in excess.items():  # a start among words that toxic documents have far above chance; the likelihood is not convex
+        if w in vocab and x > 4:
+            weights[vocab[w]] = 6.0 if w[0] != 2 else 3.0
+    del df, seen, excess
+    parts = lru_cache(100_000)(beginnings)
     word, size, doc_of = array("i"), array("i"), array("i")  # words of all sentences, their number in each, its document
     for d, t in enumerate(texts):
         for line in (t or b"").translate(_TABLE).split(b"\n"):
-            if got := {vocab[w] for w in line.split() if w in vocab}:
+            own = line.split()
+            if got := {vocab[x] for w in own for x in (w, *parts(w)) if x in vocab}:
                 word.extend(got)
                 size.append(len(got))
                 doc_of.append(d)
@@ -109,51 +141,68 @@ def train(texts: list[bytes], labels: list[int], min_docs: int = 5, max_words: i
                 shrink = l1 * pace
         weights, bias, leak = weights - step[0], bias - step[1], leak - step[2]
         weights = np.sign(weights) * np.maximum(np.abs(weights) - shrink, 0)
-    weights[:2] = 0
-    return Model(vocab, weights, float(bias), float(leak))
+    return Model({w: float(weights[i]) for w, i in vocab.items() if weights[i]}, float(bias), float(leak))
 
 
 def held_out(id_col) -> F.Column:
     return F.crc32(id_col.cast("string")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train_docs: int = 12_000) -> Model:
-    """Learn from labels of rows that are not held out."""
+def drawn_sentences(text: bytes, most: int) -> bytes:
+    """Whole sentences of a text, in their order, ``most`` bytes at most: those of the smallest hashes; a shorter text as it is. A sentence that is longer alone is cut."""
+    if len(text) <= most:
+        return text
+    parts = re.findall(rb"[^.!?\n]*[.!?\n]|[^.!?\n]+", text)
+    left, taken = most, []
+    for k in sorted(range(len(parts)), key=lambda i: (zlib.crc32(parts[i]), i)):
+        if len(parts[k]) <= left:
+            left -= len(parts[k])
+            taken.append(k)
+    return b"".join(parts[k] for k in sorted(taken)) or text[:most]
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train_docs: int = 12_000, max_train_bytes: int = 1 << 16) -> Model:
+    """Learn from labels of rows that are not held out, of at most ``max_train_docs`` documents and ``max_train_bytes`` of each."""
     ids = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").filter(~held_out(F.col("doc_id")))
     ids = ids.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_docs)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(ids), "doc_id")  # at most max_train_docs ids
-    got = rows.groupBy("doc_id", "y").agg(F.max("text").alias("text")).orderBy("doc_id").select("y", "text").toArrow()
-    y, texts = got.column("y").to_pylist(), [t or b"" for t in got.column("text").to_pylist()]
+    rows = rows.groupBy("doc_id", "y").agg(F.max("text").alias("text"))
+
+    def draw(batches):
+        for whole in batches:
+            for b in storage.bounded(whole, 2, BATCH):
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([drawn_sentences(t or b"", max_train_bytes) for t in b.column(2).to_pylist()], pa.binary())], names=["doc_id", "y", "text"])
+
+    got = rows.mapInArrow(draw, "doc_id long, y int, text binary").orderBy("doc_id").select("y", "text").toArrow()
+    y, texts = got.column("y").to_pylist(), got.column("text").to_pylist()
     del got
     return train(texts, y)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """doc_id, held_out, score, predicted, worst_sentence."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.vocab, model.weights, model.bias, model.leak))  # max_words words at most
+def _scored(docs: DataFrame, model: Model, place: int, answer, schema) -> DataFrame:
+    """``answer(rows, chances, worst sentences)`` of parts of every batch whose column ``place`` holds the text."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.values, model.bias, model.leak))  # twice max_words words at most
 
     def run(batches):
         m = Model(*shared.value)
-        for b in batches:
-            for i in range(0, b.num_rows, 1000):
-                part = b.slice(i, 1000)
-                p, worst = m.score(part.column(2).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32)), pa.array(worst, pa.int32())], names=["doc_id", "held_out", "score", "predicted", "worst_sentence"])
+        for whole in batches:
+            for b in storage.bounded(whole, place, BATCH):
+                p, worst = m.score([t.encode() if isinstance(t, str) else t for t in b.column(place).to_pylist()])
+                yield answer(b, p, worst)
+
+    return docs.mapInArrow(run, schema)
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """doc_id, held_out, score, predicted, worst_sentence."""
+
+    def answer(b, p, worst):
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32)), pa.array(worst, pa.int32())], names=["doc_id", "held_out", "score", "predicted", "worst_sentence"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out(F.col(id_col).cast("long")), F.lit(False)).alias("held_out"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, worst_sentence int")
+    return _scored(rows, model, 2, answer, "doc_id long, held_out boolean, score double, predicted int, worst_sentence int")
 
 
 def keep(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows, with all their columns, whose score is below ``threshold``."""
-    shared, place = docs.sparkSession.sparkContext.broadcast((model.vocab, model.weights, model.bias, model.leak)), docs.columns.index(text_col)
-
-    def run(batches):
-        m = Model(*shared.value)
-        for b in batches:
-            for i in range(0, b.num_rows, 1000):
-                part = b.slice(i, 1000)
-                p, _ = m.score([t.encode() if t else b"" for t in part.column(place).to_pylist()])
-                yield part.filter(pa.array(p < threshold))
-
-    return docs.mapInArrow(run, docs.schema)
+    return _scored(docs, model, docs.columns.index(text_col), lambda b, p, _: b.filter(pa.array(p < threshold)), docs.schema)
