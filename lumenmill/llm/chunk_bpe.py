@@ -1,15 +1,15 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 A rolling hash over 16 bytes cuts every text where its content says so, so a passage shared by
-documents falls into the same chunks in all of them. A chunk is encoded once while a worker's
-bounded cache holds it. Only its core, from its first white space to its last, is final:
-what lies outside is joined with the neighbour's and encoded again, growing until white space
-bounds it on both sides. The tokenizer drops white space and merges nothing across it, so from
-there on the ids agree with those of the whole text, whatever stands around.
+documents falls into the same chunks in all of them. A chunk is encoded as a text of its own, once while a worker's
+bounded cache holds it: reuse is within a worker, since sending chunks to one place and their ids back would cost more than
+encoding them (README has the measured share). A join of two chunks is repaired: the last two words of the one and the first two of the other are encoded
+together, and this counts if its ids agree with those of the outer two words as their chunks have them; where they don't, the
+window grows to both chunks, then to the whole text. A chunk of fewer than four words grows by its neighbour.
 
 ``encode_documents`` gives ids and the decoded text of every row in the order of its input:
 null and empty texts have no ids, repeated rows are all kept, an empty table gives none, extra
-columns are ignored. One pass over the table, no shuffle; a task holds one Arrow batch and
+columns are ignored. One pass over the table, no shuffle; a task holds ``BATCH`` bytes of texts or one longer text,
 ``cache_bytes`` of chunks and two generations of ``pieces`` words."""
 
 from __future__ import annotations
@@ -17,15 +17,19 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, storage
 
-WINDOW, MIN_CHUNK = 16, 256
+WINDOW, MIN_CHUNK, BATCH = 16, 256, 1 << 20
+_WHITE = b" \t\n\r\x0b\x0c"
+_SPACES = [bytes([c]) for c in _WHITE]
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -41,62 +45,106 @@ def cut_points(text: bytes, mask: int = 1023) -> list[int]:
         h, step = up, 2 * step
     out, last = [], 0
     for i in (np.flatnonzero((h >> np.uint32(16)) & np.uint32(mask) == 0) + 1).tolist():
+        while i < len(text) and text[i] & 0xC0 == 0x80:  # never inside a code point
+            i += 1
         if i - last >= MIN_CHUNK and i < len(text):
             out.append(i)
             last = i
     return [*out, len(text)]
 
 
-_SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
+_SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]+")
 
 
-def split_core(chunk: bytes) -> tuple[bytes, bytes, bytes] | None:
-    """Head up to the first white space, core, tail from the last; None without any."""
-    found = _SPACE.search(chunk)
-    if not found:
-        return None
-    last = max(map(chunk.rfind, (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c")))
-    return chunk[: found.start()], chunk[found.start() : last + 1], chunk[last + 1 :]
+class Part(NamedTuple):
+    """A chunk's first two words (their bytes and ids, the ids of the second), what is between, and its last two (the ids of the first of them)."""
+
+    head: bytes
+    head_ids: bytes
+    second: bytes
+    body_ids: bytes
+    tail: bytes
+    tail_ids: bytes
+    last_but_one: bytes
 
 
 class ChunkEncoder:
     def __init__(self, path: str = bpe.DEFAULT_PATH, cache_bytes: int = 24 << 20, pieces: int = 150_000):
         self.enc, self.room = bpe.Encoder(path, pieces), cache_bytes
-        self.cache: dict[bytes, tuple | None] = {}
-        self.held = self.hits = self.misses = 0
+        self.new: dict[bytes, Part | None] = {}
+        self.old: dict[bytes, Part | None] = {}
+        self.held = self.hits = self.misses = self.grown = 0
 
-    def chunk(self, chunk: bytes) -> tuple[bytes, bytes, bytes] | None:
+    def chunk(self, chunk: bytes) -> Part | None:
         key = hashlib.blake2b(chunk, digest_size=16).digest()
-        if key in self.cache:
+        if key in self.new:
+            self.hits += 1
+            return self.new[key]
+        if key in self.old:
             self.hits += 1
-            return self.cache[key]
-        self.misses += 1
-        parts = split_core(chunk)
-        got = parts and (parts[0], self.enc.encode(parts[1]), parts[2])
-        self.held += 200 + (sum(map(len, got)) if got else 0)
-        if self.held > self.room:
-            self.cache, self.held = {}, 0
-        self.cache[key] = got
+            got = self.old[key]
+        else:
+            self.misses += 1
+            got = self.part(chunk)
+        self.held += 300 + (sum(map(len, got)) if got else 0)
+        if 2 * self.held > self.room:
+            self.old, self.new, self.held = self.new, {}, 0
+        self.new[key] = got
         return got
 
+    def part(self, chunk: bytes) -> Part | None:
+        """The chunk encoded by itself; None if it has fewer than four words."""
+        words = list(re.finditer(rb"[^ \t\n\r\x0b\x0c]+", chunk[:4096]))[:2]
+        lo = max((chunk.rfind(x) for x in _SPACES), default=-1)
+        last = _SPACE.split(chunk[-4096:])
+        if len(words) < 2 or len(words) == 2 and words[1].end() == min(4096, len(chunk)) or lo < 0:
+            return None
+        ends = [x for x in last if x]
+        if len(ends) < 3:  # fewer than two whole words at the end
+            return None
+        cut = chunk.rstrip(_WHITE)
+        cut = cut[: len(cut) - len(ends[-1])].rstrip(_WHITE)
+        at, first = len(cut) - len(ends[-2]), words[1].end()
+        if first > at:
+            return None
+        enc = self.enc.encode
+        head, tail = chunk[:first], chunk[at:]
+        return Part(head, enc(head), enc(words[1][0]), enc(chunk[first:at]), tail, enc(tail), enc(ends[-2]))
+
+    def joined(self, a: Part, b: Part) -> bytes | None:
+        """Ids of the words around a join, if they agree with both chunks at the outer words."""
+        got = self.enc.encode(a.tail + b.head)
+        return got if got.startswith(a.last_but_one) and got.endswith(b.second) else None
+
     def encode(self, text: bytes) -> bytes:
         if not self.enc.by_piece:
             return self.enc.encode(text)
-        out, open_end, last = [], b"", 0
+        parts: list[tuple[int, int, Part]] = []
+        start = 0
         for end in cut_points(text):
-            got = self.chunk(text[last:end])
-            if got is None:  # no white space: the join grows over the whole chunk
-                open_end += text[last:end]
-            else:
-                head, core, tail = got
-                if open_end or head:
-                    out.append(self.enc.encode(open_end + head))
-                out.append(core)
-                open_end = tail
-            last = end
-        if open_end:
-            out.append(self.enc.encode(open_end))
-        return b"".join(out)
+            got = self.chunk(text[start:end])
+            if got is not None:
+                parts.append((start, end, got))
+                start = end
+        if start < len(text):  # too short to stand alone: it grows over the chunk before it
+            start = parts.pop()[0] if parts else 0
+            got = self.chunk(text[start:]) if start else None
+            if got is None:
+                return self.enc.encode(text)
+            parts.append((start, len(text), got))
+        if not parts:
+            return b""
+        out = [parts[0][2].head_ids, parts[0][2].body_ids]
+        for (lo, _, a), (_, hi, b) in pairwise(parts):
+            ids = self.joined(a, b)
+            if ids is None:
+                self.grown += 1
+                both = self.enc.encode(text[lo:hi])
+                if not (both.startswith(a.head_ids + a.body_ids) and both.endswith(b.body_ids + b.tail_ids)):
+                    return self.enc.encode(text)
+                ids = both[len(a.head_ids + a.body_ids) : len(both) - len(b.body_ids + b.tail_ids)]
+            out += [ids, b.body_ids]
+        return b"".join([*out, parts[-1][2].tail_ids])
 
 
 _held: dict[str, ChunkEncoder] = {}
@@ -114,7 +162,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = chunk_encoder(tokenizer)
-        for b in batches:
+        for b in (part for whole in batches for part in storage.bounded(whole, 1, BATCH)):
             cols: list[list] = [[], [], [], [], []]
             for t in b.column(1).to_pylist():
                 ids = enc.encode(t) if t else b""

@@ -62,6 +62,7 @@ def op10_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op3_mil_toxicity, op4_reply_trees, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe, op9_license_scan, op10_crf_secrets)}
 ORACLE_SQL: dict[str, str] = {
+    "op9_license_scan": licenses.ORACLE_SQL,
     "op4_reply_trees": """
 with base as (select conv_id, turn, role, text from conversations union all
   select * from (values (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')) v(a, b, c, d)),

@@ -5,9 +5,10 @@ its neighbours and features of the file; Viterbi gives the best tags. A line who
 tag above outside, by a bound on all transitions, is outside as a whole, and the recursion is skipped there
 without changing its result. Base spans always stay; spans of the field that overlap one are left out.
 
-Training: at most ``max_train_docs`` documents (smallest id hashes) with the tags of their base spans, and synthetic secrets
-planted into their clean lines from a fixed seed. Scanning covers every whole text; null and empty texts have no spans;
-repeated rows are scanned each; an empty table gives none. Extra columns are ignored."""
+Training is bounded by documented parameters: at most ``max_train_docs`` documents (smallest id hashes) and of each ``max_train_bytes`` of whole lines (smallest line hashes);
+of these every window of ``width`` tokens with a base span, ``clean_lines`` windows without one and ``planted`` more with a synthetic secret, from a fixed seed.
+Scanning covers every whole text; null and empty texts have no spans;
+repeated rows are scanned each; an empty table gives none. Extra columns are ignored. A task holds ``BATCH`` bytes of texts, or one longer text, and the scores of ``TOKENS`` tokens."""
 
 from __future__ import annotations
 
@@ -16,12 +17,15 @@ import random
 import re
 import string
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import storage
+
 KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -29,8 +33,10 @@ _HEX24 = re.compile(r"[0-9a-f]{24,}")
 _HEXMAP = bytes(120 if c in b"0123456789abcdef" else 32 for c in range(256))
 _KEYS = (b"passw", b"secret", b"token", b"api")
 KEYWORD = re.compile(r"pass|pwd|secret|token|key|auth|bearer|credential|private|access", re.I | re.A)
+URL_PASSWORD = re.compile(r"://[^/@:\s]*:([^@/\s]{6,})@")
 OUT, BEGIN, INSIDE = 0, 1, 2
 SLOTS = 1 << 14
+BATCH, TOKENS = 1 << 20, 300_000
 
 
 def base_spans(raw: bytes, text: str | None = None) -> list[tuple[int, int, int]]:
@@ -54,8 +60,10 @@ def _slot(name: str) -> int:
 
 
 def value_part(token: str) -> tuple[int, int]:
-    """Where the secret would stand in a token: after the last = or : that is followed by a value, without quotes and closing marks."""
+    """Where the secret would stand in a token: between user and host of a URL, else after the last = or : that is followed by a value, without quotes and closing marks."""
     lo, hi = 0, len(token)
+    if found := URL_PASSWORD.search(token):
+        return found.span(1)
     while hi > lo and token[hi - 1] in "\"'`.,;:!?)]}>*|%$#&":
         hi -= 1
     for i in range(hi - 7, lo - 1, -1):
@@ -93,7 +101,7 @@ def token_features(token: str) -> dict[str, list[int]]:
     turn = min(9, 20 * swaps // max(1, n)) if n >= 8 else -1
     shape = f"{mix}{kind}"
     key = bool(KEYWORD.search(token[:lo] if lo else token))
-    own = [f"s:{shape}", f"l:{size}", f"sl:{shape}{size}", f"t:{turn}", f"tl:{turn},{size},{mix}", f"k:{key},{lo > 0}", f"q:{token[:1] in chr(34) + chr(39)},{lo > 0}", f"p:{token[:4] if kind != 'hex' and n >= 16 and digits else ''}"]
+    own = [f"s:{shape}", f"l:{size}", f"sl:{shape}{size}", f"t:{turn}", f"tl:{turn},{size},{mix}", f"k:{key},{lo > 0}", f"q:{token[:1] in chr(34) + chr(39)},{lo > 0}", f"u:{bool(URL_PASSWORD.search(token))},{turn > 2}", f"p:{token[:4] if kind != 'hex' and n >= 16 and digits else ''}"]
     mark = "=" if token in ("=", ":", ":=") else "e" if token[-1:] in ("=", ":") else "n"
     word = KEYWORD.search(token)
     before = [f"b:{mark},{word[0].lower() if word and n < 24 else ''}", f"bm:{mark}", f"bs:{mix}"]
@@ -138,7 +146,7 @@ class Field:
         return self.size - 1
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
-        if len(self.ids) > 600_000:
+        if len(self.ids) > TOKENS:
             self.reset()
         for w in set(words).difference(self.ids):
             self.id(w)
@@ -196,6 +204,15 @@ class Field:
 
     def spans(self, raw: bytes, lines: list[tuple[int, list[bytes], np.ndarray]]) -> list[tuple[int, int]]:
         out, held = [], raw.replace(b"\x01", b"\x02")
+        seen = points = 0
+
+        def point(at: int) -> int:
+            """Code points before a byte; bytes are asked for in rising order."""
+            nonlocal seen, points
+            points += len(raw[seen:at].decode())
+            seen = at
+            return points
+
         for at, tokens, e in lines:
             tags = self.viterbi(e)
             if not any(tags):
@@ -215,8 +232,8 @@ class Field:
                     j += 1
                 first, last = tokens[i].decode(), tokens[j - 1].decode()
                 lo, hi = value_part(first)
-                start = len(raw[: places[i]].decode()) + lo
-                end = start - lo + hi if j == i + 1 else len(raw[: places[j - 1]].decode()) + value_part(last)[1]
+                start = point(places[i]) + lo
+                end = start - lo + hi if j == i + 1 else point(places[j - 1]) + value_part(last)[1]
                 if end > start:
                     out.append((start, end))
                 i = j
@@ -231,6 +248,12 @@ def synthetic_secrets(rng: random.Random) -> list[str]:
         return "".join(rng.choice(chars) for _ in range(rng.randint(lo, hi)))
 
     value = rng.choice([some(alnum, 20, 44), some(b64, 32, 64) + "==", some("0123456789abcdef", 32, 64), "AKIA" + some(string.ascii_uppercase + string.digits, 16, 16), "ghp_" + some(alnum, 36, 36), "sk-" + some(alnum, 32, 48), "eyJ" + some(alnum, 30, 60) + "." + some(alnum, 30, 60)])
+    if (form := rng.random()) < 0.08:  # a password in a URL
+        return [f"{some(string.ascii_lowercase, 3, 8)}://{some(string.ascii_lowercase, 3, 8)}:{some(alnum + '!#%', 8, 20)}@{some(string.ascii_lowercase, 4, 9)}.{rng.choice(['com', 'net', 'local'])}:{rng.randint(80, 9999)}/{some(string.ascii_lowercase, 2, 6)}"]
+    if form < 0.2:  # a password by its name, with marks in it
+        return [rng.choice(["pwd", "pass", "Password", "login password", "passphrase"]) + rng.choice(":="), some(alnum + "!#%$*+-", 8, 18)]
+    if form < 0.35:  # groups behind a prefix
+        return [some(string.ascii_lowercase, 2, 6) + "-" + "-".join(some(rng.choice([alnum, string.digits, alnum + "_"]), 10, 24) for _ in range(rng.randint(1, 3)))]
     name = rng.choice(["auth", "bearer", "access_key", "client_secret", "private_key", "credential", "key", "password", "token", "api_key"])
     quote = rng.choice(['"', "'", ""])
     return rng.choice([[f"{name}", rng.choice("=:"), f"{quote}{value}{quote}"], [f"{name}=" + quote + value + quote], [f"{name}:", quote + value + quote], [value], [name, value]])
@@ -343,12 +366,30 @@ def train(docs: list[bytes], rounds: int = 80, clean_lines: int = 1200, planted:
     return Field(weights, moves + ban)
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train_docs: int = 4000) -> Field:
-    """Train on the ``max_train_docs`` documents whose ids have the smallest hashes; of an id with several texts, the greatest."""
+def drawn_lines(text: bytes, most: int) -> bytes:
+    """Whole lines of a text, in their order, ``most`` bytes at most: those of the smallest hashes; a shorter text as it is. A line that is longer alone is cut between code points."""
+    if len(text) <= most:
+        return text
+    lines, left, taken = text.split(b"\n"), most, []
+    for k in sorted(range(len(lines)), key=lambda i: (zlib.crc32(lines[i]), i)):
+        if len(lines[k]) < left:
+            left -= len(lines[k]) + 1
+            taken.append(k)
+    return b"\n".join(lines[k] for k in sorted(taken)) or text[:most].decode("utf-8", "ignore").encode()
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train_docs: int = 4000, max_train_bytes: int = 1 << 16) -> Field:
+    """Train on the ``max_train_docs`` documents whose ids have the smallest hashes, ``max_train_bytes`` of each at most; of an id with several texts, the greatest."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     ids = rows.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_docs)
-    got = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")).orderBy("doc_id").select("text").toArrow()
-    texts = [t or b"" for t in got.column("text").to_pylist()]
+
+    def draw(batches):
+        for whole in batches:
+            for b in storage.bounded(whole, 1, BATCH):
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([drawn_lines(t or b"", max_train_bytes) for t in b.column(1).to_pylist()], pa.binary())], names=["doc_id", "text"])
+
+    got = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")).mapInArrow(draw, "doc_id long, text binary").orderBy("doc_id").select("text").toArrow()
+    texts = got.column("text").to_pylist()
     del got
     return train(texts)
 
@@ -358,9 +399,16 @@ def _scan(field: Field, docs: list[bytes]) -> list[list[tuple[int, int, int]]]:
     base = [base_spans(x) for x in docs]
     lines = field.lines_of_interest(docs)
     for d, found in lines.items():
-        taken = [(s, e) for s, _, e in base[d]]
+        starts, ends = [], []  # base spans, joined where they overlap
+        for s, _, e in base[d]:
+            if starts and s < ends[-1]:
+                ends[-1] = max(ends[-1], e)
+            else:
+                starts.append(s)
+                ends.append(e)
         for s, e in field.spans(docs[d], found):
-            if not any(s < y and x < e for x, y in taken):
+            k = bisect_left(starts, e) - 1
+            if k < 0 or ends[k] <= s:
                 base[d].append((s, 3, e))
         base[d].sort()
     return base
@@ -391,8 +439,7 @@ def scan(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     def run(batches):
         f = _shared_field(key, shared.value)
         for b in batches:
-            for i in range(0, b.num_rows, 500):
-                part = b.slice(i, 500)
+            for part in storage.bounded(b, 1, BATCH):
                 found = _scan(f, [t or b"" for t in part.column(1).to_pylist()])
                 count = [[sum(k == kind for _, k, _ in x) for x in found] for kind in range(4)]
                 shas = [hashlib.sha256(_named([s for s in x if s[1] < 3]).encode()).hexdigest() for x in found]
@@ -418,12 +465,10 @@ def redact(docs: DataFrame, field: Field, text_col: str = "text", mask: str = "[
     def run(batches):
         f = _shared_field(key, shared.value)
         for b in batches:
-            texts = b.column(place).to_pylist()
-            out = []
-            for i in range(0, len(texts), 500):
-                part = texts[i : i + 500]
-                found = _scan(f, [(t or "").encode() for t in part])
-                out += [redact_text(t, x, mask) if t and x else t for t, x in zip(part, found, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if i == place else c for i, c in enumerate(b.columns)], names=b.schema.names)
+            for part in storage.bounded(b, place, BATCH):
+                texts = part.column(place).to_pylist()
+                found = _scan(f, [(t or "").encode() for t in texts])
+                out = [redact_text(t, x, mask) if t and x else t for t, x in zip(texts, found, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if i == place else c for i, c in enumerate(part.columns)], names=part.schema.names)
 
     return docs.mapInArrow(run, schema)
