@@ -96,7 +96,7 @@ _VERBS = (
     r"find|prove|show|calculate|evaluate|solve|determine|compute|what\s+is|how\s+(many|much|do|to|can)|simplify|factori[sz]e|if\s+.+then|given\s+that"
     r"|derive|verify|express|expand|integrate|differentiate|rationali[sz]e|help|homework|urgently|questions?|problems?|solutions?|exercises?"
 )
-Q_TITLE_VERB, Q_TITLE_VERB_LOOSE = P(rf"\b({_VERBS})\b", "i"), P(rf"({_VERBS})", "i")
+Q_TITLE_VERB = P(rf"\b({_VERBS})\b", "i")
 _TOPICS = (
     r"algebra|calculus|geometry|trigonometry|statistics|probability|theorem|lemma|proof|equation|inequality|function|matrix|vector"
     r"|integral|derivative|limit|series|sequence|combinatorics|number\s+theory|polynomial|logarithm|exponential|complex\s+number|linear\s+algebra"
@@ -113,13 +113,13 @@ META_LINE = P(
     "mi",
 )
 QUOTE_LINE = P(r"^>.*$", "m")
-POST_HEADER = P(r"^(###)\s+(.+)$", "m")
 POST_NUMBER = P(r"^\*\*\s*(\d+)\s*[\.\)]\s*.*?#\s*\1\s*\*\*|^\*\*\s*(\d+)\s*[\.\)]\s*\*\*", "m")
 THREAD_TITLE = P(r"\b(Thread|Discussion|Forum|Pre-University|Math Help)\b", "i")
 BOLD_QUESTION = P(r"^\*\*(question|problem|exercise|task)\**\s*[\d\.\:]*\s*\*?\*?\s*[:：]?\s*(.+?)$", "mi")
 BOLD_ANSWER = P(r"^\*\*(solution|answer|proof|hint)\**\s*[\d\.\:]*\s*\*?\*?\s*[:：]?\s*", "mi")
+BOLD_LINE, BLANK_LINES, BOLD_CAPITAL = P(r"^\*\*", "m"), P(r"\n{2,}"), P(r"^\*\*[A-Z]", "m")
 MCQ_ANSWER = P(r"(?:\*{0,2}Answer[\*:]{0,3}|Correct answer[\s\*:]+)\s*(.+?)(?=\n\n|\n#{1,4}|\Z)", "is")
-MCQ = P(r"^(#{1,4})\s+(.+?)\n((?:\s*[-\*]\s+\*{0,2}[A-D]\..*\n)+)(?=.*?\*{0,2}Answer)", "ms")
+OPTION = P(r"\n\s*[-\*]\s+\*{0,2}[A-D]\.")
 MCQ_HINT = P(r"\*{0,2}Hint[\*\s:]+(.+?)(?=\n\n#{1,4}|\Z)", "is")
 STEP_PROBLEM = P(r"\*{0,2}PROBLEM[\*:]{0,3}\s*\n([\s\S]*?)(?=\*{0,2}STEP|SOLUTION)", "i")
 STEP_SOLUTION = P(r"\*{0,2}STEP-BY-STEP\s+SOLUTION[\*:]{0,3}\s*\n([\s\S]+?)(?=\n#{1,4}\s|\Z)", "i")
@@ -141,6 +141,7 @@ CONCLUSION_INLINE = P(
 EQUATION_INLINE = P(r"(?:thus|therefore|hence|so|consequently|we\s+get|the\s+answer\s+is)[^$\n]{0,40}\$\s*([a-zA-Z_]\s*=\s*[^$\n]{1,80})\$[.,;)!\s]*$", "mi")
 DISPLAY_FINAL = P(r"\$\$\s*\n*\s*(?:=\s*)?([^\n$]{1,100})\s*\n*\s*\$\$\s*$", "s")
 ANSWER_LABEL = P(r"(?:correct\s+)?[Aa]nswer\s*[:\-]\s*\$?\s*([A-Za-z0-9\+\-\\\{\}\s\^\_\(\)\/\.\,]{1,80}?)\$?\s*[.\n]?$", "m")
+INLINE = P(r"\$([^$\n]{1,80})\$")
 CONCLUSION_WORD = P(r"\b(thus|therefore|hence|so|answer|result|value|solution|equal|gives?)\b", "i")
 BOXED_NOISE = P(r"\b(approximately|units?|meters?|cm|kg|seconds?|minutes?|hours?|See|Note|Since|where|which|this|that|Therefore|Thus|Hence)\b", "i")
 LATEX_EXPR = P(r"\$[^$\n]+\$|\$\$[\s\S]+?\$\$")

@@ -84,9 +84,12 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def bigrams(c: Column) -> Column:
     """TXT37: the set of word pairs of the lower-cased text, of words where it has fewer than two."""
-    w = F.split(F.regexp_replace(strip(F.lower(c)), r"(?Ud)[\s\x1c-\x1f]+", " "), " ")
-    pairs = F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1)))
-    return F.array_distinct(F.filter(F.when(F.size(w) >= 2, pairs).otherwise(w), lambda x: x != ""))
+
+    def pairs(w: Column) -> Column:
+        both = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda x, y: F.concat_ws(" ", x, y))
+        return F.array_distinct(F.filter(F.when(F.size(w) >= 2, both).otherwise(w), lambda x: x != ""))
+
+    return let(F.split(F.regexp_replace(strip(F.lower(c)), r"(?Ud)[\s\x1c-\x1f]+", " "), " "), pairs)
 
 
 def fingerprint120(c: Column) -> Column:

@@ -64,9 +64,11 @@ def _injected(solution: Column) -> Column:
     last = lambda c, q: t.strip(F.try_element_at(F.regexp_extract_all(c, F.lit(q.java), F.lit(1)), F.lit(-1)))
     ok = lambda a, most=100: t.let(a, lambda x: F.when(clean_answer(x) & (F.length(x) <= most), x))
     display = t.strip(F.regexp_replace(t.strip(t.nullif_empty(F.regexp_extract(solution, p.DISPLAY_FINAL.java, 1))), r"(?Ud)\A=\s*", ""))
-    # the last inline formula with up to 80 characters before it
-    near = r"(?Uds)\A.*?(.{0,80})\$([^$\n]{1,80})\$(?!.*\$[^$\n]{1,80}\$)"
-    context, inline = F.regexp_extract(tail, near, 1), t.strip(t.nullif_empty(F.regexp_extract(tail, near, 2)))
+    # the last inline formula, and up to 80 characters before it: what formulas part, read from the end
+    formula = F.try_element_at(F.regexp_extract_all(tail, F.lit(p.INLINE.java), F.lit(0)), F.lit(-1))
+    after = F.element_at(F.split(tail, p.INLINE.java), -1)
+    context = F.right(F.left(tail, F.length(tail) - F.length(after) - F.length(formula)), F.lit(80))
+    inline = t.strip(F.substr(formula, F.lit(2), F.length(formula) - 2))
     answer = F.coalesce(ok(last(tail, p.CONCLUSION_INLINE)), ok(last(tail, p.EQUATION_INLINE)), ok(display), ok(last(tail, p.ANSWER_LABEL)), F.when(t.has(context, p.CONCLUSION_WORD), ok(inline, 60)))
     trimmed = F.regexp_replace(solution, r"(?Ud)[\s\x1c-\x1f]+\z", "")
     return F.when(~t.has(solution, p.BOXED) & answer.isNotNull(), F.concat(trimmed, F.lit("\n\n\\boxed{"), answer, F.lit("}")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..functions.patterns import LEAK_WORDS
 
 # Topics, their share in percent and their key words.
 TOPICS = (
@@ -91,14 +92,22 @@ def agreeing_samples(samples: DataFrame, question: str, answer: str) -> DataFram
     return best.filter("lo = boxed and boxed <> ''").select(question, F.col("b.text").alias(answer), "boxed")
 
 
-def acceptance(pairs: DataFrame, problem: str = "problem", solution: str = "solution") -> DataFrame:
-    """DES18: one row of figures about question-answer rows."""
-    p, s = F.col(problem), F.col(solution)
-    return pairs.agg(
+def acceptance(rows: DataFrame) -> DataFrame:
+    """DES18: of audit rows (route, messages, quality, reasoning_quality) a row of figures for each route: how many rows there are and pass every gate, which checks of a
+    training row they meet or fail (thinking and a box present, no system text, no leak words, a question that begins as one), tokens, mean and greatest length."""
+    system, q, a = (F.col("messages")[i]["content"] for i in range(3))
+    keep = F.coalesce(F.col("quality.keep"), F.lit(False)) & F.coalesce(F.col("reasoning_quality.keep"), F.lit(False))
+    leak = F.exists(F.array(*map(F.lit, LEAK_WORDS)), lambda w: F.contains(F.lower(F.concat(q, a)), w))
+    return rows.groupBy("route").agg(
         F.count("*").alias("n_rows"),
-        F.count_if(F.contains(s, F.lit("\\boxed{"))).alias("boxed"),
-        F.count_if(p.rlike("^[a-z]|^Example")).alias("bad_start"),
-        F.count_if(format_ok(p, s)).alias("format_ok"),
-        F.sum(t.estimated_tokens(s)).alias("tokens"),
-        F.max(F.length(s)).cast("long").alias("longest"),
+        F.count_if(keep).alias("kept"),
+        F.count_if(F.contains(a, F.lit("<think>"))).alias("thinking"),
+        F.count_if(F.contains(a, F.lit("\\boxed{"))).alias("boxed"),
+        F.count_if(leak).alias("leaks"),
+        F.count_if(q.rlike("^[a-z]|^Example")).alias("bad_start"),
+        F.count_if(system != "").alias("system_texts"),
+        F.count_if(format_ok(q, a)).alias("format_ok"),
+        F.sum(t.estimated_tokens(a)).alias("tokens"),
+        F.avg(F.length(a).cast("double")).alias("mean_chars"),
+        F.max(F.length(a)).cast("long").alias("longest"),
     )

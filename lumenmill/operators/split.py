@@ -43,32 +43,42 @@ def force_split(piece: Column, target: int, limit: int) -> Column:
     return F.when(F.length(piece) > limit, refilled).otherwise(F.array(piece))
 
 
+def _chunks(c: Column, min_chunk: int, target: int, max_chunk: int) -> Column:
+    """TVF1 to TVF3: all pieces of a text in order."""
+    pieces = merged(heading_sections(F.coalesce(c, F.lit(""))), min_chunk)
+    return F.flatten(F.transform(pieces, lambda x: force_split(x, target, max_chunk)))
+
+
+def _kept(chunk: Column, min_chunk: int, min_math: float) -> Column:
+    return (F.length(chunk) >= min_chunk) & (t.density(chunk, p.MATH, 500) >= min_math)
+
+
 def split_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_chunk: int = 800, target: int = 8000, max_chunk: int = 15_000, min_math: float = 0.3) -> DataFrame:
     """TVF4: chunks with ``chunk_index`` and ``chunk_total`` (both before the drop of short or plain chunks), ``chunk_chars`` and a chunk id. Null and empty texts give none."""
-    pieces = merged(heading_sections(F.coalesce(F.col(text), F.lit(""))), min_chunk)
-    chunks = F.flatten(F.transform(pieces, lambda x: force_split(x, target, max_chunk)))
-    rows = docs.withColumn("_chunks", chunks).select("*", F.size("_chunks").cast("long").alias("chunk_total"), F.posexplode("_chunks").alias("chunk_index", "_chunk")).drop("_chunks")
+    rows = docs.withColumn("_chunks", _chunks(F.col(text), min_chunk, target, max_chunk)).select("*", F.size("_chunks").cast("long").alias("chunk_total"), F.posexplode("_chunks").alias("chunk_index", "_chunk")).drop("_chunks")
     rows = rows.withColumn(text, F.col("_chunk")).drop("_chunk").withColumn("chunk_chars", F.length(text).cast("long"))
-    rows = rows.filter((F.length(text) >= min_chunk) & (t.density(F.col(text), p.MATH, 500) >= min_math))
+    rows = rows.filter(_kept(F.col(text), min_chunk, min_math))
     return rows.withColumn("source_doc_id", F.col(id_col)).withColumn("chunk_id", t.chunk_id(F.col(id_col), F.col("chunk_index")))
 
 
-def chunk_stats(chunks: DataFrame, documents: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """AGG7: count, documents without a chunk, mean by integer division, and the values at the sorted places n // 10, n // 2, int(n * 0.9)."""
-    lens = chunks.select("chunk_chars")
-    n = lens.agg(F.count("*").alias("n"), (F.sum("chunk_chars") / F.count("*")).alias("m")).first()
-    none = documents.join(chunks.select(F.col("source_doc_id").alias(id_col)).distinct(), id_col, "left_anti").count()
-    size = n["n"]
-    if not size:
-        return documents.sparkSession.createDataFrame([(0, none, None, None, None, None)], "chunks long, empty_docs long, mean_chars long, p10 long, p50 long, p90 long")
-    q = lens.groupBy("chunk_chars").count().orderBy("chunk_chars").collect()  # one row for each chunk length
-    places, at, out = [size // 10, size // 2, int(size * 0.9)], 0, {}
-    for r in q:
-        for k in places:
-            if at <= k < at + r["count"]:
-                out[k] = r["chunk_chars"]
-        at += r["count"]
-    return documents.sparkSession.createDataFrame([(size, none, int(n["m"]), *(out.get(k, q[-1]["chunk_chars"]) for k in places))], "chunks long, empty_docs long, mean_chars long, p10 long, p50 long, p90 long")
+def chunk_stats(docs: DataFrame, text: str = "text", min_chunk: int = 800, target: int = 8000, max_chunk: int = 15_000, min_math: float = 0.3) -> DataFrame:
+    """AGG7 of the chunks that :func:`split_documents` gives: their number, documents without one, mean by integer division, and the lengths at the sorted places
+    n // 10, n // 2, int(n * 0.9); nulls without a chunk. One lazy aggregate: rows are counted by length before anything is ordered."""
+    lengths = F.transform(F.filter(_chunks(F.col(text), min_chunk, target, max_chunk), lambda x: _kept(x, min_chunk, min_math)), F.length)
+    counts = docs.select(F.explode_outer(lengths).alias("len")).groupBy("len").agg(F.count("*").alias("n"))  # a null length: a document without a chunk
+    own = F.when(F.col("len").isNotNull(), F.col("n")).otherwise(0)
+    ordered = Window.orderBy("len").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a row for each length
+    placed = counts.withColumn("own", own).withColumn("to", F.sum("own").over(ordered)).withColumn("total", F.sum("own").over(Window.partitionBy(F.lit(0))))
+    at = lambda place: F.max(F.when((F.col("to") - F.col("own") <= place) & (place < F.col("to")), F.col("len"))).cast("long")
+    total = F.col("total")
+    return placed.agg(
+        F.coalesce(F.sum("own"), F.lit(0)).alias("chunks"),
+        F.coalesce(F.sum(F.col("n") - F.col("own")), F.lit(0)).alias("empty_docs"),
+        F.expr("cast(sum(len * own) as bigint) div nullif(sum(own), 0)").alias("mean_chars"),
+        at(F.floor(total / 10)).alias("p10"),
+        at(F.floor(total / 2)).alias("p50"),
+        at(F.floor(total * 0.9)).alias("p90"),
+    )
 
 
 def overlapping_chunks(docs: DataFrame, text: str = "text", size: int = 1500, overlap: int = 200) -> DataFrame:

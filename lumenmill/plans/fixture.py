@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,19 +33,33 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scripted_model():
-    """Stands in for a chat model in queries: replies follow from the prompt alone, some without a box, some failing."""
+    """Stands in for a chat model in queries: replies follow from the MD5 of the prompt alone, some without a box, some failing (``reply_sql`` says the same)."""
 
     def reply(prompt: str, max_tokens: int, temperature: float) -> str:
-        n = zlib.crc32(prompt.encode()) % 100
-        if n == 0:
+        h = hashlib.md5(prompt.encode()).hexdigest()[:2]
+        if h < "04":
             raise TimeoutError("no reply")
         if max_tokens == 180:
-            return f"1. What does rule {n} say about sums?\n2) Compute the sum of {n} and 3."
+            return f"1. What does rule {h} say about sums?\n2) Compute the sum of {h} and 3."
         if max_tokens == 160:
-            return f"Question: What is the value of x + {n} in this passage?"
+            return f"Question: What is the value of x + {h} in this passage?"
         if max_tokens == 1500:
-            return "We write the terms down.\nWe add them in order.\n" + f"Adding {n} keeps both sides equal. " * 6
-        end = f"\\boxed{{{n}}}" if n % 3 else f"so that x = {n}."
+            return "We write the terms down.\nWe add them in order.\n" + f"Adding {h} keeps both sides equal. " * 6
+        end = f"\\boxed{{{h}}}" if h >= "50" else f"so that x = {h}."
         return f"<think>hm</think>We write the terms of the sum down and add them.\nThe total follows, {end}"
 
     return reply
+
+
+def reply_sql(prompt: str, max_tokens: int) -> str:
+    """The scripted reply to a prompt in SQL; null where it fails."""
+    h = f"left(md5({prompt}), 2)"
+    if max_tokens == 180:
+        text = f"'1. What does rule ' || {h} || ' say about sums?' || chr(10) || '2) Compute the sum of ' || {h} || ' and 3.'"
+    elif max_tokens == 160:
+        text = f"'Question: What is the value of x + ' || {h} || ' in this passage?'"
+    elif max_tokens == 1500:
+        text = f"'We write the terms down.' || chr(10) || 'We add them in order.' || chr(10) || repeat('Adding ' || {h} || ' keeps both sides equal. ', 6)"
+    else:
+        text = f"'<think>hm</think>We write the terms of the sum down and add them.' || chr(10) || 'The total follows, ' || case when {h} >= '50' then chr(92) || 'boxed{{' || {h} || '}}' else 'so that x = ' || {h} || '.' end"
+    return f"case when {h} >= '04' then {text} end"

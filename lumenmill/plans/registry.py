@@ -7,43 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import patterns as p
 from ..functions import text as t
 from ..operators import coldstart, dedup, extract, gates, quality, routes, sampling, split
-from .fixture import MATHDOCS_SQL, mathdocs, scored, scripted_model
+from . import dedup_queries, extract_queries, text_queries  # noqa: F401 - register their queries
+from .fixture import mathdocs, scored, scripted_model
+from .sql import ORACLE_SQL, QUERIES, M, has, lit, n, query, rx, strip  # noqa: F401
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def lit(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def n(c: str, q: p.P) -> str:
-    return f"len(regexp_extract_all({c}, {lit(q.re2)}))"
-
-
-def rx(c: str, q: p.P, to: str = "") -> str:
-    return f"regexp_replace({c}, {lit(q.re2)}, {lit(to)}, 'g')"
-
-
-def has(c: str, q: p.P) -> str:
-    return f"regexp_matches({c}, {lit(q.re2)})"
-
-
-def strip(c: str) -> str:
-    return rf"regexp_replace({c}, '\A[\s\x1c-\x1f\x0b\x{{85}}\x{{a0}}]+|[\s\x1c-\x1f\x0b\x{{85}}\x{{a0}}]+\z', '', 'g')"
-
-
-M = f"with m as ({MATHDOCS_SQL})"
 CASCADE = f"""{M}, s as (select m.doc_id, m.text, cast(1.0 + coalesce(l.quality, 1) as double) as score from m left join labels l on m.doc_id = l.doc_id),
 c as (select doc_id, case when length(text) < 800 then 'too_short' when score < 1.5 then 'low_nemo'
  when {n('text', p.NOISE)} / (length(text) / 100.0) > 0.15 then 'noise_dense' when {n('text', p.MATH)} / (length(text) / 500.0) < 0.5 then 'low_math' end as reason, length(text) > 50000 as long from s),
@@ -148,23 +115,6 @@ def flt14_low_value(spark, sf_dir):
     return mathdocs(spark, sf_dir).select("doc_id", quality.is_low_value(F.col("text")).alias("low_value"))
 
 
-@query()
-def flt15_concept_routing(spark, sf_dir):
-    docs = mathdocs(spark, sf_dir)
-    return docs.select("doc_id", quality.is_concept(t.title(F.col("text")), F.col("text")).alias("concept"))
-
-
-@query()
-def tvf4_split_documents(spark, sf_dir):
-    return split.split_documents(mathdocs(spark, sf_dir)).select("doc_id", "chunk_id", F.col("chunk_index").cast("long").alias("chunk_index"), "chunk_total", "chunk_chars")
-
-
-@query()
-def agg7_chunk_stats(spark, sf_dir):
-    docs = mathdocs(spark, sf_dir)
-    return split.chunk_stats(split.split_documents(docs), docs)
-
-
 @query("""with s as (select doc_id, text, unnest(range(0, greatest(length(text), 1), 1300)) as pos from documents where text is not null)
 select doc_id, pos as chunk_start, substring(text, pos + 1, 1500) as chunk from s where length(substring(text, pos + 1, 1500)) > 0""")
 def des11_overlapping_chunks(spark, sf_dir):
@@ -196,36 +146,6 @@ def cas_a_to_d_extraction(spark, sf_dir):
     return extract.extract_pairs(docs).select("doc_id", "label", "strategy", "problem", "solution")
 
 
-@query()
-def agg5_strategy_counts(spark, sf_dir):
-    return cas_a_to_d_extraction(spark, sf_dir).groupBy("label", "strategy").agg(F.count("*").alias("n"))
-
-
-@query()
-def agg6_gate_histogram(spark, sf_dir):
-    pairs = gates.gated(cas_a_to_d_extraction(spark, sf_dir), relaxed=True)
-    return pairs.groupBy(F.coalesce(F.split_part("gate", F.lit(":"), F.lit(1)), F.lit("passed")).alias("gate")).agg(F.count("*").alias("n"), F.count_if("boxed_injected").alias("injected"))
-
-
-@query()
-def txt17_clean_question(spark, sf_dir):
-    return mathdocs(spark, sf_dir).select("doc_id", t.clean_question(F.col("text")).alias("question"))
-
-
-@query()
-def dd1_greedy_dedup(spark, sf_dir):
-    docs = mathdocs(spark, sf_dir)
-    keyed = docs.select("doc_id", t.normalise(F.col("text")).alias("k"), t.tokens(F.col("text")).alias("s"))
-    return dedup.dedup_questions(keyed, "doc_id", "k", "s", 8200).select("doc_id")
-
-
-@query()
-def dd2_shingle_dedup(spark, sf_dir):
-    pairs = cas_a_to_d_extraction(spark, sf_dir)
-    keyed = pairs.select("doc_id", t.fingerprint120(F.col("problem")).alias("k"), t.bigrams(F.col("problem")).alias("s"))
-    return dedup.dedup_questions(keyed, "doc_id", "k", "s", 8000).select("doc_id")
-
-
 @query("select doc_id, left(md5(cast(doc_id as varchar)), 4) < '4ccd' as sampled, left(md5(cast(doc_id as varchar)), 4) < '0ccd' as thinking from documents")
 def des3_des9_hash_shares(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -262,82 +182,6 @@ def des15_token_length(spark, sf_dir):
     return mathdocs(spark, sf_dir).select("doc_id", sampling.token_length_kept(F.col("text")).alias("kept"))
 
 
-@query()
-def des18_acceptance(spark, sf_dir):
-    return sampling.acceptance(cas_a_to_d_extraction(spark, sf_dir))
-
-
-def flags(*given: tuple[str, str]) -> str:
-    """Names of the conditions that hold, in order, comma-joined."""
-    return "concat_ws(',', " + ", ".join(f"case when {cond} then '{name}' end" for name, cond in given) + ")"
-
-
-DOTS = "len(regexp_extract_all(text, '[。.]'))"
-LEAK = "(" + " or ".join(f"contains(lower(text), '{w}')" for w in p.LEAK_WORDS) + ")"
-
-
-@query(f"""{M} select doc_id, {flags(("reasoning_too_short", "length(text) < 180"), ("reasoning_prompt_leak", LEAK), ("reasoning_too_thin", f"length(text) - length(replace(text, chr(10), '')) < 2 and {DOTS} < 4"), ("reasoning_too_long", "length(text) > 7000"))} as flags from m""")
-def flt17_reasoning_flags(spark, sf_dir):
-    return mathdocs(spark, sf_dir).select("doc_id", F.array_join(gates.reasoning_flags(F.col("text")), ",").alias("flags"))
-
-
-@query(f"{M}, q as (select doc_id, left(text, 120) as q from m) select doc_id, contains(q, chr(92) || 'boxed{{') or {has('q', p.QUESTION_WITH_ANSWER)} as rejected from q")
-def flt19_question_rejected(spark, sf_dir):
-    return mathdocs(spark, sf_dir).select("doc_id", gates.question_rejected(F.left("text", F.lit(120))).alias("rejected"))
-
-
-@query()
-def flt16_answer_flags(spark, sf_dir):
-    return mathdocs(spark, sf_dir).select("doc_id", F.array_join(gates.answer_flags(F.left("text", F.lit(120)), F.col("text")), ",").alias("flags"))
-
-
-@query()
-def txt18_txt19_route_a_units(spark, sf_dir):
-    return routes.units(mathdocs(spark, sf_dir)).select("source_id", "title", "source_unit", "question")
-
-
-@query()
-def txt20_concept_excerpts(spark, sf_dir):
-    return routes.excerpts(mathdocs(spark, sf_dir)).select("source_id", "knowledge_point", "source_unit")
-
-
-@query()
-def txt21_txt22_txt23_clean_replies(spark, sf_dir):
-    c = F.col("text")
-    return mathdocs(spark, sf_dir).select("doc_id", t.clean_answer(c).alias("answer"), t.rescue_boxed(c).alias("rescued"), t.clean_reasoning(c).alias("reasoning"))
-
-
-@query()
-def txt26_question_lists(spark, sf_dir):
-    return mathdocs(spark, sf_dir).select("doc_id", F.array_join(t.parse_questions(F.col("text")), chr(10)).alias("questions"))
-
-
-def generated(spark, sf_dir):
-    docs = routes.routed(quality.classify(mathdocs(spark, sf_dir)))
-    return routes.route_a(docs.filter("route = 'A'"), scripted_model).unionByName(routes.route_b(docs.filter("route = 'B'"), scripted_model))
-
-
-@query()
-def llm10_tvf6_routes(spark, sf_dir):
-    q, a = F.col("messages")[1]["content"], F.col("messages")[2]["content"]
-    return generated(spark, sf_dir).select("route", "source_id", q.alias("question"), a.alias("answer"), F.col("quality.keep").alias("keep"), F.array_join("quality.rule_flags", ",").alias("flags"))
-
-
-@query()
-def rel2_merge_routes(spark, sf_dir):
-    return routes.merged(generated(spark, sf_dir)).select("route", "source_id")
-
-
-@query()
-def cas6_cold_start(spark, sf_dir):
-    return coldstart.cold_start(quality.classify(mathdocs(spark, sf_dir)), relaxed=True).select("source_id", "input_class", "extraction_strategy", "boxed_injected", "boxed_count")
-
-
-@query()
-def snk5_cold_start_rejects(spark, sf_dir):
-    return coldstart.rejects(coldstart.gated_pairs(quality.classify(mathdocs(spark, sf_dir)), relaxed=True))
-
-
 QA_PARTS = f"string_split(regexp_replace(text, {lit(f'(?{p.PROB_HEADER.flags})({p.PROB_HEADER.body})')}, chr(2) || '\\1', 'g'), chr(2))"
 
 
