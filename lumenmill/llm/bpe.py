@@ -2,7 +2,7 @@
 
 The tokenizer drops white space and never merges across it, so ids of a text are the ids of
 its white-space pieces in order. Pieces repeat, and are encoded once while they stay in a
-bounded two-generation cache."""
+bounded two-generation cache, whose size does not follow the corpus."""
 
 from __future__ import annotations
 
@@ -22,7 +22,8 @@ _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _LETTER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
 _NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _PLAIN = re.compile("[\x21-\x7e\xa1-\xff]+")
-_ENDS = ".,;:!?$%&*#|"
+_LAST = ".,;:!?$%&*#|"
+_ENDS = _LAST.encode()
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_LETTER}{_NUMBER}]+")
 
 
@@ -33,61 +34,81 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in keep} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Pieces(dict):
+    """ids of pieces by their bytes, made when first asked for; ``old`` is the generation before."""
+
+    def __init__(self, make, old: dict):
+        self.make, self.old = make, old
+
+    def __missing__(self, piece: bytes) -> bytes:
+        got = self.old.get(piece)
+        if got is None:
+            got = self.make(piece)
+        self[piece] = got
+        return got
+
+
 class Encoder:
     """ids as packed little-endian unsigned integers of ``dtype``; equal to the library's on whole texts."""
 
-    def __init__(self, path: str = DEFAULT_PATH, pieces: int = 500_000, dtype: str = "<u4"):
+    def __init__(self, path: str = DEFAULT_PATH, pieces: int = 200_000, dtype: str | None = "<u4", end_id: int = 0):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.model, self.dtype, self.cap = self.tok.model, np.dtype(dtype), pieces
+        if dtype is None:  # the narrowest that holds every id
+            dtype = "<u2" if max(self.tok.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else "<u4"
+        self.dtype, self.cap = np.dtype(dtype), pieces
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.subs: dict[str, bytes] = {}
-        self.letters = byte_letters()
+        self.tokenize, self.letters = self.tok.model.tokenize, byte_letters()
         spec = json.loads(self.tok.to_str())
         norm = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         self.by_piece = norm == _NORMALIZER and [x["type"] for x in pre] == ["Split", "ByteLevel"] and pre[0]["pattern"] == {"Regex": _SPLIT} and pre[0]["behavior"] == "Removed" and not any(a["content"] != "".join(a["content"].split()) or a["lstrip"] or a["rstrip"] for a in spec["added_tokens"])
         self.tokens = [(self.tok.id_to_token(i) or "").encode() for i in range(self.tok.get_vocab_size(with_added_tokens=True))]
         self.plain_decode = not spec.get("decoder")
+        self.release()
+
+    def release(self) -> None:
+        """Empties the cache."""
+        self.new = Pieces(self._piece, {})
 
     def library(self, text: str) -> bytes:
         return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _sub(self, w: str) -> bytes:
-        got = self.subs.get(w)
-        if got is None:
-            if len(self.subs) >= self.cap:
-                self.subs.clear()
-            got = self.subs[w] = array(self.code, [t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))]).tobytes()
-        return got
+    def _word(self, w: bytes) -> bytes:
+        """Ids of one word of the split."""
+        text = w.decode() if w.isascii() else w.decode("latin-1").translate(self.letters)  # printable ASCII letters stand for themselves
+        return array(self.code, [t.id for t in self.tokenize(text)]).tobytes()
 
     def _piece(self, piece: bytes) -> bytes:
+        """Ids of a piece without white space. Its words are pieces of their own, and kept as such."""
+        if piece.isalpha() and piece.islower():  # of bytes: a-z alone
+            return self._word(piece)
+        word = piece.rstrip(_ENDS)
+        if word.isalpha():
+            return self.new[word.lower()] + (self._word(piece[len(word) :]) if len(word) < len(piece) else b"")
         s = piece.decode("utf-8")
-        word = s.rstrip(_ENDS)
-        if word.isalpha() and word.isascii():
-            return self._sub(word.lower()) + (self._sub(s[len(word) :]) if len(word) < len(s) else b"")
         if "<|" in s or not _PLAIN.fullmatch(s):
             return self.library(s)
-        return b"".join(map(self._sub, _WORD.findall(s.lower())))
+        s = s.lower()
+        word = s.rstrip(_LAST)
+        if not word.isalpha():
+            return b"".join([self._word(w.encode()) for w in _WORD.findall(s)])
+        if len(word) == len(s):
+            return self._word(s.encode())
+        return self.new[word.encode()] + self._word(s[len(word) :].encode())
 
     def encode(self, text: bytes) -> bytes:
         if not self.by_piece:
             return self.library(text.decode("utf-8"))
         if b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
             text = text.lower()  # A-Z only: without combining marks this and NFC commute, and fewer pieces differ
-        words = text.split()
-        new = self.new
-        for w in set(words).difference(new):
-            got = self.old.get(w)
-            new[w] = self._piece(w) if got is None else got
-        out = b"".join(map(new.__getitem__, words))
-        if len(new) > self.cap:
-            self.old, self.new = new, {}
+        out = b"".join(map(self.new.__getitem__, text.split()))
+        if len(self.new) > self.cap:
+            self.new = Pieces(self._piece, self.new)
+            self.new.old.old = {}
         return out
 
     def ids(self, text: bytes) -> np.ndarray:
@@ -103,8 +124,14 @@ class Encoder:
 _held: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str = DEFAULT_PATH, dtype: str = "<u4") -> Encoder:
+def encoder(path: str = DEFAULT_PATH, dtype: str | None = "<u4", end_id: int = 0) -> Encoder:
     """One encoder for each worker process."""
-    if (path, dtype) not in _held:
-        _held[path, dtype] = Encoder(path, dtype=dtype)
-    return _held[path, dtype]
+    if (path, dtype, end_id) not in _held:
+        _held.clear()
+        _held[path, dtype, end_id] = Encoder(path, dtype=dtype, end_id=end_id)
+    return _held[path, dtype, end_id]
+
+
+def release() -> None:
+    """What a worker held for encoding goes: later steps of a job need the memory."""
+    _held.clear()

@@ -1,29 +1,48 @@
-"""Global order by id without a global sort of the payload: quantile buckets."""
+"""Global order by id without a global sort of the payload: quantile buckets, of which a frequent id has several."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LEAST = -(1 << 63)
 
-def bucket_bounds(df: DataFrame, id_col: str, n: int) -> list[float]:
-    """n - 1 rising bounds at most, from approximate quantiles of the ids (one scan of that column; the driver gets n numbers)."""
+
+def place_of(id_col: str) -> Column:
+    """Ids as places in the order; null ids come first."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST).cast("long"))
+
+
+def bucket_bounds(df: DataFrame, place_col: str, n: int) -> list[tuple[float, int]]:
+    """Rising (bound, how many of the quantiles it is), from n - 1 approximate quantiles (one scan of that column; the driver gets n numbers)."""
     if n < 2:
         return []
-    return sorted(set(df.select(F.col(id_col).cast("double").alias("x")).approxQuantile("x", [i / n for i in range(1, n)], 0.25 / n)))
+    got = df.select(F.col(place_col).cast("double").alias("x")).approxQuantile("x", [i / n for i in range(1, n)], 0.25 / n)
+    return [(x, got.count(x)) for x in sorted(set(got))]
+
 
+def bucket_of(place: Column, tie: Column, bounds: list[tuple[float, int]]) -> Column:
+    """Bucket of a row, as a balanced tree of comparisons. Rows at a bound that is m quantiles at once, so more than m - 1 buckets of rows with
+    one id, are dealt over m buckets by the leading bits of ``tie`` (a signed 64-bit hash), in its order: (place, tie) rises with the bucket."""
+    x = place.cast("double")
+    share = F.shiftrightunsigned(tie.bitwiseXOR(F.lit(LEAST).cast("long")), 44)  # 20 bits that rise with the tie
+    first = [1]  # bucket at which each bound's rows begin
+    for _, m in bounds:
+        first.append(first[-1] + (1 if m < 2 else m + 1))
 
-def bucket_of(id_col: Column, bounds: list[float]) -> Column:
-    """Number of bounds at or below the id, as a balanced tree of comparisons; null ids come first."""
-    x = id_col.cast("double")
+    def leaf(i: int) -> Column:
+        bound, m = bounds[i]
+        if m < 2:
+            return F.lit(first[i])
+        return F.when(x > bound, F.lit(first[i] + m)).otherwise(F.lit(first[i]) + F.shiftright(share * m, 20))
 
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
-            return F.lit(lo)
+            return leaf(lo - 1) if lo else F.lit(0)
         mid = (lo + hi) // 2
-        return F.when(x < bounds[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(x < bounds[mid][0], tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    return F.when(x.isNull(), F.lit(0)).otherwise(tree(0, len(bounds))).cast("int")
+    return tree(0, len(bounds)).cast("int")
 
 
 def shuffle_partitions(df: DataFrame) -> int:
