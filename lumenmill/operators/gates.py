@@ -129,3 +129,25 @@ def token_band(c: Column) -> Column:
     """DES5 on the estimate of TXT30: drop, keep or shorten."""
     n = t.estimated_tokens(c)
     return F.when(n < 150, "drop").when(n > 900, "truncate").otherwise("keep")
+
+
+def shortened(c: Column) -> Column:
+    """DES5: a text over the band keeps its first three steps and its last; a step is a line that is not blank."""
+    steps = F.filter(F.transform(F.split(c, "\n"), t.strip), lambda x: x != "")
+    short = t.let(steps, lambda x: F.when(F.size(x) > 4, F.array_join(F.concat(F.slice(x, 1, 3), F.slice(x, -1, 1)), "\n")).otherwise(c))
+    return F.when(token_band(c) == "truncate", short).otherwise(c)
+
+
+def _value(c: Column) -> Column:
+    """A number that an answer states (plain, with thousands, as a fraction), or null."""
+    plain = F.regexp_replace(F.regexp_replace(c, r"\\[dt]?frac\{(-?[0-9.]+)\}\{([0-9.]+)\}", "$1/$2"), r"[\s$,]", "")
+    number = plain.try_cast("double")
+    over = F.regexp_extract(plain, r"\A(-?[0-9.]+)/([0-9.]+)\z", 1).try_cast("double"), F.regexp_extract(plain, r"\A(-?[0-9.]+)/([0-9.]+)\z", 2).try_cast("double")
+    return F.coalesce(number, F.when(over[1] != 0, over[0] / over[1]))
+
+
+def same_answer(a: Column, b: Column, other: Column | None = None) -> Column:
+    """DES2: two answers that state one number, or are equal without blanks and dollar signs, or that ``other`` (a plug-in's verdict, such as a symbolic check) calls equal. Nulls are no answers."""
+    bare = lambda c: F.regexp_replace(c, r"[\s$]", "")
+    numbers = F.abs(_value(a) - _value(b)) <= 1e-9
+    return F.coalesce(numbers, F.lit(False)) | F.coalesce(bare(a) == bare(b), F.lit(False)) | (F.coalesce(other, F.lit(False)) if other is not None else F.lit(False))

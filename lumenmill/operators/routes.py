@@ -54,13 +54,20 @@ def ask(rows: DataFrame, question: Column, out: str, model: Model, max_tokens: i
     return got.withColumn(out, F.struct(t.strip(t.without_thinking(F.col("_r.text"))).alias("text"), F.col("_r.error").alias("error"))).drop("_r")
 
 
+CLASSES = "Classes: A problem with solution, B forum thread, C lesson or concept, D textbook part, E calculator output, F other. Answer with one letter.\n\nText: \""
+
+
+def class_prompt(c: Column, max_chars: int = 600) -> Column:
+    """TXT28: the classes and the head of a text, without double quotes and two-character line marks."""
+    head = F.replace(F.replace(F.substring(F.coalesce(c, F.lit("")), 1, max_chars), F.lit('"'), F.lit("'")), F.lit("\\n"), F.lit(" "))
+    return F.concat(F.lit(CLASSES), head, F.lit('"\nClass:'))
+
+
 def classify_model(model: Model, text: str = "text", max_chars: int = 600) -> Callable[[DataFrame], DataFrame]:
-    """LLM1, TXT28: a model for :func:`quality.classify`; the first letter A to F of a reply, else F."""
-    head = F.replace(F.replace(F.substring(F.coalesce(F.col(text), F.lit("")), 1, max_chars), F.lit('"'), F.lit("'")), F.lit("\\n"), F.lit(" "))
-    task = "Classes: A problem with solution, B forum thread, C lesson or concept, D textbook part, E calculator output, F other. Answer with one letter.\n\nText: \""
+    """LLM1: a model for :func:`quality.classify`; the first letter A to F of a reply, else F."""
 
     def label(rows: DataFrame) -> DataFrame:
-        got = ask(rows, F.concat(F.lit(task), head, F.lit('"\nClass:')), "_reply", model, 4)
+        got = ask(rows, class_prompt(F.col(text), max_chars), "_reply", model, 4)
         letter = F.regexp_extract(F.upper(F.coalesce("_reply.text", F.lit(""))), "[A-F]", 0)
         return got.withColumn("model_label", F.coalesce(t.nullif_empty(letter), F.lit("F"))).drop("_reply")
 

@@ -11,7 +11,8 @@ MODES = {"tolerant": "PERMISSIVE", "drop": "DROPMALFORMED", "strict": "FAILFAST"
 
 
 def read(spark: SparkSession, paths: str | list[str], schema: str = RAW, mode: str = "tolerant") -> DataFrame:
-    """Blank lines are skipped in every mode; ``tolerant`` keeps bad lines in ``_corrupt``."""
+    """SRC1-SRC5, SRC7: a path, a list or a glob. Blank lines are skipped in every mode (a strict scan does not fail on them); ``tolerant`` keeps bad lines in ``_corrupt``, ``drop`` drops them, ``strict`` fails.
+    Files are read in no order: what depends on it carries a column to sort by."""
     reader = spark.read.option("mode", MODES[mode])
     if mode == "tolerant":
         reader, schema = reader.option("columnNameOfCorruptRecord", "_corrupt"), f"{schema}, _corrupt STRING"
@@ -27,13 +28,27 @@ def read_by_label(spark: SparkSession, paths: dict[str, str], schema: str = RAW,
     return out
 
 
-def read_workshop(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """SRC6: a line is parsed as it is or with its bare ``source_index`` quoted; lines without a question go."""
-    line = F.col("value")
-    fixed = F.regexp_replace(line, r'("source_index"\s*:\s*)([^"\s,}][^,}]*)', '$1"$2"')
-    first, second = F.from_json(line, WORKSHOP, {"mode": "PERMISSIVE"}), F.from_json(fixed, WORKSHOP, {"mode": "PERMISSIVE"})
-    rows = spark.read.text(paths).filter(F.trim("value") != "").select(F.coalesce(F.when(first["question"].isNotNull(), first), second).alias("r"))
-    return rows.select("r.*").filter("coalesce(question, '') <> ''")
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def by_file(rows: DataFrame) -> DataFrame:
+    """SRC7: ``file``, the name of the file that a row was read from; sorting by it and the place in a file is the order of a sorted list of files. Empty files give no rows."""
+    return rows.select("*", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"))
+
+
+def read_workshop(spark: SparkSession, paths: str | list[str], keep_file: bool = False) -> DataFrame:
+    """SRC6: a line is parsed as it is or with its bare ``source_index`` quoted; lines without a question go (FLT29)."""
+    line = F.trim("value")
+    fixed = F.regexp_replace(line, r'"source_index":\s*([a-f0-9-]+)([},])', '"source_index": "$1"$2')
+    parsed = lambda c: F.from_json(c, f"{WORKSHOP}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    first, second = parsed(line), parsed(fixed)
+    rows = spark.read.text(paths)
+    rows = by_file(rows) if keep_file else rows
+    kept = ["file"] if keep_file else []
+    rows = rows.filter(line != "").select(*kept, F.when(first["_corrupt"].isNull(), first).when(second["_corrupt"].isNull(), second).alias("r"))
+    return rows.select(*kept, "r.*").drop("_corrupt").filter("coalesce(question, '') <> ''")
 
 
 def write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -48,8 +63,7 @@ def write_routes(df: DataFrame, path: str, route: str = "label") -> None:
 def append_new(df: DataFrame, path: str, key: str) -> DataFrame:
     """SNK2 with REL6: only rows whose key the sink lacks are appended, so a rerun adds nothing."""
     spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if exists(spark, path):
         df = df.join(spark.read.schema(df.schema).json(path).select(key).distinct(), key, "left_anti")
     df.write.mode("append").json(path)
     return df
