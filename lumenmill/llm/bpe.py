@@ -37,13 +37,13 @@ def byte_letters() -> dict[int, str]:
 class Pieces(dict):
     """ids of pieces by their bytes, made when first asked for; ``old`` is the generation before."""
 
-    def __init__(self, make, old: dict):
-        self.make, self.old = make, old
+    def __init__(self, make, word, old: dict):
+        self.make, self.word, self.old = make, word, old
 
     def __missing__(self, piece: bytes) -> bytes:
         got = self.old.get(piece)
         if got is None:
-            got = self.make(piece)
+            got = self.word(piece) if piece.isalpha() and piece.islower() else self.make(piece)
         self[piece] = got
         return got
 
@@ -51,7 +51,7 @@ class Pieces(dict):
 class Encoder:
     """ids as packed little-endian unsigned integers of ``dtype``; equal to the library's on whole texts."""
 
-    def __init__(self, path: str = DEFAULT_PATH, pieces: int = 200_000, dtype: str | None = "<u4", end_id: int = 0):
+    def __init__(self, path: str = DEFAULT_PATH, pieces: int = 300_000, dtype: str | None = "<u4", end_id: int = 0):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -72,7 +72,7 @@ class Encoder:
 
     def release(self) -> None:
         """Empties the cache."""
-        self.new = Pieces(self._piece, {})
+        self.new = Pieces(self._piece, self._word, {})
 
     def library(self, text: str) -> bytes:
         return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
@@ -83,22 +83,23 @@ class Encoder:
         return array(self.code, [t.id for t in self.tokenize(text)]).tobytes()
 
     def _piece(self, piece: bytes) -> bytes:
-        """Ids of a piece without white space. Its words are pieces of their own, and kept as such."""
-        if piece.isalpha() and piece.islower():  # of bytes: a-z alone
-            return self._word(piece)
+        """Ids of a piece without white space. The words that it splits into are pieces of their own, and kept as such."""
         word = piece.rstrip(_ENDS)
-        if word.isalpha():
-            return self.new[word.lower()] + (self._word(piece[len(word) :]) if len(word) < len(piece) else b"")
+        if word.isalpha():  # of bytes: A-Z and a-z alone
+            if len(word) < len(piece):
+                return self.new[word.lower()] + self.new[piece[len(word) :]]
+            return self._word(word.lower())
         s = piece.decode("utf-8")
         if "<|" in s or not _PLAIN.fullmatch(s):
             return self.library(s)
         s = s.lower()
         word = s.rstrip(_LAST)
         if not word.isalpha():
-            return b"".join([self._word(w.encode()) for w in _WORD.findall(s)])
+            subs = _WORD.findall(s)
+            return self._word(s.encode()) if len(subs) == 1 else b"".join([self.new[w.encode()] for w in subs])
         if len(word) == len(s):
             return self._word(s.encode())
-        return self.new[word.encode()] + self._word(s[len(word) :].encode())
+        return self.new[word.encode()] + self.new[s[len(word) :].encode()]
 
     def encode(self, text: bytes) -> bytes:
         if not self.by_piece:
@@ -107,7 +108,7 @@ class Encoder:
             text = text.lower()  # A-Z only: without combining marks this and NFC commute, and fewer pieces differ
         out = b"".join(map(self.new.__getitem__, text.split()))
         if len(self.new) > self.cap:
-            self.new = Pieces(self._piece, self.new)
+            self.new = Pieces(self._piece, self._word, self.new)
             self.new.old.old = {}
         return out
 

@@ -40,54 +40,41 @@ def linear_nodes(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
     return rows.withColumn("node", F.row_number().over(w).cast("long")).select("tree", "node", (F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def _doubling(nodes: DataFrame, folder: str, start: DataFrame, leaves_of) -> DataFrame:
-    """Join tables of 1, 2, 4, ... steps up to the root. ``leaves_of(seen, up, step)`` extends what is seen by one table."""
-    up, seen, k = start, None, 0
+def _steps(start: DataFrame, folder: str) -> list[DataFrame]:
+    """Tables of 1, 2, 4, ... steps up (tree, node, up, gain): the node that many steps above, and the scores on the way. The last has the longest steps there are."""
+    ups, k = [start], 0
     while True:
-        seen = storage.staged(leaves_of(seen, up, 1 << k), f"{folder}/seen-{k}")
-        over = up.select("tree", F.col("node").alias("up"), F.col("up").alias("top"), F.col("gain").alias("more"))
-        k += 1
-        up = storage.staged(up.join(over, ["tree", "up"]).select("tree", "node", F.col("top").alias("up"), (F.col("gain") + F.col("more")).alias("gain")), f"{folder}/up-{k}")
-        if not up.limit(1).count():
-            return seen
+        a, k = ups[-1], k + 1
+        b = a.select("tree", F.col("node").alias("up"), F.col("up").alias("top"), F.col("gain").alias("more"))
+        more = storage.staged(a.join(b, ["tree", "up"]).select("tree", "node", F.col("top").alias("up"), (F.col("gain") + F.col("more")).alias("gain")), f"{folder}/up-{k}")
+        if not more.limit(1).count():
+            return ups
+        ups.append(more)
 
 
 def branches(nodes: DataFrame, best: int | None = None) -> DataFrame:
     """(tree, leaf, rank, node, depth): the nodes of the ``best`` highest-scored root-to-leaf paths of every tree (None: of all), root first by falling depth."""
     folder = storage.workspace(nodes.sparkSession, "trees")
     slim = nodes.select(F.coalesce(F.col("tree").cast("string"), F.lit("")).alias("tree"), "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
-    known = slim.select("tree", F.col("node").alias("parent"), F.col("score").alias("gain"))
     slim = storage.staged(slim, f"{folder}/nodes")
+    known = slim.select("tree", F.col("node").alias("parent"), F.col("score").alias("gain"))
     start = storage.staged(slim.filter("parent < node").join(known, ["tree", "parent"]).select("tree", "node", F.col("parent").alias("up"), "gain"), f"{folder}/up-0")
-    leaves = slim.join(start.select("tree", F.col("up").alias("node")).distinct(), ["tree", "node"], "left_anti").select("tree", "node", "score")
+    leaves = slim.join(start.select("tree", F.col("up").alias("node")).distinct(), ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "score")
+    ups = _steps(start, folder)
     if best is not None:
-
-        def total(seen, up, step):
-            """(tree, node, at, sum): how far up the sums of the leaves reach."""
-            seen = leaves.select("tree", F.col("node").alias("leaf"), F.col("node").alias("at"), F.col("score").alias("sum")) if seen is None else seen
-            return seen.join(up.select("tree", F.col("node").alias("at"), "up", "gain"), ["tree", "at"], "left").select("tree", "leaf", F.coalesce("up", "at").alias("at"), (F.col("sum") + F.coalesce("gain", F.lit(0.0))).alias("sum"))
-
-        # from the longest steps down: sums of powers of two give every depth
-        ups = [start]
-        while ups[-1].limit(1).count():
-            a = ups[-1]
-            b = a.select("tree", F.col("node").alias("up"), F.col("up").alias("top"), F.col("gain").alias("more"))
-            ups.append(storage.staged(a.join(b, ["tree", "up"]).select("tree", "node", F.col("top").alias("up"), (F.col("gain") + F.col("more")).alias("gain")), f"{folder}/sum-{len(ups)}"))
-        sums = None
-        for a in reversed(ups):
-            sums = total(sums, a, 0)
+        sums = leaves.select("tree", "leaf", F.col("leaf").alias("at"), F.col("score").alias("sum"))
+        for up in reversed(ups):  # from the longest steps down: sums of powers of two give every depth
+            sums = sums.join(up.select("tree", F.col("node").alias("at"), "up", "gain"), ["tree", "at"], "left").select("tree", "leaf", F.coalesce("up", "at").alias("at"), (F.col("sum") + F.coalesce("gain", F.lit(0.0))).alias("sum"))
         w = Window.partitionBy("tree").orderBy(F.desc("sum"), "leaf")
         chosen = sums.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= best).select("tree", "leaf", "rank")
     else:
-        chosen = leaves.select("tree", F.col("node").alias("leaf"), F.lit(None).cast("long").alias("rank"))
+        chosen = leaves.select("tree", "leaf", F.lit(None).cast("long").alias("rank"))
     chosen = storage.staged(chosen, f"{folder}/chosen")
-
-    def climb(seen, up, step):
-        seen = chosen.select("tree", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("depth")) if seen is None else seen
-        return seen.union(seen.join(up.select("tree", "node", "up"), ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("depth") + step).alias("depth")))
-
-    seen = _doubling(slim, folder, start, climb)
-    return seen.join(chosen, ["tree", "leaf"])
+    seen = chosen.select("tree", "leaf", "rank", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("depth"))
+    for k, up in enumerate(ups):  # what is seen of each leaf's ancestors doubles
+        further = seen.join(up.select("tree", "node", "up"), ["tree", "node"]).select("tree", "leaf", "rank", F.col("up").alias("node"), (F.col("depth") + (1 << k)).alias("depth"))
+        seen = storage.staged(seen.unionByName(further), f"{folder}/seen-{k}")
+    return seen
 
 
 def formatted(nodes: DataFrame, best: int | None = 1) -> DataFrame:

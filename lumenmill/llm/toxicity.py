@@ -18,7 +18,6 @@ import re
 import zlib
 from array import array
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +35,13 @@ BATCH, CACHE = 1 << 20, 200_000
 
 def beginnings(word: bytes) -> list[bytes]:
     """Its first letters, marked as such."""
-    text = word.decode("utf-8", "replace")
-    return [b"\x02" + text[:k].encode() for k in PREFIXES if k < len(text)]
+    text = word if word.isascii() else word.decode("utf-8", "replace")
+    return [b"\x02" + (x if text is word else x.encode()) for x in (text[:k] for k in PREFIXES if k < len(text))]
+
+
+def stems(values) -> set[bytes]:
+    """The first bytes of the beginnings among some words: a word that begins otherwise has none of them."""
+    return {x[1 : 1 + PREFIXES[0]] for x in values if x[:1] == b"\x02"}
 
 
 class Model:
@@ -45,10 +49,11 @@ class Model:
         """``values``: the weights of words and beginnings that are not zero."""
         self.values, self.bias, self.leak = values, bias, leak
         self.known: dict[bytes, float] = {_END: np.nan}
+        self.stems = stems(values)
 
     def _value(self, word: bytes) -> float:
         v = self.values
-        return v.get(word, 0.0) + sum(v.get(x, 0.0) for x in beginnings(word))
+        return v.get(word, 0.0) + (sum(v.get(x, 0.0) for x in beginnings(word)) if word[: PREFIXES[0]] in self.stems else 0.0)
 
     def score(self, texts: list[bytes | None]) -> tuple[np.ndarray, list[int]]:
         """Chance of each text, and the number of its likeliest sentence, which is that of the ends (. ! ? and new lines) before it."""
@@ -84,15 +89,21 @@ def train(texts: list[bytes], labels: list[int], min_docs: int = 5, max_words: i
     bias, leak = -7.0, -4.0
     if not y.any() or y.all():
         return Model({}, bias, leak)
-    df, seen = Counter(), Counter()
-    for t, toxic in zip(texts, y.tolist(), strict=True):  # each pass parts the texts anew: words of all are never held at once
-        own = set((t or b"").translate(_TABLE).split())
-        own.update([x for w in own for x in beginnings(w)])
-        df.update(own)
-        if toxic:
-            seen.update(own)
-    base = y.mean()
-    excess = {w: (n - df[w] * base) / np.sqrt(df[w] * base * (1 - base)) for w, n in seen.items() if df[w] >= min_docs}
+    base, stem = y.mean(), PREFIXES[0]
+
+    def counted(parts) -> tuple[Counter, dict[bytes, float]]:
+        """In how many documents each part stands, and how far toxic ones exceed chance, in standard deviations."""
+        df, seen = Counter(), Counter()
+        for t, toxic in zip(texts, y.tolist(), strict=True):  # each pass parts the texts anew: words of all are never held at once
+            own = parts(set((t or b"").translate(_TABLE).split()))
+            df.update(own)
+            if toxic:
+                seen.update(own)
+        return df, {w: (n - df[w] * base) / np.sqrt(df[w] * base * (1 - base)) for w, n in seen.items() if df[w] >= min_docs}
+
+    _, excess = counted(lambda words: {w[:stem] for w in words if len(w) > stem})
+    first = {w for w, x in excess.items() if x > 2}  # only words that begin with these are looked at by their beginnings
+    df, excess = counted(lambda words: words | {x for w in words if w[:stem] in first for x in beginnings(w)})
     kept = sorted((w for w, n in df.items() if n >= min_docs and w[0] != 2), key=lambda w: (-df[w], w))[:max_words]
     kept += sorted((w for w, x in excess.items() if w[0] == 2 and x > 3), key=lambda w: (-excess[w], w))[:max_words]
     vocab = {w: i for i, w in enumerate(kept)}
@@ -100,13 +111,14 @@ def train(texts: list[bytes], labels: list[int], min_docs: int = 5, max_words: i
     for w, x in excess.items():  # a start among words that toxic documents have far above chance; the likelihood is not convex
         if w in vocab and x > 4:
             weights[vocab[w]] = 6.0 if w[0] != 2 else 3.0
-    del df, seen, excess
-    parts = lru_cache(100_000)(beginnings)
+    del df, excess
+    first = stems(vocab)
     word, size, doc_of = array("i"), array("i"), array("i")  # words of all sentences, their number in each, its document
     for d, t in enumerate(texts):
         for line in (t or b"").translate(_TABLE).split(b"\n"):
-            own = line.split()
-            if got := {vocab[x] for w in own for x in (w, *parts(w)) if x in vocab}:
+            own = set(line.split())
+            own.update([x for w in own if w[:stem] in first for x in beginnings(w)])
+            if got := {vocab[x] for x in own if x in vocab}:
                 word.extend(got)
                 size.append(len(got))
                 doc_of.append(d)
