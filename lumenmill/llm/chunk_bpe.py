@@ -15,7 +15,6 @@ columns are ignored. One pass over the table, no shuffle; a task holds ``BATCH``
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from itertools import pairwise
 from typing import NamedTuple
@@ -28,8 +27,6 @@ from pyspark.sql import functions as F
 from . import bpe, storage
 
 WINDOW, MIN_CHUNK, BATCH = 16, 256, 1 << 20
-_WHITE = b" \t\n\r\x0b\x0c"
-_SPACES = [bytes([c]) for c in _WHITE]
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -53,9 +50,6 @@ def cut_points(text: bytes, mask: int = 1023) -> list[int]:
     return [*out, len(text)]
 
 
-_SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]+")
-
-
 class Part(NamedTuple):
     """A chunk's first two words (their bytes and ids, the ids of the second), what is between, and its last two (the ids of the first of them)."""
 
@@ -94,22 +88,15 @@ class ChunkEncoder:
 
     def part(self, chunk: bytes) -> Part | None:
         """The chunk encoded by itself; None if it has fewer than four words."""
-        words = list(re.finditer(rb"[^ \t\n\r\x0b\x0c]+", chunk[:4096]))[:2]
-        lo = max((chunk.rfind(x) for x in _SPACES), default=-1)
-        last = _SPACE.split(chunk[-4096:])
-        if len(words) < 2 or len(words) == 2 and words[1].end() == min(4096, len(chunk)) or lo < 0:
-            return None
-        ends = [x for x in last if x]
-        if len(ends) < 3:  # fewer than two whole words at the end
+        first, last = chunk.split(None, 2), chunk.rsplit(None, 2)
+        if len(first) < 3 or len(last) < 3:
             return None
-        cut = chunk.rstrip(_WHITE)
-        cut = cut[: len(cut) - len(ends[-1])].rstrip(_WHITE)
-        at, first = len(cut) - len(ends[-2]), words[1].end()
-        if first > at:
+        lo, hi = len(chunk) - len(first[2]), len(last[0])
+        if lo > hi and len(chunk.split(None, 4)) < 4:
             return None
         enc = self.enc.encode
-        head, tail = chunk[:first], chunk[at:]
-        return Part(head, enc(head), enc(words[1][0]), enc(chunk[first:at]), tail, enc(tail), enc(ends[-2]))
+        head, tail = chunk[:lo], chunk[hi:]
+        return Part(head, enc(head), enc(first[1]), enc(chunk[lo:hi]), tail, enc(tail), enc(last[1]))
 
     def joined(self, a: Part, b: Part) -> bytes | None:
         """Ids of the words around a join, if they agree with both chunks at the outer words."""
