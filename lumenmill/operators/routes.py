@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..sources.shared import workers_find_package
 from . import dedup, gates, quality
 
 Model = Callable[[], Callable[[str, int, float], str]]
@@ -50,6 +51,7 @@ def ask(rows: DataFrame, question: Column, out: str, model: Model, max_tokens: i
         for batch in batches:
             yield pd.DataFrame([one(x) for x in batch], columns=["text", "error"], dtype=object)
 
+    workers_find_package(rows.sparkSession)
     got = rows.withColumn("_r", replies.asNondeterministic()(question))
     return got.withColumn(out, F.struct(t.strip(t.without_thinking(F.col("_r.text"))).alias("text"), F.col("_r.error").alias("error"))).drop("_r")
 

@@ -111,7 +111,14 @@ def txt30_txt31_txt32_ids(spark, sf_dir):
     return docs.select("doc_id", t.short_hash(F.col("text")).alias("h"), t.chunk_id(F.col("doc_id"), F.col("doc_id") % 7).alias("chunk_id"), t.estimated_tokens(F.col("text")).alias("tokens"))
 
 
-@query()
+CLEANED = f"""{CLEAN}, k as (select doc_id, {strip("text")} as text from t5 where length({strip("text")}) >= 600), r as (select doc_id, text, {RULE} as r from k),
+f as (select doc_id, text, coalesce(r, case when {has('substring(text, 1, 800)', p.WORD_PROBLEM)} and length(text) < 5000 then 'A' when {has('text', p.DEFINITION)} then 'C' else 'F' end) as label from r)"""
+#: In the view only the worksheets of classes 0 and 1 hold pairs: both headings, or a lone answer under the first heading.
+PAIRS = f"""{CLEANED}, x as (select doc_id, label, 'S1' as strategy, {strip("split_part(split_part(text, '## Problem', 2), '## Solution', 1)")} as problem, {strip("split_part(text, '## Solution', 2)")} as solution from f where doc_id % 8 = 0
+ union all select doc_id, label, 'S1b', {strip("split_part(substring(text, strpos(text, chr(10))), '## Answer', 1)")}, {strip("split_part(text, '## Answer', 2)")} from f where doc_id % 8 = 1)"""
+
+
+@query(f"{PAIRS} select * from x where label = 'A' and length(problem) >= 30 and length(solution) >= 100 and {has('solution', p.MATH_IN_SOLUTION)}")
 def cas_a_to_d_extraction(spark, sf_dir):
     docs = quality.classify(quality.clean(mathdocs(spark, sf_dir)).filter("reason is null").drop("reason"))
     return extract.extract_pairs(docs).select("doc_id", "label", "strategy", "problem", "solution")
