@@ -44,7 +44,8 @@ def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("match_at", "match_item", "match_item_at")  # of equal matches any may be told; the operator's tests hold the places
 
 
 def op8_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +62,25 @@ def op10_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op3_mil_toxicity, op4_reply_trees, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe, op9_license_scan, op10_crf_secrets)}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 ORACLE_SQL: dict[str, str] = {
+    "op7_suffix_decontamination": f"""
+with d as materialized (select row_number() over () as r, doc_id, {_WORDS} as w from documents), b as materialized (select row_number() over () as t, cast(item_id as varchar) as item, {_WORDS} as w from benchmark),
+win as materialized (select t, item, least(13, len(w)) as m, unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2), lambda i: array_to_string(w[i : i + least(13, len(w)) - 1], ' '))) as s from b where len(w) > 0),
+sizes as (select distinct m from win),
+dw as (select r, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) as s, unnest(range(0, greatest(len(w) - m + 1, 0))) as i from d, sizes where len(w) >= m),
+hit as materialized (select dw.r, dw.i, win.m, win.item from dw join win on win.m = dw.m and win.s = dw.s),
+words as (select r, count(distinct p) as n_hit from (select r, unnest(range(i, i + m)) as p from hit) group by r),
+items as (select r, count(*) as n_items, string_agg(item, ',' order by item) as names from (select distinct r, item from hit where item is not null) group by r),
+tri as (select t, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as s, unnest(range(0, len(w) - 2)) as j from b where len(w) >= 3),
+dtri as (select r, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as s, unnest(range(0, len(w) - 2)) as i from d where len(w) >= 3),
+met as (select dtri.r, tri.t, i - j as diagonal, i from dtri join tri using (s)),
+runs as (select r, t, diagonal, i - row_number() over (partition by r, t, diagonal order by i) as run from met),
+longest as (select r, max(n) as n from (select r, count(*) + 2 as n from runs group by r, t, diagonal, run union all select r, m from hit) group by r)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(words.n_hit, 0) as n_hit, coalesce(items.n_items, 0) as n_items, sha256(coalesce(items.names, '')) as items_sha256,
+  coalesce(words.n_hit, 0) > 0 and 20 * words.n_hit >= len(d.w) as contaminated, cast(coalesce(longest.n, 0) as bigint) as longest_match
+from d left join words on words.r = d.r left join items on items.r = d.r left join longest on longest.r = d.r
+""",
     "op9_license_scan": licenses.ORACLE_SQL,
     "op4_reply_trees": """
 with base as (select conv_id, turn, role, text from conversations union all
