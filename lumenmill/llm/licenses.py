@@ -15,11 +15,12 @@ are ignored. No shuffle but the corpus counts: a number for each licence word. A
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from . import storage
 
 TOP = 4
@@ -145,31 +146,31 @@ def rarest_first(rows: DataFrame) -> list[str]:
     return sorted((r["w"] for r in got), key={r["w"]: (r["count"], r["w"]) for r in got}.__getitem__)
 
 
-def agreed_starts(t: Template) -> tuple[Column, Column]:
-    """What each of the file's rarest words of a template proposes, and the starts that two of them agree on (of the former as ``_sets``)."""
+def agreed_starts(t: Template) -> Column:
+    """The starts of a template that two of the file's rarest words of it propose."""
     offset = F.create_map(*(F.lit(x) for w, k in t.once.items() for x in (w, k)))
     own = F.slice(F.filter("ranked", lambda w: w.isin(list(t.once))), 1, TOP)
+    none = F.array().cast("array<int>")
 
     def proposed(w: Column) -> Column:
         place = F.try_element_at(offset, w)
         return F.transform(F.filter("places", lambda p: p["w"] == w), lambda p: p["i"] - place)
 
-    sets = F.transform(own, proposed)
-    pairs = [F.array_intersect(F.get("_sets", F.lit(i)), F.get("_sets", F.lit(j))) for i in range(TOP) for j in range(i + 1, TOP)]
-    met = F.array_distinct(F.concat(*(F.coalesce(p, F.array().cast("array<int>")) for p in pairs)))
-    return sets, met
+    def met(sets: Column) -> Column:
+        pairs = (F.array_intersect(F.get(sets, F.lit(i)), F.get(sets, F.lit(j))) for i in range(TOP) for j in range(i + 1, TOP))
+        return F.array_distinct(F.concat(*(F.coalesce(p, none) for p in pairs)))
+
+    return let(F.transform(own, proposed), met)
 
 
 def _verified(t: Template, s: Column) -> Column:
     """Whether every key phrase stands near its place for a start ``s``."""
-    out = F.lit(True)
-    for place, words in t.key_places:
-        at = [F.when(s + (place + d) >= 0, F.slice("words", F.greatest(s + (place + d + 1), F.lit(1)), len(words)) == _literals(words)).otherwise(F.lit(False)) for d in range(-t.slack, t.slack + 1)]
-        here = at[0]
-        for x in at[1:]:
-            here = here | x
-        out = out & here
-    return out
+
+    def stands(words: list[str], at: Column) -> Column:
+        return F.when(at >= 0, F.slice("words", F.greatest(at + 1, F.lit(1)), len(words)) == _literals(words)).otherwise(F.lit(False))
+
+    found = [F.exists(F.sequence(s + (place - t.slack), s + (place + t.slack)), partial(stands, words)) if t.slack else stands(words, s + place) for place, words in t.key_places]
+    return reduce(lambda x, y: x & y, found)
 
 
 def _share(t: Template, s: Column) -> Column:
@@ -188,9 +189,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
     places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(vocab), F.struct(i.alias("i"), w.alias("w")))), lambda p: p.isNotNull())
     rows = rows.filter("words is not null").select("doc_id", "n_words", "words", F.array_intersect(_literals(ranked), "present").alias("ranked"), places.alias("places"))
-    for k, t in enumerate(TEMPLATES):
-        sets, met = agreed_starts(t)
-        rows = rows.withColumn("_sets", sets).withColumn(f"m{k}", met).drop("_sets")
+    rows = rows.select("doc_id", "n_words", "words", *(agreed_starts(t).alias(f"m{k}") for k, t in enumerate(TEMPLATES)))
     rows = rows.select("doc_id", "n_words", "words", *(f"m{k}" for k in range(len(TEMPLATES))), *(F.filter(f"m{k}", partial(_verified, t)).alias(f"t{k}") for k, t in enumerate(TEMPLATES)))
     best = F.greatest(F.lit(0.0), *(F.coalesce(F.array_max(F.transform(f"t{k}", partial(_share, t))), F.lit(0.0)) for k, t in enumerate(TEMPLATES)))
     near = F.greatest(F.lit(0.0), *(F.coalesce(F.array_max(F.transform(f"m{k}", partial(_share, t))), F.lit(0.0)) for k, t in enumerate(TEMPLATES)))
