@@ -270,7 +270,8 @@ def write_token_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", tex
         if held:
             yield row()
 
-    return storage.staged(ordered.select("bucket", "place", "no_id", "ids", "width").mapInArrow(write, MANIFEST), f"{folder}/manifest")
+    rows = ordered.select("bucket", "place", "no_id", "ids", "width").mapInArrow(write, MANIFEST)
+    return storage.staged(rows.repartition(max(1, n // 16), "path"), f"{folder}/manifest")  # a row for each shard: few files, none written beside the encoded ids
 
 
 _SCHEMA = pa.schema([("bucket", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
