@@ -28,7 +28,8 @@ class P:
         return re.compile((f"(?{self.flags})" if self.flags else "") + self.body)
 
 
-# Results depend on these patterns and word lists.
+# Fixed values throughout: results depend on these patterns and word lists.
+# What the quality cascade counts, headings.
 NOISE = P(
     r"\[INS:[^\]]*\]|\[DEL:[^\]]*\]"
     r"|\b(cookie|advertisement|navbar|menu|sidebar|footer|header)\b"
@@ -45,6 +46,7 @@ MATH = P(
     "i",
 )
 HEADING = P(r"^(#{1,4})\s+(.+)$", "m")
+# Cleaning.
 NAV_LINE = P(
     r"^[\-\*\s]*(Facebook|Twitter|LinkedIn|Pinterest|Instagram|YouTube|Share [Tt]his( [Cc]ourse)?|Tweet|Home\s*[>»|/\\]"
     r"|Skip to (content|main|navigation)|You are here\s*:|Page\s+\d+\s+of\s+\d+|Print\s*(this)?\s*(page|article)?"
@@ -67,6 +69,7 @@ WRONG_LABEL = P(
 )
 LATEX_INLINE, LATEX_DISPLAY = P(r"\\\((.+?)\\\)", "s"), P(r"\\\[(.+?)\\\]", "s")
 EXCESS_BLANK = P(r"\n{3,}")
+# Classes by rule.
 CALC_LINE = P(r"^\s*[\d,]+\s*[\+\-\×\*\/÷=]\s*[\d,]+\s*=\s*[\d,\.]+\s*$", "m")
 UNIT_TABLE = P(
     r"(\d+\.?\d*\s+(inch|cm|kg|lb|mile|km|°[CF]|gallon|liter|foot|feet|yard|ounce|pound|meter|gram)\s*=\s*\d+\.?\d*\s+\w+\s*\n){3,}",
@@ -84,6 +87,7 @@ PROB_MARK = P(r"^#{1,4}\s*(Problem|Question|Exercise|Task|Challenge)\b|^\*{1,2}(
 SOL_MARK = P(r"^#{1,4}\s*(Solution|Answer|Worked [Ss]olution|Step[- ]by[- ]Step)\b|^\*{1,2}(Solution|Answer)\*{1,2}\s*:", "mi")
 WORD_PROBLEM = P(r"\b(find|calculate|compute|solve|evaluate|determine|how many|how much|what is|prove that|show that|if .{5,50} then|given that)\b", "i")
 DEFINITION = P(r"\b(definition|theorem|lemma|corollary|proposition|proof|remark|note)\b", "i")
+# Headings of problems, solutions, examples, theorems.
 PROB_HEADER = P(r"^(#{1,4})\s*(problem\s*(statement|description)?|question|exercise|task|challenge)\s*[\d\.\:]*\s*$", "mi")
 SOL_HEADER = P(r"^(#{1,4})\s*(solution|answer|proof|workings?|derivation|solution\s*approach)\s*[\d\.\:]*\s*$", "mi")
 PROB_HEADER_B = P(r"^(#{1,4})\s*(problem\s*(statement)?|question|exercise)\s*[\d\.\:]*\s*$", "mi")
@@ -91,6 +95,7 @@ SOL_HEADER_B = P(r"^(#{1,4})\s*(solution|answer|proof|workings?)\s*[\d\.\:]*\s*$
 EX_HEADER = P(r"^(#{1,4})\s*(example\s*[\d\.\:]*.*?)\s*$", "mi")
 THM_HEADER = P(r"^(#{1,4})\s*(theorem|lemma|corollary|proposition)\s*[\d\.\:]*.*?$", "mi")
 PRF_HEADER = P(r"^(#{1,4})\s*(proof|derivation)\s*[\d\.\:]*\s*$", "mi")
+# Titles that ask or name a topic, mathematics in a text.
 Q_TITLE_MATH = P(r"\$|\\[a-zA-Z]+|\^|_\{")
 _VERBS = (
     r"find|prove|show|calculate|evaluate|solve|determine|compute|what\s+is|how\s+(many|much|do|to|can)|simplify|factori[sz]e|if\s+.+then|given\s+that"
@@ -107,6 +112,7 @@ MATH_TOPIC = P(rf"\b({_TOPICS})\b", "i")
 MATH_TOPIC_D = P(rf"\b({_TOPICS}|mensuration|determinant|set\s+theory|factori[sz]ation|divisor)\b", "i")
 MATH_IN_SOLUTION = P(r"\$|\\[a-zA-Z]+|\d+\s*[\+\-\*\/\^=]\s*\d+")
 MATH_CONTENT = P(r"\$[^$]+\$|\$\$[\s\S]+?\$\$|\\[a-zA-Z]+|\d+\s*[\+\-\*\/\^=]\s*\d+")
+# Forum posts.
 META_LINE = P(
     r"^[\*_\s]*(Junior Member|Senior Member|Super Member|Newbie|Forum (Ph\.D\.|Freshman|Junior|Senior)|MHF (Contributor|Helper|Expert)|Administrator|Moderator|"
     r"Join(ed)?|Posts?:|Location:|From:|Awards?:|Thanks? (Received|Given):|Status:|Reputation:|Online|Offline|Default:).*$",
@@ -115,6 +121,7 @@ META_LINE = P(
 QUOTE_LINE = P(r"^>.*$", "m")
 POST_NUMBER = P(r"^\*\*\s*(\d+)\s*[\.\)]\s*.*?#\s*\1\s*\*\*|^\*\*\s*(\d+)\s*[\.\)]\s*\*\*", "m")
 THREAD_TITLE = P(r"\b(Thread|Discussion|Forum|Pre-University|Math Help)\b", "i")
+# Bold labels, choices, steps and examples of textbooks.
 BOLD_QUESTION = P(r"^\*\*(question|problem|exercise|task)\**\s*[\d\.\:]*\s*\*?\*?\s*[:：]?\s*(.+?)$", "mi")
 BOLD_ANSWER = P(r"^\*\*(solution|answer|proof|hint)\**\s*[\d\.\:]*\s*\*?\*?\s*[:：]?\s*", "mi")
 BOLD_LINE, BLANK_LINES, BOLD_CAPITAL = P(r"^\*\*", "m"), P(r"\n{2,}"), P(r"^\*\*[A-Z]", "m")
@@ -127,11 +134,13 @@ STEP_PROBLEM_LOOSE = P(r"\*{0,2}PROBLEM\*{0,2}[\s:\*]+(.+?)(?=\*{0,2}STEP|\*{0,2
 STEP_SOLUTION_LOOSE = P(r"\*{0,2}(?:STEP-BY-STEP\s+)?SOLUTION\*{0,2}[\s:\*]+(.+?)(?=\n#{1,4}|\Z)", "is")
 INLINE_EXAMPLE = P(r"^(?!#).*?(?:Example\s*\d*[\.\:])\s*(.+?)(?=\n\n(?!Example)|\Z)", "ms")
 INLINE_SOLUTION = P(r"\A((?:\*{0,2}Solution[\*\s:]*|Step\s*\d+[\.\:]?).+?)(?=\n\n|\n#{1,4}|\Z)", "is")
+# Pages of low value.
 DIVISOR_PAGE = P(r"divisors of \d+|list of.*?positive divisors", "i")
 ISBN = P(r"isbn[\s\-]*(?:10|13)?[\s\-:]", "i")
 CONTENTS_PAGE = P(r"table of contents|chapter \d+.*\n.*chapter \d+", "is")
 WORKED = P(r"example|solution|proof|theorem", "i")
 UPLOADED = P(r"uploaded by|related interests", "i")
+# Boxed answers and the places where a final answer stands.
 BOXED, BOXED_FULL, BOXED_PLAIN = P(r"\\boxed\{[^}]*\}"), P(r"\\boxed\{(.+?)\}", "s"), P(r"\\boxed\{([^{}]*)\}")
 CONCLUSION_INLINE = P(
     r"(?:thus|therefore|hence|so|consequently|we\s+get|we\s+have|we\s+obtain|the\s+(?:final\s+)?answer\s+is|is\s+equal\s+to|equals?|gives?\s+us"
@@ -144,6 +153,7 @@ ANSWER_LABEL = P(r"(?:correct\s+)?[Aa]nswer\s*[:\-]\s*\$?\s*([A-Za-z0-9\+\-\\\{\
 INLINE = P(r"\$([^$\n]{1,80})\$")
 CONCLUSION_WORD = P(r"\b(thus|therefore|hence|so|answer|result|value|solution|equal|gives?)\b", "i")
 BOXED_NOISE = P(r"\b(approximately|units?|meters?|cm|kg|seconds?|minutes?|hours?|See|Note|Since|where|which|this|that|Therefore|Thus|Hence)\b", "i")
+# Gates.
 LATEX_EXPR = P(r"\$[^$\n]+\$|\$\$[\s\S]+?\$\$")
 CORE_MATH = P(
     r"\\(?:frac|sqrt|sum|int|prod|lim|infty|pm|times|div|alpha|beta|gamma|delta|theta|lambda|mu|pi|sigma|leq|geq|neq|approx|equiv|cdot|ldots|binom|vec|hat"
@@ -159,9 +169,11 @@ URL, CODE_BLOCK = P(r"https?://\S+"), P(r"```[\w]*\n[\s\S]+?```")
 DANGLING = P(r"^(it\b|this\b|these\b|those\b|the\s+above|the\s+following|as\s+shown|from\s+the\s+above|in\s+the\s+figure|see\s+figure|refer\s+to)", "i")
 EXTERNAL_REF = P(r"\b(click\s+here|see\s+figure|as\s+shown\s+in|refer\s+to\s+the|in\s+the\s+diagram|from\s+the\s+graph|the\s+table\s+below)\b", "i")
 TRUNCATED = (",", " the", " a", " of", " and", " or", " in", " to", " for", " is", " are", " be")
+# Concept lessons.
 CONCEPT_TITLE = ("lesson", "understanding", "how to", "guide", "ratio", "quart", "fraction", "equation", "graph", "trigonometric", "probability", "notation", "surface area", "distance between", "foi", "mixed numbers")
 CONCEPT_BODY = ("objective", "big idea", "definition", "properties", "vocabulary", "examples", "how to", "understanding", "lesson")
 CONCEPT_MARK = ("objective", "big idea", "definition", "example", "vocabulary", "properties", "strategy")
+# Questions and units of route A.
 EXPLICIT_QUESTION = tuple(P(x, "sm") for x in (r"### [^\n]*\n\n([^\n?]{8,220}\?)", r"\*\*Question:?\*\*\s*([^\n?]{8,220}\?)", r"\*\*Problem:?\*\*\s*([^\n?]{8,220}\?)", r"## Problem Statement.*?\n([^\n?]{8,220}\?)", r"^#\s+([^\n?]{8,220}\?)"))
 ANSWER_LIKE = P(
     r"(=\s*[\d\.\-]+\s*$|\\frac\{[^}]+\}\{[^}]+\}\s*$|^\$.*\$\s*$|is\s+\$[^$]+\$[\w\s\./,]*$|cm\?$|kg\?$|m\?$|m/s\?$|s\?$|N\?$|J\?$|\\boxed\{"
@@ -169,6 +181,7 @@ ANSWER_LIKE = P(
     "i",
 )
 PROBLEM_UNIT = tuple(P(x, "s") for x in (r"(## Problem Statement.*?## Solution.*?)(?=\n## |\Z)", r"(## Interview Question.*?## Answer.*?)(?=\n## |\Z)", r"(### Problem.*?## Solution.*?)(?=\n## |\Z)", r"(\*\*Question:\*\*.*?(?:\*\*Answer:\*\*|## Solution).*?)(?=\n## |\Z)", r"(## Example.*?## Solution.*?)(?=\n## |\Z)"))
+# Replies of a model.
 LEAK_WORDS = ("instruction", "actual session", "request:", "source unit", "source excerpt", "assistant:", "user:")
 ROLE_LINE = P(r"^(assistant|user|system|instruction|request|source unit|source excerpt|answer)\s*[:：].*$", "im")
 SESSION_WORD = P(r"(actual session|prompt:|response:)", "i")
@@ -185,6 +198,7 @@ RESCUE = (
     (P(r"(?:answer|result|value)\s+(?:is|=)\s+\$?([^$\n.。]{1,50})", "i"), "lines", ".。", 1, 49),
     (P(r"(?<![a-zA-Z])(-?[\d,]+(?:\.\d+)?(?:\s*/\s*[\d,]+)?)\s*[.。]?\s*$"), "last", ".。,", 1, 29),
 )
+# Strategies of single classes.
 NOT_TOPIC = P(r"\b(chapter|unit|module|part\s+\d|index|contents?|overview|syllabus)\b", "i")
 LATEX_LOOSE = P(r"\$[^$]+\$|\$\$[\s\S]+?\$\$")
 EXAMPLE_VERB_LOOSE, EXAMPLE_VERB = P(r"(find|prove|show|calculate|solve|evaluate|determine|compute)", "i"), P(r"\b(find|prove|show|calculate|solve|evaluate|determine|compute)\b", "i")
