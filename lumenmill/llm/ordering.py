@@ -1,10 +1,12 @@
-"""Global order by id without a global sort of the payload: quantile buckets, of which a frequent id has several."""
+"""Global order by id without a global sort of the payload: quantile buckets, of which a frequent id has several; ranks within keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import storage
+
 LEAST = -(1 << 63)
 
 
@@ -47,3 +49,19 @@ def bucket_of(place: Column, tie: Column, bounds: list[tuple[float, int]]) -> Co
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ranked(rows: DataFrame, keys: list[str], order: list[str], folder: str) -> DataFrame:
+    """Adds ``rank``, from 0 within ``keys`` by ``order`` (nulls first, strings by their bytes), and ``total``, the rows of the key.
+
+    Rows are dealt out by ranges of keys and order, equal rows by their place in the input, so no key and no group of repeats lands in one task;
+    a table of a row for each part and key holds what stands before. ``rows`` should come from a table: it is sampled first. The sorted rows
+    are written below ``folder``, so places in them hold when a task runs again."""
+    names = [*keys, *order]
+    lined = rows.withColumn("_dealt", F.monotonically_increasing_id()).repartitionByRange(shuffle_partitions(rows), *names, "_dealt").sortWithinPartitions(*names, "_dealt")
+    lined = storage.staged(lined.drop("_dealt").withColumn("_at", F.monotonically_increasing_id()), f"{folder}/lined").withColumn("_part", F.shiftright("_at", 33))
+    sums = lined.groupBy("_part", *keys).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    of_key = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("_n").over(of_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select("_part", *keys, (before - F.col("_first")).alias("_shift"), F.sum("_n").over(of_key).alias("total"))
+    return lined.join(sums, ["_part", *keys]).withColumn("rank", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bottomk, chat_trees, chunk_bpe, decontaminate, licenses, secret_crf, simhash, storage, toxicity, warc, wavelet
+from . import bottomk, chat_trees, chunk_bpe, decontaminate, licenses, merkle, secret_crf, simhash, storage, toxicity, warc, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,9 +62,42 @@ def op10_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_crf.scan(docs, secret_crf.fit(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op3_mil_toxicity, op4_reply_trees, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe, op9_license_scan, op10_crf_secrets)}
+def op11_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    seen = merkle.leaf(*(tampered if c == "text" else F.col(c) for c in merkle.COLUMNS))
+    found = merkle.proved(docs, storage.workspace(spark, "merkle"), seen)
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.siblings_sha256(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
+QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op3_mil_toxicity, op4_reply_trees, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe, op9_license_scan, op10_crf_secrets, op11_merkle_proofs)}
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 ORACLE_SQL: dict[str, str] = {
+    "op11_merkle_proofs": """
+with recursive d as materialized (select row_number() over () as r, doc_id, source, lang, n_chars, text, doc_id is not null and xor(list_reduce(list_concat([4294967295::bigint],
+    flatten(list_transform(range(0, len(cast(doc_id as varchar))), lambda i: list_transform(range(0, 8), lambda b: cast((ascii(cast(doc_id as varchar)[i + 1]) >> b) & 1 as bigint))))),
+    lambda c, b: xor(c >> 1, case when (c & 1) <> b then 3988292384 else 0 end)), 4294967295) % 2 = 0 as tampered from documents),
+seen as materialized (select r, doc_id, source, sha256(own || coalesce(strlen(text) || ':' || text, '-')) as leaf, sha256(own || coalesce(strlen(now) || ':' || now, '-')) as leaf_now
+  from (select *, case when tampered then replace(text, chr(10), '') else text end as now, coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') as own from d)),
+lined as materialized (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as k, count(*) over (partition by source) as n from seen),
+tree(level, source, k, n, node) as (select 0, source, k, n, leaf from lined
+  union all select level + 1, source, k // 3, (n + 2) // 3, sha256(string_agg(node, '' order by k)) from tree where n > 1 group by level, source, k // 3, n),
+nodes as materialized (select level, source, k, n, coalesce(string_agg(node, '') over (run rows between unbounded preceding and 1 preceding), '') as before,
+  coalesce(string_agg(node, '') over (run rows between 1 following and unbounded following), '') as after, node from tree window run as (partition by source, level, k // 3 order by k)),
+tops as materialized (select source, node as subroot, row_number() over (order by source nulls first) - 1 as k, count(*) over () as n from tree where n = 1),
+over_tree(level, k, n, node) as (select 0, k, n, subroot from tops union all select level + 1, k // 3, (n + 2) // 3, sha256(string_agg(node, '' order by k)) from over_tree where n > 1 group by level, k // 3, n),
+over_nodes as materialized (select level, k, n, coalesce(string_agg(node, '') over (run rows between unbounded preceding and 1 preceding), '') as before,
+  coalesce(string_agg(node, '') over (run rows between 1 following and unbounded following), '') as after, node from over_tree window run as (partition by level, k // 3 order by k)),
+walk(r, source, level, k, cur, proof, done) as (select r, source, 0, k, leaf_now, '', false from lined
+  union all select w.r, w.source, w.level + 1, w.k // 3, case when t.n > 1 then sha256(t.before || w.cur || t.after) else w.cur end, case when t.n > 1 then w.proof || t.before || t.after else w.proof end, t.n = 1
+  from walk w join nodes t on t.level = w.level and t.k = w.k and t.source is not distinct from w.source where not w.done),
+climb(r, level, k, cur, proof, done) as (select w.r, 0, tops.k, w.cur, w.proof, false from walk w join tops on tops.source is not distinct from w.source where w.done
+  union all select c.r, c.level + 1, c.k // 3, case when t.n > 1 then sha256(t.before || c.cur || t.after) else c.cur end, case when t.n > 1 then c.proof || t.before || t.after else c.proof end, t.n = 1
+  from climb c join over_nodes t on t.level = c.level and t.k = c.k where not c.done)
+select l.doc_id, l.leaf, tops.subroot, (select node from over_tree where n = 1) as root, sha256(c.proof) as proof_sha256, c.cur as folded_root, c.cur = (select node from over_tree where n = 1) as verified
+from lined l join tops on tops.source is not distinct from l.source join climb c on c.r = l.r and c.done
+""",
     "op7_suffix_decontamination": f"""
 with d as materialized (select row_number() over () as r, doc_id, {_WORDS} as w from documents), b as materialized (select row_number() over () as t, cast(item_id as varchar) as item, {_WORDS} as w from benchmark),
 win as materialized (select t, item, least(13, len(w)) as m, unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2), lambda i: array_to_string(w[i : i + least(13, len(w)) - 1], ' '))) as s from b where len(w) > 0),
