@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, chat_trees, chunk_bpe, decontaminate, licenses, merkle, secret_crf, simhash, storage, toxicity, warc, wavelet
+from . import bottomk, chat_trees, chunk_bpe, decontaminate, licenses, merkle, packing, secret_crf, simhash, storage, toxicity, warc, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +70,12 @@ def op11_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", merkle.siblings_sha256(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op3_mil_toxicity, op4_reply_trees, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe, op9_license_scan, op10_crf_secrets, op11_merkle_proofs)}
+def op12_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(packing.pieces(_table(spark, sf_dir, "documents"), with_ids=False), storage.workspace(spark, "packing"))
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op3_mil_toxicity, op4_reply_trees, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe, op9_license_scan, op10_crf_secrets, op11_merkle_proofs, op12_config_packing)}
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 ORACLE_SQL: dict[str, str] = {
     "op11_merkle_proofs": """
