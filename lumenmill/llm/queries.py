@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, chat_trees, chunk_bpe, decontaminate, licenses, merkle, packing, secret_crf, simhash, storage, toxicity, warc, wavelet
+from . import bottomk, chat_trees, chunk_bpe, decontaminate, divergence, licenses, merkle, packing, secret_crf, simhash, storage, toxicity, warc, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,9 +75,29 @@ def op12_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op3_mil_toxicity, op4_reply_trees, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe, op9_license_scan, op10_crf_secrets, op11_merkle_proofs, op12_config_packing)}
+def op13_systolic_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), storage.workspace(spark, "divergence"))
+
+
+QUERIES = {f.__name__: f for f in (op1_wavelet_tokens, op2_simhash_near_dedup, op3_mil_toxicity, op4_reply_trees, op5_bottom_k, op6_warc_dictionary, op7_suffix_decontamination, op8_chunk_bpe, op9_license_scan, op10_crf_secrets, op11_merkle_proofs, op12_config_packing, op13_systolic_divergence)}
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
 ORACLE_SQL: dict[str, str] = {
+    "op13_systolic_divergence": f"""
+with d as materialized (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, {_TERMS} as w from documents),
+t as materialized (select r, lang, source, unnest(w) as term from d), kept as materialized (select lang, term, count(*) as n from t group by lang, term having count(distinct r) >= 10),
+v as (select lang, count(*) as v from kept group by lang), g as materialized (select distinct lang, source from d),
+c as materialized (select lang, source, term, count(*) as n from t group by lang, source, term),
+p as materialized (select lang, source, term, n, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over (partition by lang, source) + 2 * v) as p
+  from (select g.lang, g.source, kept.term, coalesce(c.n, 0) as n from g join kept using (lang) left join c using (lang, source, term)) join v using (lang)),
+q as (select lang, term, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over (partition by lang) + 2 * v) as q from kept join v using (lang)),
+far as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join far on far.lang = a.lang and far.source = a.source and far.item = b.source),
+tops as (select lang, source, 'term' as part, term as item, cast((p - q) * (p - q) // (p + q) as bigint) as value from p join q using (lang, term) where n > 0 and p > q)
+select *, cast(row_number() over (partition by lang, source order by value desc, item) as int) as rank from pairs
+union all select * from (select *, cast(row_number() over (partition by lang, source order by value desc, item) as int) as rank from tops) where rank <= 10
+""",
     "op11_merkle_proofs": """
 with recursive d as materialized (select row_number() over () as r, doc_id, source, lang, n_chars, text, doc_id is not null and xor(list_reduce(list_concat([4294967295::bigint],
     flatten(list_transform(range(0, len(cast(doc_id as varchar))), lambda i: list_transform(range(0, 8), lambda b: cast((ascii(cast(doc_id as varchar)[i + 1]) >> b) & 1 as bigint))))),
