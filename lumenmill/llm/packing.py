@@ -29,7 +29,7 @@ from .ordering import ranked
 
 TOKENIZER, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 CAPACITY, END_ID = 2048, 0
-SHARES = (1.0, 0.75, 0.5)  # of the program's weights that are rounded; the fewest sequences count
+SHARES = (1.0, 0.75, 0.5, 0.25, 0.1)  # of the program's weights that are rounded; the fewest sequences count
 BATCH = 4 << 20
 # What both libraries part alike: characters whose classes have long been settled, and no long white space, in which a pattern may run out of steps.
 _OTHER = re.compile("[\x1c-\x1f\x85\u0250-\u200f\u2028-\u202f\u2030-\u20ab\u20ad-\U0010ffff]|\\s{500}")
