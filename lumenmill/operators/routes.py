@@ -1,21 +1,17 @@
-"""Generated question-answer rows: a chat model asked in batches, routes A and B, their gates and merge (LLM2-LLM11, TVF6, FLT18-FLT20, TXT27, TXT34, TXT40, REL2, REL4, REL5, REL7).
+"""Generated question-answer rows: a chat model asked from tasks, routes A and B, their gates and merge (LLM2-LLM11, TVF6, FLT18-FLT20, TXT27, TXT34, TXT40, REL2, REL4, REL5, REL7).
 
-Only the question to the model is Python; what goes in and what is made of a reply are native expressions. A model is given as a
-factory: it is called once in a task and returns ``reply(prompt, max_tokens, temperature) -> str``."""
+Only the question to the model is Python (:mod:`inference`); what goes in and what is made of a reply are native expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..sources.shared import workers_find_package
-from . import dedup, gates, quality
-
-Model = Callable[[], Callable[[str, int, float], str]]
+from . import dedup, gates, inference, quality
+from .inference import Model, WriteThrough
 
 # Instructions to the model, by task; a caller may pass others of the same keys.
 PROMPTS = {
@@ -33,27 +29,17 @@ def prompt(task: str, prompts: dict[str, str], **parts: Column) -> Column:
     return F.concat_ws("\n\n", F.lit(prompts[task]), *(F.concat(F.lit(f"{k.replace('_', ' ').capitalize()}:\n"), v) for k, v in parts.items()))
 
 
-def ask(rows: DataFrame, question: Column, out: str, model: Model, max_tokens: int = 240, temperature: float = 0.0) -> DataFrame:
-    """LLM2: ``out`` as struct (text, error). A null prompt is not asked; an error never becomes text (it is kept beside it)."""
-
-    @F.pandas_udf("struct<text: string, error: string>")
-    def replies(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        reply = model()
-
-        def one(x):
-            if x is None:
-                return None, None
-            try:
-                return reply(x, max_tokens, temperature), None
-            except Exception as e:  # noqa: BLE001 - a server's failure belongs to its row
-                return None, str(e)
+def ask(rows: DataFrame, question: Column, out: str, model: Model | WriteThrough, max_tokens: int = 240, temperature: float = 0.0, sample: Column | None = None) -> DataFrame:
+    """LLM2: :func:`inference.ask`, without what a model thought aloud."""
+    got = inference.ask(rows, question, out, model, max_tokens, temperature, sample=sample)
+    return got.withColumn(out, F.struct(t.strip(t.without_thinking(F.col(out)["text"])).alias("text"), F.col(out)["error"].alias("error")))
 
-        for batch in batches:
-            yield pd.DataFrame([one(x) for x in batch], columns=["text", "error"], dtype=object)
 
-    workers_find_package(rows.sparkSession)
-    got = rows.withColumn("_r", replies.asNondeterministic()(question))
-    return got.withColumn(out, F.struct(t.strip(t.without_thinking(F.col("_r.text"))).alias("text"), F.col("_r.error").alias("error"))).drop("_r")
+def samples(rows: DataFrame, question: Column, model: Model | WriteThrough, draws: int = 3, temperature: float = 0.7, max_tokens: int = 600) -> DataFrame:
+    """DES16's draws: a row for each of ``draws`` replies to a question, with its number ``sample`` and its text ``answer`` (null where the call failed or nothing was asked)."""
+    drawn = rows.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    got = ask(drawn, question, "answer", model, max_tokens, temperature, F.col("sample"))
+    return got.withColumn("answer", F.col("answer.text"))
 
 
 CLASSES = "Classes: A problem with solution, B forum thread, C lesson or concept, D textbook part, E calculator output, F other. Answer with one letter.\n\nText: \""

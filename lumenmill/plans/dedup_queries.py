@@ -8,7 +8,7 @@ from ..functions import patterns as p
 from ..functions import text as t
 from ..operators import coldstart, dedup, extract, gates, routes, sampling, split
 from .extract_queries import ALL_TURNS, SQL_PARTS, cold_docs, cold_rows, documents, turn_docs
-from .fixture import mathdocs, reply_sql, scripted_model
+from .fixture import in_batches, mathdocs, reply_sql, scripted_model
 from .sql import M, any_of, has, last_boxed, light, lit, n, normal, query, question, rx, strip, title
 from .text_queries import EXCERPTS, GATE, UNITS, answer_flags, reasoning, reasoning_flags, reply_ctes, two_questions
 
@@ -177,15 +177,25 @@ def labelled(spark, sf_dir):
     return mathdocs(spark, sf_dir).selectExpr("doc_id", f"{LESSON} as text", "case when doc_id % 8 = 5 then 'C' when doc_id % 8 = 4 then 'E' when doc_id % 8 = 2 then 'B' else 'A' end as label")
 
 
-def generated(spark, sf_dir):
+def generated(spark, sf_dir, model=scripted_model):
     docs = routes.routed(labelled(spark, sf_dir))
-    return routes.route_a(docs.filter("route = 'A'"), scripted_model).unionByName(routes.route_b(docs.filter("route = 'B'"), scripted_model))
+    return routes.route_a(docs.filter("route = 'A'"), model).unionByName(routes.route_b(docs.filter("route = 'B'"), model))
 
 
 @query(f"{M}, {LABELLED}, {generated_ctes('labelled')} select route, source_id, question, answer, keep, flags from generated")
 def llm10_tvf6_routes(spark, sf_dir):
+    return told(generated(spark, sf_dir))
+
+
+@query(f"{M}, {LABELLED}, {generated_ctes('labelled')} select route, source_id, question, answer, keep, flags from generated")
+def llm10_llm11_routes_in_batches(spark, sf_dir):
+    """The same rows from a model that takes many prompts in a call."""
+    return told(generated(spark, sf_dir, in_batches(scripted_model)))
+
+
+def told(rows):
     q, a = F.col("messages")[1]["content"], F.col("messages")[2]["content"]
-    return generated(spark, sf_dir).select("route", "source_id", q.alias("question"), a.alias("answer"), F.col("quality.keep").alias("keep"), F.array_join("quality.rule_flags", ",").alias("flags"))
+    return rows.select("route", "source_id", q.alias("question"), a.alias("answer"), F.col("quality.keep").alias("keep"), F.array_join("quality.rule_flags", ",").alias("flags"))
 
 
 @query(f"{M}, {LABELLED} select label, label = 'C' and {CONCEPT} as concept, count(*) as n from labelled where label in ('A', 'B', 'C', 'D') group by 1, 2")

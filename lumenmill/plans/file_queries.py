@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import patterns as p
-from ..sources import jsonl
+from ..sources import jsonl, ledger
 from ..sources.shared import workspace
 from ..streaming import incremental
 from . import drivers
@@ -106,9 +106,9 @@ def src10_preflight(spark, sf_dir):
 def snk2_agg10_append_only_new_rows(spark, sf_dir):
     path = f"{workspace(spark, 'append')}/out"
     rows = docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "text")
-    jsonl.append_new(rows.filter("cast(id as bigint) % 3 = 0"), path, "id")
-    jsonl.append_new(rows, path, "id")
-    jsonl.append_new(rows, path, "id")
+    ledger.append_new(rows.filter("cast(id as bigint) % 3 = 0"), path, "id")
+    ledger.append_new(rows, path, "id")
+    ledger.append_new(rows, path, "id")
     return spark.read.schema("id string, text string").json(path).groupBy("id").agg(F.count("*").cast("int").alias("n"))
 
 
@@ -242,3 +242,19 @@ def streaming_rerun(spark, sf_dir):
         incremental.run_stage(spark, f"{work}/in", "id string, text string", stage, f"{work}/out", f"{work}/checkpoint", "id").awaitTermination()
     return spark.read.schema("id string, chars bigint").json(f"{work}/out/batch=*").select("id", "chars")
 
+
+@query(f"select cast(doc_id as varchar) as id, cast(length(text) as bigint) as chars from ({DOCS})")
+def streaming_replayed_batch(spark, sf_dir):
+    """The commit of the last batch is lost, and the batch runs again, with rows that an earlier one had: every row is in the sink once."""
+    work = workspace(spark, "stream")
+    rows = docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "text")
+    stage = lambda df: df.select("id", F.length("text").cast("long").alias("chars"))
+    run = lambda: incremental.run_stage(spark, f"{work}/in", "id string, text string", stage, f"{work}/out", f"{work}/checkpoint", "id").awaitTermination()
+    jsonl.write(rows.filter("cast(id as bigint) % 2 = 0"), f"{work}/in")
+    run()
+    jsonl.write(rows, f"{work}/in", "append")
+    run()
+    for name in ("1", ".1.crc"):
+        jsonl.remove(spark, f"{work}/checkpoint/commits/{name}")
+    run()
+    return spark.read.schema("id string, chars bigint").json(f"{work}/out/batch=*").select("id", "chars")

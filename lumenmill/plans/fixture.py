@@ -51,6 +51,27 @@ def scripted_model():
     return reply
 
 
+def in_batches(model):
+    """The same model behind the interface that takes many prompts in a call; a prompt's failure is its own."""
+
+    def factory():
+        one = model()
+
+        def reply_many(prompts, max_tokens, temperature):
+            out = []
+            for x in prompts:
+                try:
+                    out.append(one(x, max_tokens, temperature))
+                except Exception as e:  # noqa: BLE001 - told for its prompt
+                    out.append(e)
+            return out
+
+        one.reply_many = reply_many
+        return one
+
+    return factory
+
+
 def reply_sql(prompt: str, max_tokens: int) -> str:
     """The scripted reply to a prompt in SQL; null where it fails."""
     h = f"left(md5({prompt}), 2)"

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions import text as t
-from ..operators import dedup, gates, quality, routes, sampling
+from ..operators import dedup, gates, inference, quality, routes, sampling
+from ..sources.shared import workspace
 from .dedup_queries import prompt_sql
 from .extract_queries import SQL_PARTS, documents
-from .fixture import mathdocs
+from .fixture import in_batches, mathdocs
 from .sql import M, flags, last_boxed, light, lit, n, normal, query, rx, strip
 from .stage_sql import CMS, LABELLED, LATEX
 from .text_queries import DOTS, leak
@@ -83,13 +84,30 @@ def letter_model():
 CLASS_PROMPT = f"""{lit(routes.CLASSES)} || replace(replace(left(text, 600), '"', ''''), chr(92) || 'n', ' ') || '"' || chr(10) || 'Class:'"""
 
 
-@query(f"""{LABELLED}, w as (select r.doc_id, r.r, f.label as fallback, left(md5({CLASS_PROMPT}), 1) as h from r join f on f.doc_id = r.doc_id),
+SAID = f"""{LABELLED}, w as (select r.doc_id, r.r, f.label as fallback, left(md5({CLASS_PROMPT}), 1) as h from r join f on f.doc_id = r.doc_id),
 x as (select doc_id, r, fallback, case when h in ('e', 'f') then 'F' else substr('{LETTERS}', strpos('0123456789abcdef', h), 1) end as said from w)
-select doc_id, coalesce(r, case when said = 'F' then fallback else said end) as label, case when r is null then 'model' else 'rule' end as label_source from x""")
+select doc_id, coalesce(r, case when said = 'F' then fallback else said end) as label, case when r is null then 'model' else 'rule' end as label_source from x"""
+
+
+@query(SAID)
 def llm1_classify_with_a_model(spark, sf_dir):
     return quality.classify(mathdocs(spark, sf_dir), model=routes.classify_model(letter_model)).select("doc_id", "label", "label_source")
 
 
+@query(SAID)
+def llm1_llm11_classify_in_batches(spark, sf_dir):
+    """The same labels from a model that takes many prompts in a call, several calls in flight."""
+    return quality.classify(mathdocs(spark, sf_dir), model=routes.classify_model(in_batches(letter_model))).select("doc_id", "label", "label_source")
+
+
+@query(f"{M}, w as (select doc_id, {CLASS_PROMPT} as q, left(md5({CLASS_PROMPT}), 1) as h from m) select doc_id, case when h <> 'f' then '<think>B</think>so: ' || case when h = 'e' then '?' else lower(substr('{LETTERS}', strpos('0123456789abcdef', h), 1)) end end as said, case when h = 'f' then 'no reply' end as error from w")
+def llm2_written_through_replies(spark, sf_dir):
+    """A first job asks for some documents, the next for all: what the first was told is read from its files."""
+    rows, model = mathdocs(spark, sf_dir).select("doc_id", routes.class_prompt(F.col("text")).alias("q")), inference.WriteThrough(in_batches(letter_model), f"{workspace(spark, 'replies')}/log")
+    inference.ask(rows.filter("doc_id % 3 = 0"), F.col("q"), "r", model, 4)
+    return inference.ask(rows, F.col("q"), "r", model, 4).select("doc_id", F.col("r.text").alias("said"), F.col("r.error").alias("error"))
+
+
 JUDGED = "concat('Groundedness = ', doc_id % 6, chr(10), 'reasoning=', doc_id % 5, ' format = ', 1 + doc_id % 5, chr(10), case when doc_id % 2 = 0 then 'keep = YES' else 'keep=no' end, chr(10), case when doc_id % 3 = 0 then concat('reason = because ', doc_id) else left(text, 40) end)"
 
 

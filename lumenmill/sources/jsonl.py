@@ -33,6 +33,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders in a folder; none where it isn't."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().toString() for f in system.listStatus(hadoop) if f.isDirectory()) if system.exists(hadoop) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """An output that is about to be written anew goes."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI that tasks open, too."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def by_file(rows: DataFrame) -> DataFrame:
     """SRC7: ``file``, the name of the file that a row was read from; sorting by it and the place in a file is the order of a sorted list of files. Empty files give no rows."""
     return rows.select("*", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"))
@@ -58,12 +78,3 @@ def write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_routes(df: DataFrame, path: str, route: str = "label") -> None:
     """SNK3: one pass, a folder for every route."""
     df.write.mode("overwrite").partitionBy(route).json(path)
-
-
-def append_new(df: DataFrame, path: str, key: str) -> DataFrame:
-    """SNK2 with REL6: only rows whose key the sink lacks are appended, so a rerun adds nothing."""
-    spark = df.sparkSession
-    if exists(spark, path):
-        df = df.join(spark.read.schema(df.schema).json(path).select(key).distinct(), key, "left_anti")
-    df.write.mode("append").json(path)
-    return df

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenmill.operators import sampling
 from lumenmill.plans import drivers
-from lumenmill.sources import jsonl, shared
+from lumenmill.sources import jsonl, ledger, shared
 from lumenmill.streaming import incremental
 
 LONG = "We compute $a$, $b$ and $c$ with care. " * 30
@@ -141,7 +141,7 @@ def test_workshop_files(spark, tmp_path):
 def test_append_and_stream_add_nothing_twice(spark, tmp_path):
     some = spark.createDataFrame([("a", 1), ("b", 2)], "id string, x int")
     for _ in range(2):
-        jsonl.append_new(some, f"{tmp_path}/sink", "id")
+        ledger.append_new(some, f"{tmp_path}/sink", "id")
     assert spark.read.json(f"{tmp_path}/sink").count() == 2
     stage = lambda df: df.filter("text <> ''")
     run = lambda: incremental.run_stage(spark, f"{tmp_path}/in", "id string, text string", stage, f"{tmp_path}/out", f"{tmp_path}/check", "id").awaitTermination()
@@ -152,6 +152,62 @@ def test_append_and_stream_add_nothing_twice(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.schema("id string").json(f"{tmp_path}/out/batch=*").collect()) == ["a", "c"]
 
 
+def test_a_replayed_batch_loses_and_doubles_nothing(spark, tmp_path):
+    stage = lambda df: df.select("id")
+    run = lambda: incremental.run_stage(spark, f"{tmp_path}/in", "id long", stage, f"{tmp_path}/out", f"{tmp_path}/check", "id").awaitTermination()
+    got = lambda: sorted((r["id"] or 0) for r in spark.read.schema("id long").json(f"{tmp_path}/out/batch=*").collect())
+    for k, ids in enumerate(([1, None], [1, 2, 3, None])):
+        lines(tmp_path / "in" / f"{k}.json", [{"id": i} for i in ids])
+        run()
+    assert got() == [0, 1, 2, 3]
+    for lost in ("1", "0"):  # the last commit, then what looks like a first batch that never ended
+        for f in (tmp_path / "check" / "commits").iterdir():
+            if f.name.strip(".").removesuffix(".crc") >= lost:
+                f.unlink()
+        run()
+        assert got() == [0, 1, 2, 3]
+
+
+def test_appends_end_once_wherever_they_are_lost(spark, tmp_path):
+    sink, table = f"{tmp_path}/sink", lambda *ids: spark.createDataFrame([(i, f"x{i}") for i in ids], "id string, x string")
+    got = lambda: sorted(r["id"] or "" for r in spark.read.schema("id string").json(sink).collect())
+    table("old", None).write.json(sink)  # an output that no ledger knows
+    ledger.append_new(table("old", None, "a"), sink, "id")
+    assert got() == ["", "a", "old"]
+    book = ledger.Ledger(spark, sink)
+    assert book.ended() == 2
+    table("b").write.json(book.at(2, "rows"))  # lost before it was ready
+    ledger.append_new(table("a", "c", "c"), sink, "id")
+    assert got() == ["", "a", "c", "c", "old"]
+    for f in (tmp_path / "sink").glob("*append-000002-*"):  # ready, and lost before its files were moved
+        f.rename(tmp_path / "sink" / "_ledger" / "n=2" / "rows" / f.name.replace("append-000002-", ""))
+    (tmp_path / "sink" / "_ledger" / "n=2" / "_DONE").unlink()
+    assert got() == ["", "a", "old"]
+    for _ in range(2):
+        ledger.append_new(table("c", "d"), sink, "id")
+    assert got() == ["", "a", "c", "c", "d", "old"]
+    ledger.append_new(table().limit(0), sink, "id")
+    assert len(got()) == 6
+
+
+def test_new_keys_read_no_history(spark, tmp_path):
+    """Rows and digests of earlier appends are made unreadable: filters alone answer for new keys."""
+    sink = tmp_path / "sink"
+    ledger.append_new(spark.range(500).selectExpr("cast(id as string) as id"), f"{sink}", "id")
+    for f in [*sink.glob("append-*"), *sink.glob("_ledger/n=0/digests/part-*")]:
+        f.write_bytes(b"{broken")
+    for f in [*sink.glob(".*.crc"), *sink.glob("_ledger/n=0/digests/.*.crc")]:
+        f.unlink()
+    ledger.append_new(spark.createDataFrame([("n",)], "id string"), f"{sink}", "id")
+    assert spark.read.json(f"{sink}").filter("id = 'n'").count() == 1
+    digests = spark.range(20000).selectExpr("substring(unhex(sha2(cast(id as string), 256)), 1, 16) as digest")
+    kept = ledger.filters(digests.filter("hex(digest) < '8'"))
+    assert ledger.passing(digests.filter("hex(digest) < '8'"), kept).count() == digests.filter("hex(digest) < '8'").count()
+    assert ledger.passing(digests.filter("hex(digest) >= '8'"), ledger.filters(digests.filter("hex(digest) >= '8'").limit(0))).count() == 0
+    odd = digests.filter("substring(hex(digest), 32, 1) in ('0', '1', '2', '3', '4', '5', '6', '7')")
+    assert ledger.passing(digests.exceptAll(odd), ledger.filters(odd)).count() < 300
+
+
 def test_a_workspace_is_shared_or_local(spark):
     path = shared.workspace(spark, "test")
     assert path.startswith("file:///")
