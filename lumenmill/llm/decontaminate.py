@@ -2,14 +2,13 @@
 
 Documents are read in shards: consecutive rows of ``shard_bytes`` together, every document whole; a longer one is a shard of its own. A shard's
 suffix array is an integer array of word positions, sorted by the ``depth`` words that follow (the window's length); positions whose first ``SEED``
-words, hashed, start no test suffix are left out, since no match of that length begins there. Test texts lie in block files with their own full suffix array.
+words, hashed, start no test suffix are left out, since no match of that length begins there; a document without such a match has its one or two words bisected in the test array. Test texts lie in block files with their own full suffix array.
 All test suffixes of a block are searched in the shard's array by bisection, in one call of sorted keys: windows give the ranges of their
 occurrences, and the neighbours in the merged order the longest match at every place. A match that fills the depth is followed to its end by
 bisecting the test array with range hashes, and compared word by word before it is reported.
 
 Words: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z is lower-cased. A window is ``window`` consecutive
-words of an item, or the whole item if it is shorter, but not empty. A document's longest match counts from ``SEED`` words on, or as a whole
-item that is shorter; among equals the first in the document is told, with its item and its place there.
+words of an item, or the whole item if it is shorter, but not empty. A document's longest match counts from one word on; among equals the first in the document is told, with its item and its place there.
 
 A worker holds one block at a time (``block_words`` words, or one longer item) and takes all shards of an Arrow batch through it before the next, so the test set may be of any
 size. Null and empty texts have no words and are never contaminated; repeated rows are judged each on
@@ -49,6 +48,10 @@ def _codes(ids: np.ndarray, width: int) -> np.ndarray:
     return (h >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def _pair_slots(pairs: np.ndarray) -> np.ndarray:
+    return (pairs * _MIX[0] >> np.uint64(64 - BITS)).astype(np.int64)
+
+
 def suffix_array(ids: np.ndarray, longest: int) -> np.ndarray:
     """Places of ``ids`` in the order of what follows, by prefix doubling up to ``longest`` words."""
     rank, k = ids.astype(np.int64), 1
@@ -129,14 +132,37 @@ class Tests:
         full = (size >= self.window) | (self.order == self.starts[self.item])  # where a window begins
         self.windows = np.flatnonzero(full)
         self.sizes = np.minimum(size, self.window)
+        after = np.where(size > 1, self.ids[np.minimum(self.order + 1, len(self.ids) - 1)], 0)
+        self.pairs = self.ids[self.order].astype(np.uint64) << np.uint64(32) | after.astype(np.uint64)  # the first two words of every suffix, rising
+        self.has_pair = np.zeros(1 << BITS, bool)
+        self.has_pair[_pair_slots(self.pairs)] = True
         self.hashed = None
         return self
 
-    def search(self, words: list[bytes], ends: np.ndarray, longest: bool):
-        """Of a shard: (place, length, item number) of every window's occurrences, and (place, length, test place) of the longest matches of ``SEED`` words
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Words as the block's numbers, 0 for those that it lacks."""
+        return np.fromiter(map(self.vocab.get, words, repeat(0)), np.uint32, len(words))
+
+    def brief(self, ids: np.ndarray, ends: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """(place, length, test place) of matches of two words at some places, and of one word at those that have none."""
+        after = np.where(places + 1 < ends[places], ids[np.minimum(places + 1, len(ids) - 1)], 0).astype(np.uint64)
+        pairs = ids[places].astype(np.uint64) << np.uint64(32) | after
+        two = np.flatnonzero(self.has_pair[_pair_slots(pairs)] & (after > 0))
+        k = np.searchsorted(self.pairs, pairs[two], "left")
+        two = two[self.pairs[np.minimum(k, len(self.pairs) - 1)] == pairs[two]]
+        size = np.ones(len(places), np.int64)
+        size[two] = 2
+        return np.stack([places, size, np.zeros(len(places), np.int64)])
+
+    def brief_place(self, ids: np.ndarray, place: int, size: int) -> int:
+        """Where a match of one or two words stands in the block."""
+        key = int(ids[place]) << 32 | (int(ids[place + 1]) if size == 2 else 0)
+        return int(self.order[np.searchsorted(self.pairs, np.uint64(key), "left")])
+
+    def search(self, ids: np.ndarray, ends: np.ndarray, longest: bool):
+        """Of a shard's numbers: (place, length, item number) of every window's occurrences, and (place, length, test place) of the longest matches of ``SEED`` words
         or more. ``ends``: where the document of each position ends."""
         none = np.zeros((3, 0), np.int64)
-        ids = np.fromiter(map(self.vocab.get, words, repeat(0)), np.uint32, len(words))
         at = np.zeros(len(ids), bool)
         for width, slots in self.maps.items():
             codes = _codes(ids, width)
@@ -259,7 +285,8 @@ class Verdicts:
 
     def add(self, tests: Tests) -> None:
         words = [w for t in self.texts for w in words_of(t)]
-        found, matches = tests.search(words, np.repeat(self.begin[1:], self.sizes), self.longest)
+        ids, ends = tests.numbers(words), np.repeat(self.begin[1:], self.sizes)
+        found, matches = tests.search(ids, ends, self.longest)
         np.add.at(self.edge, found[0], 1)
         np.add.at(self.edge, found[0] + found[1], -1)
         docs = np.searchsorted(self.begin, found[0], "right") - 1
@@ -269,6 +296,7 @@ class Verdicts:
         if self.longest:
             short = found[1] < SEED  # a whole item of fewer words
             matches = np.concatenate([matches, np.stack([found[0], found[1], tests.starts[found[2]]])[:, short]], axis=1)
+            matches = np.concatenate([matches, self._brief(tests, ids, ends, matches)], axis=1)
             docs = np.searchsorted(self.begin, matches[0], "right") - 1
             order = np.lexsort([matches[2], matches[0], -matches[1], docs])
             for i in order[np.unique(docs[order], return_index=True)[1]].tolist():
@@ -280,6 +308,20 @@ class Verdicts:
                 if self.best[d] is None or one < self.best[d]:
                     self.best[d] = one
 
+    def _brief(self, tests: Tests, ids: np.ndarray, ends: np.ndarray, matches: np.ndarray) -> np.ndarray:
+        """The first of the longest matches below ``SEED`` words of every document that has no longer one here or in an earlier block."""
+        bare = np.array([b is None or b[0] > -SEED for b in self.best], bool)
+        bare[np.searchsorted(self.begin, matches[0][matches[1] >= SEED], "right") - 1] = False
+        places = np.flatnonzero((ids > 0) & np.repeat(bare, self.sizes))
+        if not len(places):
+            return np.zeros((3, 0), np.int64)
+        got = tests.brief(ids, ends, places)
+        docs = np.searchsorted(self.begin, got[0], "right") - 1
+        order = np.lexsort([got[0], -got[1], docs])
+        got = got[:, order[np.unique(docs[order], return_index=True)[1]]]
+        got[2] = [tests.brief_place(ids, at, size) for at, size in got[:2].T.tolist()]
+        return got
+
     @staticmethod
     def _checked(words: list[bytes], tests: Tests, t: int) -> int:
         """The length of a match, word by word."""

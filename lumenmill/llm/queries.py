@@ -135,7 +135,9 @@ tri as (select t, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] ||
 dtri as (select r, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as s, unnest(range(0, len(w) - 2)) as i from d where len(w) >= 3),
 met as (select dtri.r, tri.t, i - j as diagonal, i from dtri join tri using (s)),
 runs as (select r, t, diagonal, i - row_number() over (partition by r, t, diagonal order by i) as run from met),
-longest as (select r, max(n) as n from (select r, count(*) + 2 as n from runs group by r, t, diagonal, run union all select r, m from hit) group by r)
+two as materialized (select distinct unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as s from b), one as materialized (select distinct unnest(w) as s from b),
+brief as (select r, 2 as n from (select r, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as s from d) semi join two using (s) union all select r, 1 from (select r, unnest(w) as s from d) semi join one using (s)),
+longest as (select r, max(n) as n from (select r, count(*) + 2 as n from runs group by r, t, diagonal, run union all select r, m from hit union all select * from brief) group by r)
 select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(words.n_hit, 0) as n_hit, coalesce(items.n_items, 0) as n_items, sha256(coalesce(items.names, '')) as items_sha256,
   coalesce(words.n_hit, 0) > 0 and 20 * words.n_hit >= len(d.w) as contaminated, cast(coalesce(longest.n, 0) as bigint) as longest_match
 from d left join words on words.r = d.r left join items on items.r = d.r left join longest on longest.r = d.r

@@ -5,19 +5,21 @@ its neighbours and features of the file; Viterbi gives the best tags. A line who
 tag above outside, by a bound on all transitions, is outside as a whole, and the recursion is skipped there
 without changing its result. Base spans always stay; spans of the field that overlap one are left out.
 
-Training is bounded by documented parameters: at most ``max_train_docs`` documents (smallest id hashes) and of each ``max_train_bytes`` of whole lines (smallest line hashes);
-of these every window of ``width`` tokens with a base span, ``clean_lines`` windows without one and ``planted`` more with a synthetic secret, from a fixed seed.
+Training takes at most ``max_train_docs`` documents (smallest id hashes), whole; the base patterns label them. Every window of ``WIDTH`` tokens with a base span counts,
+``CLEAN`` windows without one, and ``PLANTED`` more with a synthetic secret, from a fixed seed.
 Scanning covers every whole text; null and empty texts have no spans;
 repeated rows are scanned each; an empty table gives none. Extra columns are ignored. A task holds ``BATCH`` bytes of texts, or one longer text, and the scores of ``TOKENS`` tokens."""
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import random
 import re
 import string
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -259,43 +261,61 @@ def synthetic_secrets(rng: random.Random) -> list[str]:
     return rng.choice([[f"{name}", rng.choice("=:"), f"{quote}{value}{quote}"], [f"{name}=" + quote + value + quote], [f"{name}:", quote + value + quote], [value], [name, value]])
 
 
-def train(docs: list[bytes], rounds: int = 80, clean_lines: int = 1200, planted: int = 600, rate: float = 0.1, l2: float = 1e-4, width: int = 24) -> Field:
-    """Full-batch Adam on the conditional likelihood of padded windows of ``width`` tokens."""
-    rng = random.Random(10)
-    seqs: list[tuple[list[str], list[int], bytes]] = []
-    clean: list[tuple[int, int, int]] = []  # document, first and last code point: far more windows than are drawn
+WIDTH, CLEAN, PLANTED = 24, 1200, 600
+_TOKEN = re.compile(r"[^ \t\r\x0b\x0c]+")
+
+
+def windows(raw: bytes, number: int | None, width: int = WIDTH) -> tuple[list[tuple[list[str], list[int]]], list[tuple[int, int, int]]]:
+    """Of a whole document: the windows of ``width`` tokens that hold a tagged secret, with their tags; and (order, first and last code point) of those of lines without any, which are drawn by that order, a hash of document and place."""
+    text = raw.decode()
+    spans, tagged, clean, at = [(s, e) for s, _, e in base_spans(raw, text)], [], [], 0
+    ends = list(accumulate((e for _, e in spans), max))  # the furthest end so far: spans of kinds may overlap
+    for line in text.split("\n"):
+        tokens, tags, places, free = [], [], [], True
+        inside = False
+        for m in _TOKEN.finditer(line):
+            lo, hi = value_part(m[0])
+            a, b = at + m.start() + lo, at + m.start() + hi
+            k = bisect_right(ends, a)  # the first span that ends behind the token's start
+            hit = spans[k] if k < len(spans) and spans[k][0] < b else None
+            last_of = hit and (b >= hit[1] or at + m.end() >= hit[1])
+            secret = bool(hit and last_of and b - a >= 6)
+            tokens.append(m[0])
+            places.append((at + m.start(), at + m.end()))
+            tags.append((INSIDE if inside else BEGIN) if secret else OUT)
+            inside, free = secret, free and not secret
+        at += len(line) + 1
+        for i in range(0, len(tokens), width):
+            if any(tags[i : i + width]):
+                tagged.append((tokens[i : i + width], tags[i : i + width]))
+            elif free:
+                lo, hi = places[i][0], places[min(i + width, len(places)) - 1][1]
+                clean.append((int.from_bytes(hashlib.blake2b(f"{number}:{lo}".encode(), digest_size=7).digest(), "big"), lo, hi))
+    return tagged, clean
+
+
+def lowest(held: list, more: list, most: int = CLEAN + PLANTED) -> list:
+    """The ``most`` first of two lists by their order."""
+    return heapq.nsmallest(most, chain(held, more), key=lambda x: x[:2])
+
+
+def train(docs: list[bytes], **options) -> Field:
+    """A field from documents in memory: what :func:`fit` does with a table."""
+    tagged, clean = [], []
     for number, raw in enumerate(docs):
-        text = raw.decode()
-        spans = [(s, e) for s, _, e in base_spans(raw, text)]
-        at = 0
-        for line in text.split("\n"):
-            tokens, tags, places, free = [], [], [], True
-            inside = False
-            for m in re.finditer(r"[^ \t\r\x0b\x0c]+", line):
-                lo, hi = value_part(m[0])
-                a, b = at + m.start() + lo, at + m.start() + hi
-                hit = next(((s, e) for s, e in spans if s < b and a < e), None)
-                last_of = hit and (b >= hit[1] or at + m.end() >= hit[1])
-                secret = bool(hit and last_of and b - a >= 6)
-                tokens.append(m[0])
-                places.append((at + m.start(), at + m.end()))
-                tags.append((INSIDE if inside else BEGIN) if secret else OUT)
-                inside, free = secret, free and not secret
-            at += len(line) + 1
-            for i in range(0, len(tokens), width):
-                if any(tags[i : i + width]):
-                    seqs.append((tokens[i : i + width], tags[i : i + width], raw))
-                elif free:
-                    clean.append((number, places[i][0], places[min(i + width, len(places)) - 1][1]))
-    rng.shuffle(clean)
-
-    def window(place: tuple[int, int, int]) -> tuple[list[str], bytes]:
-        raw = docs[place[0]]
-        return re.findall(r"[^ \t\r\x0b\x0c]+", raw.decode()[place[1] : place[2]]), raw
-
-    seqs += [(t, [OUT] * len(t), raw) for t, raw in map(window, clean[:clean_lines])]
-    drawn = clean[-planted:]
-    for tokens, raw in map(window, (drawn * (1 + planted // max(1, len(drawn))))[-planted:]):
+        own, free = windows(raw, number)
+        of_file, text = file_features(raw), raw.decode()
+        tagged += [(tokens, tags, of_file) for tokens, tags in own]
+        clean = lowest(clean, [(k, number, _TOKEN.findall(text[lo:hi]), of_file) for k, lo, hi in heapq.nsmallest(CLEAN + PLANTED, free)])
+    return learn(tagged, [(tokens, of_file) for *_, tokens, of_file in clean], **options)
+
+
+def learn(tagged: list[tuple], clean: list[tuple], rounds: int = 80, rate: float = 0.1, l2: float = 1e-4, width: int = WIDTH) -> Field:
+    """Full-batch Adam on the conditional likelihood of padded windows: all that are tagged, ``CLEAN`` clean ones, and ``PLANTED`` into which secrets are put."""
+    rng = random.Random(10)
+    seqs = tagged + [(t, [OUT] * len(t), of_file) for t, of_file in clean[:CLEAN]]
+    drawn = clean[-PLANTED:]
+    for tokens, of_file in (drawn * (1 + PLANTED // max(1, len(drawn))))[-PLANTED:]:
         put = synthetic_secrets(rng)
         k = rng.randint(0, len(tokens))
         row = tokens[:k] + put + tokens[k:]
@@ -304,7 +324,7 @@ def train(docs: list[bytes], rounds: int = 80, clean_lines: int = 1200, planted:
             half = len(put[-1]) // 2
             row[k + len(put) - 1 : k + len(put)] = [put[-1][:half], put[-1][half:]]
             tags[k + len(put) - 1 : k + len(put)] = [BEGIN, INSIDE]
-        seqs.append((row[: width + 4], tags[: width + 4], raw))
+        seqs.append((row[: width + 4], tags[: width + 4], of_file))
     n, length = len(seqs), width + 4
     weights, moves = np.zeros((SLOTS, 3)), np.zeros((3, 3))
     ban = np.zeros((3, 3))
@@ -314,9 +334,8 @@ def train(docs: list[bytes], rounds: int = 80, clean_lines: int = 1200, planted:
     slot, cell = [], []
     gold = np.zeros((n, length), np.int64)
     mask = np.zeros((n, length), bool)
-    for i, (tokens, tags, raw) in enumerate(seqs):
+    for i, (tokens, tags, of_file) in enumerate(seqs):
         own = [token_features(t) for t in tokens]
-        of_file = file_features(raw)
         gold[i, : len(tags)], mask[i, : len(tags)] = tags, True
         for t in range(len(tokens)):
             f = own[t]["own"] + (own[t - 1]["before"] if t else [_slot("b:<s>")]) + (own[t + 1]["after"] if t + 1 < len(tokens) else [_slot("a:<s>")]) + of_file
@@ -366,32 +385,36 @@ def train(docs: list[bytes], rounds: int = 80, clean_lines: int = 1200, planted:
     return Field(weights, moves + ban)
 
 
-def drawn_lines(text: bytes, most: int) -> bytes:
-    """Whole lines of a text, in their order, ``most`` bytes at most: those of the smallest hashes; a shorter text as it is. A line that is longer alone is cut between code points."""
-    if len(text) <= most:
-        return text
-    lines, left, taken = text.split(b"\n"), most, []
-    for k in sorted(range(len(lines)), key=lambda i: (zlib.crc32(lines[i]), i)):
-        if len(lines[k]) < left:
-            left -= len(lines[k]) + 1
-            taken.append(k)
-    return b"\n".join(lines[k] for k in sorted(taken)) or text[:most].decode("utf-8", "ignore").encode()
-
-
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train_docs: int = 4000, max_train_bytes: int = 1 << 16) -> Field:
-    """Train on the ``max_train_docs`` documents whose ids have the smallest hashes, ``max_train_bytes`` of each at most; of an id with several texts, the greatest."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train_docs: int = 4000) -> Field:
+    """Train on the ``max_train_docs`` documents whose ids have the smallest hashes, each of them whole; of an id with several texts, the greatest. Base secrets label them. Tasks part the texts into windows: the driver gets those
+    with a secret and ``CLEAN + PLANTED`` of the others, not texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     ids = rows.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_docs)
+    schema = "place long, doc_id long, tokens array<string>, tags array<int>, of_file array<int>"
+
+    def parted(batches):
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32())]
 
-    def draw(batches):
+        def told(out):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [()] * len(kinds), kinds, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
+
+        clean: list[tuple] = []
         for whole in batches:
             for b in storage.bounded(whole, 1, BATCH):
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([drawn_lines(t or b"", max_train_bytes) for t in b.column(1).to_pylist()], pa.binary())], names=["doc_id", "text"])
-
-    got = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")).mapInArrow(draw, "doc_id long, text binary").orderBy("doc_id").select("text").toArrow()
-    texts = got.column("text").to_pylist()
-    del got
-    return train(texts)
+                out = []
+                for doc, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    own, free = windows(text or b"", doc)
+                    of_file, chars = file_features(text or b""), (text or b"").decode()
+                    out += [(-1, doc, tokens, tags, of_file) for tokens, tags in own]
+                    clean = lowest(clean, [(k, doc, _TOKEN.findall(chars[lo:hi]), None, of_file) for k, lo, hi in heapq.nsmallest(CLEAN + PLANTED, free)])
+                yield told(out)
+        yield told(clean)
+
+    found = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")).mapInArrow(parted, schema)  # at most max_train_docs ids
+    found = storage.staged(found, f"{storage.workspace(docs.sparkSession, 'secrets')}/windows")
+    tagged = found.filter("place < 0").orderBy("doc_id", "tokens", "tags").select("tokens", "tags", "of_file").toArrow().to_pylist()
+    clean = found.filter("place >= 0").orderBy("place", "doc_id").limit(CLEAN + PLANTED).select("tokens", "of_file").collect()
+    return learn([(r["tokens"], r["tags"], r["of_file"]) for r in tagged], [(list(r[0]), list(r[1])) for r in clean])
 
 
 def _scan(field: Field, docs: list[bytes]) -> list[list[tuple[int, int, int]]]:

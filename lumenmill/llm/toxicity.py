@@ -5,8 +5,7 @@ that inflected forms of a word count without having been seen); the document's i
 a leak, 1 - (1 - e) prod(1 - p); the leak takes labels that no sentence explains. Weights come from document labels alone,
 so the sentences that carry a label are found on the way (``worst_sentence``).
 
-``fit`` uses a sample of at most ``max_train_docs`` labelled documents, those whose id has the smallest hash, of each whole sentences up to ``max_train_bytes``
-drawn by their hash, so that the driver's memory is bounded;
+``fit`` uses a sample of at most ``max_train_docs`` labelled documents, those whose id has the smallest hash, each of them whole; the driver holds numbers of their known words, not texts;
 a document with several labels counts as toxic if any says so, one with several texts by the greatest. ``score`` reads every
 whole text: null and empty texts have one empty sentence and the bias' chance; rows are judged each on its own; an empty
 table gives none. Without labels of both kinds all weights are zero. Extra columns are ignored. A task holds ``BATCH`` bytes of texts, or one longer text,
@@ -14,8 +13,6 @@ and the values of ``CACHE`` words."""
 
 from __future__ import annotations
 
-import re
-import zlib
 from array import array
 from collections import Counter
 
@@ -82,49 +79,71 @@ class Model:
         return np.clip(-np.expm1(total), 0.0, 1.0), worst
 
 
-def train(texts: list[bytes], labels: list[int], min_docs: int = 5, max_words: int = 30_000, rounds: int = 120, rate: float = 0.1, l1: float = 1.5e-4) -> Model:
-    """Full-batch Adam on the noisy-or's likelihood, with a soft threshold ``l1`` that leaves words without evidence at zero. The vocabulary is the ``max_words`` words of most documents, ``min_docs`` at least,
-    and as many beginnings at most that toxic documents have clearly above chance."""
+MIN_DOCS, MAX_WORDS = 5, 30_000
+_BIAS, _LEAK = -7.0, -4.0
+
+
+def parts_of(text: bytes | None, first: set[bytes] | None) -> set[bytes]:
+    """The words of a text and the beginnings of those whose stems are in ``first``; without ``first`` the stems alone."""
+    words, stem = set((text or b"").translate(_TABLE).split()), PREFIXES[0]
+    if first is None:
+        return {w[:stem] for w in words if len(w) > stem}
+    return words | {x for w in words if w[:stem] in first for x in beginnings(w)}
+
+
+def sentences(text: bytes | None, vocab: dict[bytes, int], first: set[bytes]) -> tuple[array, array]:
+    """The known words and beginnings of every sentence that has some, and their number in each; last a sentence without, which has the bias alone."""
+    stem, word, size = PREFIXES[0], array("i"), array("i")
+    for line in (text or b"").translate(_TABLE).split(b"\n"):
+        own = set(line.split())
+        own.update([x for w in own if w[:stem] in first for x in beginnings(w)])
+        if got := {vocab[x] for x in own if x in vocab}:
+            word.extend(got)
+            size.append(len(got))
+    size.append(0)
+    return word, size
+
+
+def start(counts: list[tuple[bytes, int, float]], begun: list[tuple[bytes, float]]) -> tuple[dict[bytes, int], np.ndarray]:
+    """Places of the words (word, documents, excess) and beginnings (beginning, excess) that are kept, and first weights: a start among words that toxic documents have far above
+    chance; the likelihood is not convex."""
+    vocab = {w: i for i, w in enumerate([w for w, *_ in counts] + [w for w, _ in begun])}
+    weights = np.zeros(len(vocab))
+    for w, x, up in [(w, x, 6.0) for w, _, x in counts] + [(w, x, 3.0) for w, x in begun]:
+        if x > 4:
+            weights[vocab[w]] = up
+    return vocab, weights
+
+
+def train(texts: list[bytes], labels: list[int], **options) -> Model:
+    """A model from texts in memory: what :func:`fit` does with a table."""
     y = np.array(labels, bool)
-    bias, leak = -7.0, -4.0
     if not y.any() or y.all():
-        return Model({}, bias, leak)
-    base, stem = y.mean(), PREFIXES[0]
+        return Model({}, _BIAS, _LEAK)
+    base = y.mean()
 
-    def counted(parts) -> tuple[Counter, dict[bytes, float]]:
-        """In how many documents each part stands, and how far toxic ones exceed chance, in standard deviations."""
+    def counted(first) -> dict[bytes, tuple[int, float]]:
         df, seen = Counter(), Counter()
-        for t, toxic in zip(texts, y.tolist(), strict=True):  # each pass parts the texts anew: words of all are never held at once
-            own = parts(set((t or b"").translate(_TABLE).split()))
+        for t, toxic in zip(texts, y.tolist(), strict=True):
+            own = parts_of(t, first)
             df.update(own)
             if toxic:
                 seen.update(own)
-        return df, {w: (n - df[w] * base) / np.sqrt(df[w] * base * (1 - base)) for w, n in seen.items() if df[w] >= min_docs}
-
-    _, excess = counted(lambda words: {w[:stem] for w in words if len(w) > stem})
-    first = {w for w, x in excess.items() if x > 2}  # only words that begin with these are looked at by their beginnings
-    df, excess = counted(lambda words: words | {x for w in words if w[:stem] in first for x in beginnings(w)})
-    kept = sorted((w for w, n in df.items() if n >= min_docs and w[0] != 2), key=lambda w: (-df[w], w))[:max_words]
-    kept += sorted((w for w, x in excess.items() if w[0] == 2 and x > 3), key=lambda w: (-excess[w], w))[:max_words]
-    vocab = {w: i for i, w in enumerate(kept)}
-    weights = np.zeros(len(kept))
-    for w, x in excess.items():  # a start among words that toxic documents have far above chance; the likelihood is not convex
-        if w in vocab and x > 4:
-            weights[vocab[w]] = 6.0 if w[0] != 2 else 3.0
-    del df, excess
-    first = stems(vocab)
-    word, size, doc_of = array("i"), array("i"), array("i")  # words of all sentences, their number in each, its document
-    for d, t in enumerate(texts):
-        for line in (t or b"").translate(_TABLE).split(b"\n"):
-            own = set(line.split())
-            own.update([x for w in own if w[:stem] in first for x in beginnings(w)])
-            if got := {vocab[x] for x in own if x in vocab}:
-                word.extend(got)
-                size.append(len(got))
-                doc_of.append(d)
-        size.append(0)  # a sentence without known words: the bias alone
-        doc_of.append(d)
-    word, size, doc_of = (np.frombuffer(x, np.int32) for x in (word, size, doc_of))
+        return {w: (n, (seen[w] - n * base) / np.sqrt(n * base * (1 - base))) for w, n in df.items() if n >= MIN_DOCS}
+
+    first = {w for w, (_, x) in counted(None).items() if x > 2}
+    every = counted(first)
+    kept = sorted(((w, n, x) for w, (n, x) in every.items() if w[0] != 2), key=lambda r: (-r[1], r[0]))[:MAX_WORDS]
+    begun = sorted(((w, x) for w, (_, x) in every.items() if w[0] == 2 and x > 3), key=lambda r: (-r[1], r[0]))[:MAX_WORDS]
+    vocab, weights = start(kept, begun)
+    return learn([sentences(t, vocab, stems(vocab)) for t in texts], y, vocab, weights, **options)
+
+
+def learn(docs: list[tuple], y: np.ndarray, vocab: dict[bytes, int], weights: np.ndarray, rounds: int = 120, rate: float = 0.1, l1: float = 1.5e-4) -> Model:
+    """Full-batch Adam on the noisy-or's likelihood, with a soft threshold ``l1`` that leaves words without evidence at zero. ``docs``: words and sizes as :func:`sentences` gives them."""
+    bias, leak = _BIAS, _LEAK
+    word, size = (np.concatenate([np.frombuffer(d[k], np.int32) for d in docs]) for k in (0, 1))
+    doc_of = np.repeat(np.arange(len(docs), dtype=np.int32), [len(d[1]) // (4 if isinstance(d[1], bytes) else 1) for d in docs])
     stops = np.cumsum(size, dtype=np.int64)
     cuts = np.unique(np.append(np.searchsorted(stops, np.arange(0, len(word), 1 << 18), "right"), len(size)))
     blocks = [(lo, hi, int(stops[lo] - size[lo]), int(stops[hi - 1])) for lo, hi in zip([0, *cuts.tolist()], cuts.tolist(), strict=False) if lo < hi]  # sentences and their words, so that no array of all words is made in a round
@@ -160,35 +179,63 @@ def held_out(id_col) -> F.Column:
     return F.crc32(id_col.cast("string")) % 5 == 0
 
 
-def drawn_sentences(text: bytes, most: int) -> bytes:
-    """Whole sentences of a text, in their order, ``most`` bytes at most: those of the smallest hashes; a shorter text as it is. A sentence that is longer alone is cut."""
-    if len(text) <= most:
-        return text
-    parts = re.findall(rb"[^.!?\n]*[.!?\n]|[^.!?\n]+", text)
-    left, taken = most, []
-    for k in sorted(range(len(parts)), key=lambda i: (zlib.crc32(parts[i]), i)):
-        if len(parts[k]) <= left:
-            left -= len(parts[k])
-            taken.append(k)
-    return b"".join(parts[k] for k in sorted(taken)) or text[:most]
+def counted(rows: DataFrame, first: set[bytes] | None, base: float, held: int = 300_000) -> DataFrame:
+    """(part, n, x) of rows (y, text): in how many documents each part of :func:`parts_of` stands, ``MIN_DOCS`` at least, and how far toxic ones exceed chance, in standard deviations."""
+
+    def run(batches):
+        df, seen = Counter(), Counter()
 
+        def told():
+            parts = list(df)
+            out = pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), pa.array([df[w] for w in parts], pa.int64()), pa.array([seen[w] for w in parts], pa.int64())], names=["part", "n", "seen"])
+            df.clear()
+            seen.clear()
+            return out
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train_docs: int = 12_000, max_train_bytes: int = 1 << 16) -> Model:
-    """Learn from labels of rows that are not held out, of at most ``max_train_docs`` documents and ``max_train_bytes`` of each."""
+        for whole in batches:
+            for b in storage.bounded(whole, 1, BATCH):
+                for toxic, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    own = parts_of(text, first)
+                    df.update(own)
+                    if toxic:
+                        seen.update(own)
+                    if len(df) > held:
+                        yield told()
+        yield told()
+
+    sums = rows.select("y", "text").mapInArrow(run, "part binary, n long, seen long").groupBy("part").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    n = F.col("n")
+    return sums.filter(n >= MIN_DOCS).select("part", "n", ((F.col("seen") - n * base) / F.sqrt(n * base * (1 - base))).alias("x"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train_docs: int = 12_000) -> Model:
+    """Learn from labels of rows that are not held out, of at most ``max_train_docs`` documents, each of them whole. Texts stay in shared storage: tasks count their words and part them into sentences; the driver
+    gets ``MAX_WORDS`` words and as many beginnings at most, and the numbers of those in each sentence."""
+    spark, folder = docs.sparkSession, storage.workspace(docs.sparkSession, "toxicity")
     ids = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").filter(~held_out(F.col("doc_id")))
     ids = ids.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_docs)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(ids), "doc_id")  # at most max_train_docs ids
-    rows = rows.groupBy("doc_id", "y").agg(F.max("text").alias("text"))
+    rows = storage.staged(rows.groupBy("doc_id", "y").agg(F.max("text").alias("text")), f"{folder}/drawn")
+    n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if not 0 < toxic < n:
+        return Model({}, _BIAS, _LEAK)
+    first = {bytes(r[0]) for r in counted(rows, None, toxic / n).filter("x > 2").select("part").collect()}  # stems of PREFIXES[0] bytes in MIN_DOCS documents each
+    every, mark = storage.staged(counted(rows, first, toxic / n), f"{folder}/counts"), F.substring("part", 1, 1) == F.lit(b"\x02")
+    kept = [(bytes(w), m, x) for w, m, x in every.filter(~mark).orderBy(F.desc("n"), "part").limit(MAX_WORDS).collect()]
+    begun = [(bytes(w), x) for w, x in every.filter(mark & (F.col("x") > 3)).orderBy(F.desc("x"), "part").limit(MAX_WORDS).select("part", "x").collect()]
+    vocab, weights = start(kept, begun)
+    shared = spark.sparkContext.broadcast(vocab)
 
-    def draw(batches):
+    def run(batches):
+        own = shared.value
+        mine = stems(own)
         for whole in batches:
             for b in storage.bounded(whole, 2, BATCH):
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([drawn_sentences(t or b"", max_train_bytes) for t in b.column(2).to_pylist()], pa.binary())], names=["doc_id", "y", "text"])
+                got = [sentences(t, own, mine) for t in b.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([x[k].tobytes() for x in got], pa.binary()) for k in (0, 1))], names=["doc_id", "y", "words", "sizes"])
 
-    got = rows.mapInArrow(draw, "doc_id long, y int, text binary").orderBy("doc_id").select("y", "text").toArrow()
-    y, texts = got.column("y").to_pylist(), got.column("text").to_pylist()
-    del got
-    return train(texts, y)
+    got = rows.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, words binary, sizes binary").orderBy("doc_id").toArrow()
+    return learn(list(zip(got.column("words").to_pylist(), got.column("sizes").to_pylist(), strict=True)), np.array(got.column("y").to_pylist(), bool), vocab, weights)
 
 
 def _scored(docs: DataFrame, model: Model, place: int, answer, schema) -> DataFrame:

@@ -199,10 +199,24 @@ def test_op3_learns_from_rows_that_are_not_held_out(spark):
     assert toxicity.score(docs, none).filter("predicted = 1").count() == 0
 
 
-def test_op3_draws_whole_sentences():
-    text = b"".join(b"sentence number %d here. " % i for i in range(500))
-    drawn = toxicity.drawn_sentences(text, 1000)
-    assert len(drawn) <= 1000 and all(x in text for x in drawn.split(b".")) and toxicity.drawn_sentences(b"x" * 50, 10) == b"x" * 10 and toxicity.drawn_sentences(text, 1 << 20) == text
+def test_op3_reads_drawn_rows_whole(spark):
+    """The words that tell labels apart stand behind 100 KB of others; the table's model is that of the texts in memory."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(WORDS, k=30)) + "." + (" der ein of" * 12_000 if i % 40 < 2 else "") + (" you blockhead." if i % 4 == 0 else " a friend."), int(i % 4 == 0)) for i in range(160)]
+    texts = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(3)
+    model = toxicity.fit(texts, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    known = [(t.encode(), y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5]
+    plain = toxicity.train(*zip(*known, strict=True))
+    assert model.values.keys() == plain.values.keys() and model.bias == pytest.approx(plain.bias) and all(model.values[w] == pytest.approx(x, abs=1e-6) for w, x in plain.values.items())
+    assert model.values[b"blockhead"] > 0 and max(len(t) for t, _ in known) > 100_000
+
+
+def test_op10_reads_drawn_rows_whole(spark):
+    rows = [(i, prose(20) + (" la" * 40_000 + "\n" if i == 3 else "\n") + f"token = Zk3jQ9xT7LmN2pR8vW4yB6c{i} der") for i in range(30)]
+    got = secret_crf.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    tagged, free = secret_crf.windows(rows[3][1].encode(), 3)
+    assert len(tagged) == 1 and tagged[0][1].count(secret_crf.BEGIN) == 1 and len(free) > 1600 and len({k for k, *_ in free}) == len(free)
+    assert np.allclose(got.w, secret_crf.train([t.encode() for _, t in rows]).w, atol=1e-6)
 
 
 def test_op4_trees_and_escapes(spark):
@@ -330,6 +344,8 @@ def judged(text, items):
                 best = max(best, m)
             after = {k: after.get(k + 1, 2) + 1 for k in at.get(tuple(w[a : a + 3]), ())}
             best = max([best, *after.values()])
+        pairs = set(zip(x, x[1:], strict=False))
+        best = max([best, *(2 for p in zip(w, w[1:], strict=False) if p in pairs), *(1 for y in w if y in set(x))] if best < 2 else [best])
     return (len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)), best
 
 
@@ -337,7 +353,7 @@ def test_op7_windows_and_longest_matches_equal_brute_force(spark, docs):
     vocab = [f"w{i}" for i in range(2000)]
     item = " ".join(RNG.choice(vocab) for _ in range(50_000))
     items = [(1, " ".join(TEXTS[6].split()[30:60])), (2, "mit LICENSE"), (10, None), (11, "--"), (12, TEXTS[6][-400:]), (None, TEXTS[6][500:700]), (13, item), (13, "a " * 60)]
-    more = [(100, item[1000:150_000]), (101, "b " + " ".join(item.split()[7:15]) + " c"), (102, "a " * 90), (103, "x mit license mit")]
+    more = [(104, "zz w7 zz"), (105, "zz " + " ".join(item.split()[40:42]) + " zz"), (106, "zz zy"), (100, item[1000:150_000]), (101, "b " + " ".join(item.split()[7:15]) + " c"), (102, "a " * 90), (103, "x mit license mit")]
     extra = spark.createDataFrame([(i, t, "clash", 1) for i, t in more], docs.schema)
     texts = dict(enumerate(TEXTS)) | dict(more)
     tests = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(0))
