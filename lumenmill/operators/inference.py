@@ -10,7 +10,6 @@ and a job that is started again, ask only what no file answers; failed prompts a
 
 from __future__ import annotations
 
-import itertools
 import json
 import uuid
 from collections import deque
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..sources import jsonl
 from ..sources.shared import durable, workers_find_package
+from .names import fresh
 
 Model = Callable[[], Callable[[str, int, float], str]]
 BATCH, IN_FLIGHT = 32, 4
@@ -151,7 +151,7 @@ def ask(rows: DataFrame, question: Column, out: str, model: Model | WriteThrough
     if isinstance(model, WriteThrough):
         key = F.when(question.isNotNull(), F.sha2(F.concat_ws("\x01", F.lit(f"{max_tokens} {temperature}"), (F.lit(0) if sample is None else sample).cast("string"), question), 256))
         known = model.answered(rows, key, question, max_tokens, temperature, batch, in_flight)
-        names = _unused(rows, "key", "reply")
+        names = fresh(rows, "key", "reply", "own")
         known = known.select(F.col("key").alias(names[0]), F.struct("text", "error").alias(names[1]))
         got = rows.withColumn(names[2], key).join(known, F.col(names[2]) == F.col(names[0]), "left")
         none = F.struct(F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("error"))
@@ -164,9 +164,3 @@ def ask(rows: DataFrame, question: Column, out: str, model: Model | WriteThrough
                 yield pd.DataFrame(client.replies(prompts.tolist()), columns=["text", "error"], dtype=object)
 
     return rows.withColumn(out, replies.asNondeterministic()(question))
-
-
-def _unused(rows: DataFrame, *stems: str) -> list[str]:
-    """Names that no column has, one more than asked for."""
-    taken = {c.lower() for c in rows.columns}
-    return [next(f"_{s}_{k}" for k in itertools.count() if f"_{s}_{k}" not in taken) for s in (*stems, "own")]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions.patterns import LEAK_WORDS
+from .names import fresh
 
 # Topics, their share in percent and their key words.
 TOPICS = (
@@ -33,14 +34,16 @@ def in_share(c: Column, share: float) -> Column:
 def first_of_lower(rows: DataFrame, text: str, order: str) -> DataFrame:
     """DES7: the first row of every lower-cased text. A minimum that is aggregated before the shuffle, so a hot text costs no sort."""
     key = F.md5(F.lower(F.coalesce(text, F.lit(""))).cast("binary"))
-    firsts = rows.groupBy(key.alias("_k")).agg(F.min(order).alias("_o"))
-    return rows.join(firsts, (key == F.col("_k")) & (F.col(order) == F.col("_o")), "left_semi")
+    k, o = fresh(rows, "k", "o")
+    firsts = rows.groupBy(key.alias(k)).agg(F.min(order).alias(o))
+    return rows.join(firsts, (key == F.col(k)) & (F.col(order) == F.col(o)), "left_semi")
 
 
 def source_penalty(rows: DataFrame, source: str, bad: Column) -> DataFrame:
-    """DES4: ``penalised`` for all rows of a source with a bad row. One row per bad source is joined, not a window over a source that may hold a third of all rows."""
-    sources = rows.filter(bad).select(F.col(source).alias("_s"), F.lit(True).alias("penalised")).distinct()
-    return rows.join(sources, F.col(source).eqNullSafe(F.col("_s")), "left").drop("_s").withColumn("penalised", F.coalesce("penalised", F.lit(False)))
+    """DES4: ``penalised`` (in place of a column of that name) for all rows of a source with a bad row. One row per bad source is joined, not a window over a source that may hold a third of all rows."""
+    s, found = fresh(rows, "s", "found")
+    sources = rows.filter(bad).select(F.col(source).alias(s), F.lit(True).alias(found)).distinct()
+    return rows.join(sources, F.col(source).eqNullSafe(F.col(s)), "left").withColumn("penalised", F.coalesce(found, F.lit(False))).drop(s, found)
 
 
 def topic(c: Column) -> Column:
@@ -58,16 +61,16 @@ def topic_quota(rows: DataFrame, topic_col: str, key: str, total: int) -> DataFr
     Counts by topic and the hash's first 16 bits show in which bin the quota ends; rows before it are taken whole, and only that bin is
     ranked, so no task sorts a topic."""
     quota = F.create_map(*(F.lit(x) for name, share, *_ in (*TOPICS, OTHER) for x in (name, total * share // 100)))
-    h = hash_key(F.col(key))
-    keyed = rows.withColumn("_h", h).withColumn("_bin", F.left("_h", F.lit(4)))
-    bins = keyed.groupBy(F.col(topic_col).alias("_t"), "_bin").agg(F.count("*").alias("_n"))  # 65,536 rows a topic at most
-    before = F.sum("_n").over(Window.partitionBy("_t").orderBy("_bin")) - F.col("_n")
-    bins = bins.withColumn("_before", before).withColumn("_room", F.try_element_at(quota, F.col("_t")) - F.col("_before")).filter("_room > 0")
-    near = keyed.join(F.broadcast(bins), (F.col(topic_col) == F.col("_t")) & (keyed["_bin"] == bins["_bin"])).drop(bins["_bin"])
-    whole = near.filter("_n <= _room")
-    rank = F.row_number().over(Window.partitionBy("_t", "_bin").orderBy("_h", key))
-    part = near.filter("_n > _room").withColumn("_r", rank).filter("_r <= _room").drop("_r")
-    return whole.unionByName(part).select(*rows.columns)
+    h, own, of, bin_, n, room, r = fresh(rows, "h", "own", "t", "bin", "n", "room", "r")
+    keyed = rows.withColumn(h, hash_key(F.col(key))).withColumn(own, F.left(h, F.lit(4)))
+    bins = keyed.groupBy(F.col(topic_col).alias(of), F.col(own).alias(bin_)).agg(F.count("*").alias(n))  # 65,536 rows a topic at most
+    before = F.sum(n).over(Window.partitionBy(of).orderBy(bin_)) - F.col(n)
+    bins = bins.withColumn(room, F.try_element_at(quota, F.col(of)) - before).filter(F.col(room) > 0)
+    near = keyed.join(F.broadcast(bins), (F.col(topic_col) == F.col(of)) & (F.col(own) == F.col(bin_)))
+    whole = near.filter(F.col(n) <= F.col(room))
+    rank = F.row_number().over(Window.partitionBy(of, bin_).orderBy(h, key))
+    part = near.filter(F.col(n) > F.col(room)).withColumn(r, rank).filter(F.col(r) <= F.col(room))
+    return whole.select(*rows.columns).union(part.select(*rows.columns))
 
 
 def token_length_kept(c: Column, least: int = 200, most: int = 9012) -> Column:
@@ -85,11 +88,14 @@ def format_ok(question: Column, answer: Column) -> Column:
     return F.length(q).between(30, 1000) & F.length(a).between(100, 3000) & F.concat(q, a).rlike(r"[$\\=0-9]") & final & ~cut & asks
 
 
-def agreeing_samples(samples: DataFrame, question: str, answer: str) -> DataFrame:
-    """DES16: questions whose samples all have one and the same last boxed answer; of each the longest sample, of equals the greatest text."""
-    boxed = t.last_boxed(F.col(answer))
-    best = samples.groupBy(question).agg(F.min(boxed).alias("lo"), F.max(boxed).alias("boxed"), F.max(F.struct(F.length(answer).alias("n"), F.col(answer).alias("text"))).alias("b"))
-    return best.filter("lo = boxed and boxed <> ''").select(question, F.col("b.text").alias(answer), "boxed")
+def agreeing_samples(samples: DataFrame, gold: DataFrame, question: str, answer: str) -> DataFrame:
+    """DES16: self-distillation. Of the samples of a question those agree whose last boxed answer is that of its gold row, and not empty; of each question the longest that agrees, of equals the greatest text.
+
+    Both tables have the question's id and an answer; rows without an id or a box agree with nothing. Of several gold rows of a question any may be met."""
+    boxed = lambda rows: rows.select(F.col(question).alias("q"), F.col(answer).alias("a"), t.last_boxed(F.col(answer)).alias("boxed")).filter("boxed <> ''")
+    met = boxed(samples).join(boxed(gold).select("q", "boxed").distinct(), ["q", "boxed"])
+    best = met.groupBy("q").agg(F.max(F.struct(F.length("a").alias("n"), "a", "boxed")).alias("b"))  # a running maximum: samples of a question are never gathered
+    return best.select(F.col("q").alias(question), F.col("b.a").alias(answer), F.col("b.boxed").alias("boxed"))
 
 
 def acceptance(rows: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions import text as t
+from .names import fresh, without
 
 _MARK = "\u0001"
 
@@ -54,11 +55,13 @@ def _kept(chunk: Column, min_chunk: int, min_math: float) -> Column:
 
 
 def split_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_chunk: int = 800, target: int = 8000, max_chunk: int = 15_000, min_math: float = 0.3) -> DataFrame:
-    """TVF4: chunks with ``chunk_index`` and ``chunk_total`` (both before the drop of short or plain chunks), ``chunk_chars`` and a chunk id. Null and empty texts give none."""
-    rows = docs.withColumn("_chunks", _chunks(F.col(text), min_chunk, target, max_chunk)).select("*", F.size("_chunks").cast("long").alias("chunk_total"), F.posexplode("_chunks").alias("chunk_index", "_chunk")).drop("_chunks")
-    rows = rows.withColumn(text, F.col("_chunk")).drop("_chunk").withColumn("chunk_chars", F.length(text).cast("long"))
+    """TVF4: chunks with ``chunk_index`` and ``chunk_total`` (both before the drop of short or plain chunks), ``chunk_chars``, ``source_doc_id`` and a chunk id, in place of columns of those names. Null and empty texts give none."""
+    pieces, piece, of = fresh(docs, "chunks", "chunk", "of")
+    rows = without(docs.withColumn(of, F.col(id_col)), ("chunk_index", "chunk_total", "chunk_chars", "source_doc_id", "chunk_id"), (id_col, text)).withColumn(pieces, _chunks(F.col(text), min_chunk, target, max_chunk))
+    rows = rows.select("*", F.size(pieces).cast("long").alias("chunk_total"), F.posexplode(pieces).alias("chunk_index", piece)).drop(pieces)
+    rows = rows.withColumn(text, F.col(piece)).drop(piece).withColumn("chunk_chars", F.length(text).cast("long"))
     rows = rows.filter(_kept(F.col(text), min_chunk, min_math))
-    return rows.withColumn("source_doc_id", F.col(id_col)).withColumn("chunk_id", t.chunk_id(F.col(id_col), F.col("chunk_index")))
+    return rows.withColumn("source_doc_id", F.col(of)).withColumn("chunk_id", t.chunk_id(F.col(of), F.col("chunk_index"))).drop(of)
 
 
 def chunk_stats(docs: DataFrame, text: str = "text", min_chunk: int = 800, target: int = 8000, max_chunk: int = 15_000, min_math: float = 0.3) -> DataFrame:
@@ -84,7 +87,8 @@ def chunk_stats(docs: DataFrame, text: str = "text", min_chunk: int = 800, targe
 def overlapping_chunks(docs: DataFrame, text: str = "text", size: int = 1500, overlap: int = 200) -> DataFrame:
     """DES11: windows of ``size`` characters, each ``overlap`` into the one before."""
     starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(size - overlap))
-    return docs.withColumn("_at", F.explode(starts)).withColumn("chunk", F.substr(F.col(text), F.col("_at"), F.lit(size))).filter("length(chunk) > 0").withColumn("chunk_start", (F.col("_at") - 1).cast("long")).drop("_at")
+    (at,) = fresh(docs, "at")
+    return docs.withColumn(at, F.explode(starts)).withColumn("chunk", F.substr(F.col(text), F.col(at), F.lit(size))).filter("length(chunk) > 0").withColumn("chunk_start", (F.col(at) - 1).cast("long")).drop(at)
 
 
 def split_questions(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -94,11 +98,12 @@ def split_questions(docs: DataFrame, text: str = "text") -> DataFrame:
     c = F.translate(F.col(text), mark, "")
     parts = F.split(F.regexp_replace(c, p.PROB_HEADER.java, mark + "$0"), mark)
     units = F.when(F.size(parts) > 2, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(F.array(F.col(text)))
-    rest = [x for x in docs.columns if x != text]
-    return docs.select(*rest, F.posexplode(units).alias("qa_index", text)).select(*docs.columns, F.col("qa_index").cast("long").alias("qa_index"))
+    rest = [x for x in docs.columns if x not in (text, "qa_index")]
+    return docs.select(*rest, F.posexplode(units).alias("qa_index", text)).select(*(c for c in docs.columns if c != "qa_index"), F.col("qa_index").cast("long").alias("qa_index"))
 
 
 def first_pairs(pairs: DataFrame, article: str, order: str, most: int = 2) -> DataFrame:
     """DES10: of every article its first ``most`` pairs. Each task ranks before the shuffle (a group limit), so a long article sends few rows. Null articles are one article."""
     rank = F.row_number().over(Window.partitionBy(article).orderBy(order))
-    return pairs.withColumn("_r", rank).filter(F.col("_r") <= most).drop("_r")
+    (r,) = fresh(pairs, "r")
+    return pairs.withColumn(r, rank).filter(F.col(r) <= most).drop(r)

@@ -108,7 +108,7 @@ def llm2_written_through_replies(spark, sf_dir):
     return inference.ask(rows, F.col("q"), "r", model, 4).select("doc_id", F.col("r.text").alias("said"), F.col("r.error").alias("error"))
 
 
-JUDGED = "concat('Groundedness = ', doc_id % 6, chr(10), 'reasoning=', doc_id % 5, ' format = ', 1 + doc_id % 5, chr(10), case when doc_id % 2 = 0 then 'keep = YES' else 'keep=no' end, chr(10), case when doc_id % 3 = 0 then concat('reason = because ', doc_id) else left(text, 40) end)"
+JUDGED = "concat('Groundedness = ', doc_id % 6, chr(10), 'reasoning=', doc_id % 5, ' format = ', 1 + doc_id % 5, chr(10), case when doc_id % 2 = 0 then 'keep = YES' else 'keep=no' end, chr(10), case when doc_id % 3 = 0 then concat('reason = because ', doc_id) else text end)"
 
 
 def mark(k: str) -> str:
@@ -165,14 +165,24 @@ def des6_tfidf_dedup(spark, sf_dir):
     return dedup.dedup_tfidf(dedup.durable(rows, "tfidf"), "place", "words").select("doc_id")
 
 
-SAMPLES = tuple(x.replace("{b}", "chr(92), 'boxed{'") for x in ("concat(left(text, 50), {b}, doc_id % 7, '}')", "concat(left(text, 90), {b}, doc_id % 7, '}')", "concat(left(text, 30), {b}, case when doc_id % 3 = 0 then 99 else doc_id % 7 end, '}')"))
+def boxed(n: str) -> str:
+    return f"chr(92), 'boxed{{', {n}, '}}'"
 
 
-@query(f"{M}, s as (" + " union all ".join(f"select doc_id, {x} as a from m" for x in SAMPLES) + f"), b as (select doc_id, a, {last_boxed('a')} as boxed from s), g as (select doc_id, min(boxed) as lo, max(boxed) as boxed, list_sort(list({{'n': length(a), 'a': a}}))[-1] as best from b group by doc_id) select doc_id, best.a as answer, boxed from g where lo = boxed and boxed <> ''")
+GOLD = f"case when doc_id % 5 = 0 then text else concat(text, {boxed('doc_id % 7')}) end"
+SAMPLES = (  # right, right for two thirds, right only where the number is small; equal wrong answers agree with nothing
+    f"concat(text, {boxed('doc_id % 7')})",
+    f"concat('Again: ', text, {boxed('case when doc_id % 3 = 0 then 99 else doc_id % 7 end')})",
+    f"concat(text, ' ', text, {boxed('1')}, {boxed('case when doc_id % 7 < 3 then doc_id % 7 else 99 end')})",
+)
+
+
+@query(f"{M}, s as (" + " union all ".join(f"select doc_id, {x} as a from m" for x in SAMPLES) + f"), g as (select doc_id, {last_boxed(GOLD)} as gold from m), b as (select s.doc_id, a, {last_boxed('a')} as boxed from s)"
+       " select doc_id, answer, boxed from (select b.doc_id, a as answer, boxed, row_number() over (partition by b.doc_id order by length(a) desc, a desc) as r from b join g on g.doc_id = b.doc_id and g.gold = b.boxed where boxed <> '') where r = 1")
 def des16_agreeing_samples(spark, sf_dir):
+    """Three samples of every question against its gold row; the answers are whole texts with a box."""
     docs, out = mathdocs(spark, sf_dir), None
     for x in SAMPLES:
         one = docs.selectExpr("doc_id", f"{x} as answer")
         out = one if out is None else out.unionByName(one)
-    return sampling.agreeing_samples(out, "doc_id", "answer").select("doc_id", "answer", "boxed")
-
+    return sampling.agreeing_samples(out, docs.selectExpr("doc_id", f"{GOLD} as answer"), "doc_id", "answer").select("doc_id", "answer", "boxed")

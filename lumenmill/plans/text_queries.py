@@ -163,13 +163,14 @@ def reasoning_flags(c: str) -> str:
     return flags(("reasoning_too_short", f"length({c}) < 180"), ("reasoning_prompt_leak", leak(c)), ("reasoning_too_thin", thin), ("reasoning_too_long", f"length({c}) > 7000"))
 
 
-ANSWERS = ("text", "concat('User: ', text)", "split_part(text, chr(10), 1)", "concat(text, ' ', chr(92), 'boxed{1}')", "left(text, 40)")
+ANSWERS = ("text", "concat('User: ', text)", "replace(text, chr(10), ' ')", "concat(text, ' ', chr(92), 'boxed{1}')", "md5(text)")  # the last is a short one that all of a text decides
+ASKED = "case when doc_id % 10 = 2 then text else split_part(text, chr(10), 1) end"
 ANSWER = "case doc_id % 5 " + " ".join(f"when {i} then {x}" for i, x in enumerate(ANSWERS)) + " end"
 
 
-@query(f"{M}, q as (select doc_id, split_part(text, chr(10), 1) as q, {ANSWER} as a from m) select doc_id, {answer_flags('q', 'a')} as flags from q")
+@query(f"{M}, q as (select doc_id, {ASKED} as q, {ANSWER} as a from m) select doc_id, {answer_flags('q', 'a')} as flags from q")
 def flt16_answer_flags(spark, sf_dir):
-    docs = mathdocs(spark, sf_dir).selectExpr("doc_id", "split_part(text, chr(10), 1) as q", f"{ANSWER} as a")
+    docs = mathdocs(spark, sf_dir).selectExpr("doc_id", f"{ASKED} as q", f"{ANSWER} as a")
     return docs.select("doc_id", F.array_join(gates.answer_flags(F.col("q"), F.col("a")), ",").alias("flags"))
 
 
@@ -197,7 +198,8 @@ def flt12_flt13_valid_pairs(spark, sf_dir):
     return docs.select("doc_id", *(quality.valid_pair(F.col("p"), F.col("s"), k).alias(k.lower()) for k in "ABC"))
 
 
-CLEAN_ANSWERS = "case doc_id % 7 when 0 then '  x = 4 ' when 1 then '= 4' when 2 then 'Therefore' when 3 then concat('a', chr(10), 'b') when 4 then '' when 5 then left(text, 100) else left(text, 101) end"
+HUNDRED = "concat(md5(text), md5(concat(text, 'y')), md5(concat('y', text)), 'abcd')"  # 100 characters that all of a text decides
+CLEAN_ANSWERS = f"case doc_id % 7 when 0 then concat('  ', md5(text), ' ') when 1 then concat('= ', md5(text)) when 2 then 'Therefore' when 3 then concat(text, chr(10), 'b') when 4 then text when 5 then {HUNDRED} else concat('e', {HUNDRED}) end"
 
 
 @query(f"{M}, a as (select doc_id, {strip(CLEAN_ANSWERS)} as a from m) select doc_id, length(a) > 0 and length(a) <= 100 and not regexp_matches(a, '^[+,.;=*/]') and not contains(a, chr(10)) and not regexp_matches(a, {lit('(?i)^(?:' + p.BOXED_NOISE.body + ')$')}) as clean from a")
@@ -216,14 +218,14 @@ GATED = {
     4: f"concat(chr(92), 'boxed{{7}} ', {PAD}, s)",
     5: f"concat({PAD}, s, chr(92), 'boxed{{', repeat('y', 101), '}}')",
     6: "concat(s, ' ', chr(92), 'boxed{7}')",
-    7: f"concat({PAD}, 'see also ', chr(92), 'boxed{{7}}')",
-    8: f"concat({PAD}, 'https://a.b https://c.d https://e.f ', chr(92), 'boxed{{7}}')",
-    9: f"concat({PAD}, '```x', chr(10), repeat('code ', 80), '```', chr(92), 'boxed{{7}}')",
-    10: f"concat({PAD}, chr(92), 'boxed{{7}} and')",
-    11: f"concat({PAD}, {PAD}, chr(92), 'boxed{{7}}', {PAD}, {PAD}, ' x')",
-    12: f"concat({PAD}, chr(92), 'boxed{{7}}')",
+    7: f"concat({PAD}, s, 'see also ', chr(92), 'boxed{{7}}')",
+    8: f"concat({PAD}, s, 'https://a.b https://c.d https://e.f ', chr(92), 'boxed{{7}}')",
+    9: f"concat({PAD}, '```x', chr(10), repeat('code ', 80), s, '```', chr(92), 'boxed{{7}}')",
+    10: f"concat({PAD}, s, chr(92), 'boxed{{7}} and')",
+    11: f"concat({PAD}, {PAD}, s, chr(92), 'boxed{{7}}', {PAD}, {PAD}, ' x')",
+    12: f"concat({PAD}, s, chr(92), 'boxed{{7}}')",
 }
-PROBLEMS = "case when doc_id % 13 < 12 then concat('Find the value of x in this equation. ', left(s, 60)) when doc_id % 3 = 0 then concat('The above is a problem about numbers. ', left(s, 60)) when doc_id % 3 = 1 then concat('Find x as shown in the diagram and say why. ', left(s, 60)) else 'short' end"
+PROBLEMS = "case when doc_id % 13 < 12 then concat('Find the value of x in this equation. ', s) when doc_id % 3 = 0 then concat('The above is a problem about numbers. ', s) when doc_id % 3 = 1 then concat('Find x as shown in the diagram and say why. ', s) else 'short' end"
 PAIRS = f"select doc_id, {PROBLEMS} as problem, case doc_id % 13 " + " ".join(f"when {k} then {x}" for k, x in GATED.items()) + " end as solution from (select doc_id, " + BODY + " as s from {m})"
 GATE = f"""g0 as (select *, len(regexp_extract_all(solution, {lit(p.BOXED.re2)})) as nb, {strip(f"regexp_extract_all(solution, {lit(p.BOXED_FULL.re2)}, 1)[-1]")} as content, length(regexp_extract(solution, '(?s)^(.*)\\\\boxed\\{{[^}}]*\\}}', 1)) as place,
  coalesce(list_sum(list_transform(regexp_extract_all(solution, {lit(p.CODE_BLOCK.re2)}), lambda x: length(x))), 0) as code, lower(right(regexp_replace(solution, '[\\s\\x1c-\\x1f]+$', ''), 50)) as tail, length(problem) as np, length(solution) as ns, {strip("problem")} as start from pairs),

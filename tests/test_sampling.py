@@ -21,9 +21,12 @@ def test_penalty_and_first_of_lower(spark):
 
 
 def test_agreeing_samples(spark):
-    rows = [(1, r"a \boxed{2}"), (1, r"longer \boxed{2}"), (2, r"\boxed{1}"), (2, r"\boxed{3}"), (3, "none")]
-    got = sampling.agreeing_samples(spark.createDataFrame(rows, "q long, a string"), "q", "a").collect()
-    assert [(r.q, r.a, r.boxed) for r in got] == [(1, r"longer \boxed{2}", "2")]
+    rows = [(1, r"a \boxed{2}"), (1, r"longer \boxed{2}"), (1, r"the longest, but wrong \boxed{5}"), (2, r"x \boxed{1}"), (2, r"y \boxed{1}"), (2, r"z \boxed{1}"), (3, "none"), (4, r"alone \boxed{7}"), (5, r"\boxed{8}"), (None, r"\boxed{9}")]
+    gold = [(1, r"gold \boxed{3} then \boxed{2}"), (1, r"gold \boxed{2}"), (2, r"\boxed{3}"), (3, "none"), (4, r"\boxed{7}"), (6, r"\boxed{8}"), (None, r"\boxed{9}")]
+    table = lambda x: spark.createDataFrame(x, "q long, a string")
+    got = sampling.agreeing_samples(table(rows), table(gold), "q", "a").collect()
+    assert sorted((r.q, r.a, r.boxed) for r in got) == [(1, r"longer \boxed{2}", "2"), (4, r"alone \boxed{7}", "7")]  # three equal wrong answers are out, a right one beside a wrong one stays
+    assert sampling.agreeing_samples(table([]), table(gold), "q", "a").count() == sampling.agreeing_samples(table(rows), table([]), "q", "a").count() == 0
 
 
 def test_dedup_of_empty_sets_and_tables(spark):
