@@ -169,9 +169,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     own = storage.staged(fingerprints(docs, id_col, text_col), f"{folder}/fingerprints")
     rows = storage.staged(own.groupBy("fp", "doc_id", "text_hash").agg(F.count("*").alias("n")), f"{folder}/rows")
     of_fp = _rooted(rows, folder, radius, F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")))
-    chosen = of_fp.groupBy("root").agg(F.min("first").alias("c")).select(F.col("c.doc_id").alias("_id"), F.col("c.text_hash").alias("_hash"), (F.col("c.n") > 1).alias("_many"))
+    taken = {c.lower() for c in docs.columns}
+    id_, hash_, many, mine = (next(x for x in (f"_{s}{k or ''}" for k in range(len(taken) + 1)) if x not in taken) for s in ("id", "hash", "many", "own"))  # names that no column has
+    chosen = of_fp.groupBy("root").agg(F.min("first").alias("c")).select(F.col("c.doc_id").alias(id_), F.col("c.text_hash").alias(hash_), (F.col("c.n") > 1).alias(many))
     chosen = storage.staged(chosen, f"{folder}/chosen")
-    met = docs.withColumn("_own", text_hash(text_col)).join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")))
-    alone = met.filter(~F.col("_many")).select(*docs.columns)
-    repeats = met.filter("_many").groupBy("_id", "_hash").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")  # a running minimum in each task: repeats are never gathered
+    met = docs.withColumn(mine, text_hash(text_col)).join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.col(mine) == F.col(hash_)))
+    alone = met.filter(~F.col(many)).select(*docs.columns)
+    order = F.struct(*(F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema))  # a map has no order of its own
+    repeats = met.filter(many).groupBy(id_, hash_).agg(F.min_by(F.struct(*docs.columns), order).alias("r")).select("r.*")  # a running minimum in each task: repeats are never gathered
     return alone.unionByName(repeats)

@@ -271,3 +271,13 @@ def test_op13_every_two_tiles_meet_once(spark, tiles):
     met = Counter(frozenset((r["id"], r["home"])) for r in rows)
     assert len(met) == len(rows) == tiles * (tiles - 1) // 2 and all(len(k) == 2 for k in met)
     assert all(n == 1 for n in Counter((r["round"], t) for r in rows for t in (r["id"], r["home"])).values())
+
+
+def test_near_copies_go_beside_clashing_columns(spark):
+    from lumenmill.llm import simhash
+
+    long = prose(60)
+    rows = [(1, long, 5, 6), (1, long, 4, 6), (2, long, 5, 6), (3, "other words altogether " * 9, 5, 6), (None, "", 5, 6), (4, None, 5, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, _hash int").select("*", *(F.lit(k).alias(c) for k, c in enumerate(("_many", "_own", "n", "fp", "first", "root"))), F.create_map(F.lit("a"), F.col("_id")).alias("m"))
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns and sorted((r["doc_id"], r["_id"], r["m"]["a"]) for r in got.collect()) == [(1, 4, 4), (3, 5, 5), (4, 5, 5)]
