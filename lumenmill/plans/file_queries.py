@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import patterns as p
-from ..sources import jsonl, ledger
+from ..functions import text as t
+from ..sources import jsonl, ledger, ordered
 from ..sources.shared import workspace
 from ..streaming import incremental
 from . import drivers
-from .dedup_queries import CHUNKS, LABELLED, generated_ctes, greedy_ctes, labelled, last_boxed, normal, token_set
+from .dedup_queries import CHUNKS, LABELLED, first120, generated_ctes, greedy_ctes, labelled, last_boxed, normal, pair_words, token_set
 from .extract_queries import ALL_TURNS, turn_docs
 from .fixture import mathdocs, scripted_model
 from .sql import M, has, query, strip
@@ -68,12 +69,42 @@ def src6_flt29_workshop_repair(spark, sf_dir):
 @query(f"select source as file, count(*) as n from ({DOCS}) group by source")
 def src7_agg8_rows_by_file(spark, sf_dir):
     path = f"{workspace(spark, 'files')}/raw"
-    docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "text", "source").repartition(1, "source").write.partitionBy("source").json(path)
-    rows = spark.read.schema(jsonl.RAW).json(f"{path}/source=*/*.json")
+    docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "text", "source").write.partitionBy("source").json(path)
+    rows = jsonl.by_file(spark.read.schema(jsonl.RAW).json(f"{path}/source=*/*.json")).filter(F.col("file").startswith("part-"))
     named = rows.select("id", F.regexp_extract(F.col("_metadata.file_path"), "source=([^/]*)/", 1).alias("dir"))
     return named.groupBy(F.when(F.col("dir") == "__HIVE_DEFAULT_PARTITION__", "").otherwise(F.col("dir")).alias("file")).agg(F.count("*").alias("n"))
 
 
+def falling(spark, sf_dir, path: str, rows) -> None:
+    """Rows as lines of several files, whose order is that of falling ids; beside them an empty file, and a blank line before every 7th row."""
+    line = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("\n"), "value")).otherwise(F.col("value"))
+    rows.repartitionByRange(5, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id")).select(line.alias("value")).write.text(path)
+    move(spark, None, f"{path}/part-00001-empty.txt")
+
+
+@query(f"select cast(doc_id as varchar) as id, row_number() over (order by doc_id desc) - 1 + count(*) filter (where doc_id % 7 = 0) over (order by doc_id desc) as ord from ({DOCS})")
+def src7_order_of_files(spark, sf_dir):
+    path = f"{workspace(spark, 'files')}/lines"
+    falling(spark, sf_dir, path, docs(spark, sf_dir).select("doc_id", F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), "text")).alias("value")))
+    return ordered.read(spark, path, "id STRING, text STRING", "strict").select("id", "ord")
+
+
+CLASSES = f"""{M.replace('with ', 'with recursive ')}, c as (select doc_id, case doc_id % 3 when 0 then 'A' when 1 then 'B' else 'C' end as label, text as problem from m),
+src as (select label || printf('%012d', 1000000000000 - 1 - doc_id) as o, {first120('problem')} as k, {pair_words('problem')} as s, doc_id from c)"""
+
+
+@query(f"{CLASSES}, {greedy_ctes('src', 8000)} select doc_id from src where o in (select o from gkept)")
+def drv4_rel3_merge_of_class_files(spark, sf_dir):
+    """Class outputs that were written before are merged: A's files before B's, and in a class later ids stand first, so that they stay."""
+    work = workspace(spark, "classes")
+    rows = mathdocs(spark, sf_dir).select("doc_id", t.chat(F.col("doc_id").cast("string"), F.col("text"), F.lit("a")).alias("messages"))
+    for k, label in enumerate("ABC"):
+        falling(spark, sf_dir, f"{work}/{label}/sft", rows.filter(F.col("doc_id") % 3 == k).select("doc_id", F.to_json(F.struct("messages")).alias("value")))
+    drivers.merge_cold_start(spark, work)
+    final = spark.read.schema("messages ARRAY<STRUCT<role: STRING, content: STRING>>").json(f"{work}/final")
+    return final.select(F.col("messages")[0]["content"].cast("long").alias("doc_id"))
+
+
 @query(f"select cast(doc_id as varchar) as id from ({DOCS}) order by doc_id limit 37")
 def src8_scan_limit(spark, sf_dir):
     rows = jsonl.read(spark, rows_written(spark, sf_dir), mode="strict").withColumn("ord", F.col("id").cast("long"))
@@ -88,18 +119,21 @@ def src9_snk3_routes_by_label(spark, sf_dir):
     return rows.select("label", F.col("id").cast("long").alias("doc_id"))
 
 
-@query("select true as answers, true as refused")
+@query(f"{M}, {LABELLED} select doc_id, true as refused from labelled where label <> 'E'")
 def src10_preflight(spark, sf_dir):
+    """A generation over all classified documents whose model is down ends before any work: no folder is made, and every document is still unprocessed."""
     def broken():
         raise OSError("down")
 
+    source, out = classified(spark, sf_dir), f"{workspace(spark, 'preflight')}/out"
     drivers.preflight(scripted_model)
     try:
-        drivers.preflight(broken)
+        drivers.generate_stage(spark, source, out, broken)
         refused = False
     except RuntimeError:
-        refused = True
-    return spark.createDataFrame([(True, refused)], "answers boolean, refused boolean")
+        refused = not jsonl.exists(spark, out)
+    rows = jsonl.read_by_label(spark, {x: f"{source}/route={x}" for x in "ABC"}, drivers.CHUNK)
+    return drivers.unprocessed(rows, [f"{out}/raw/AB", f"{out}/raw/C"]).select(F.col("id").cast("long").alias("doc_id"), F.lit(refused).alias("refused"))
 
 
 @query(f"select cast(doc_id as varchar) as id, 1 as n from ({DOCS})")
@@ -210,24 +244,25 @@ def drv5_workshop_converter(spark, sf_dir):
     work = workspace(spark, "workshop")
     rows = docs(spark, sf_dir).select((F.col("doc_id") % 2).alias("k"), F.to_json(F.struct(F.col("doc_id").cast("string").alias("question"), F.col("text").alias("solution"), F.col("doc_id").alias("answer"))).alias("value"))
     for k, name in enumerate("ab"):
-        rows.filter(F.col("k") == k).select("value").coalesce(1).write.text(f"{work}/{name}")
-        move(spark, f"{work}/{name}", f"{work}/in/{name}_problem.jsonl")
+        rows.filter(F.col("k") == k).select("value").write.text(f"{work}/{name}")
+        move(spark, f"{work}/{name}", f"{work}/in/{name}%d_problem.jsonl")
     move(spark, None, f"{work}/in/empty_problem.jsonl")
     drivers.convert_workshop(spark, f"{work}/in", f"{work}/out")
     got = spark.read.schema("messages ARRAY<STRUCT<role: STRING, content: STRING>>, file STRING").json(f"{work}/out")
-    return got.select("file", F.col("messages")[1]["content"].alias("question"), F.col("messages")[2]["content"].alias("answer"))
+    return got.select(F.regexp_replace("file", "[0-9]+_", "_").alias("file"), F.col("messages")[1]["content"].alias("question"), F.col("messages")[2]["content"].alias("answer"))
 
 
 def move(spark, folder: str | None, name: str) -> None:
-    """The one part file of a folder under a name; without a folder an empty file."""
+    """The part files of a folder under a name with their number; without a folder an empty file."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(name).getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(path(name).getParent())
     if folder is None:
         system.create(path(name)).close()
     else:
-        part = next(f.getPath() for f in system.listStatus(path(folder)) if f.getPath().getName().startswith("part-"))
-        system.rename(part, path(name))
+        parts = sorted((f.getPath() for f in system.listStatus(path(folder)) if f.getPath().getName().startswith("part-")), key=lambda x: x.getName())
+        for k, part in enumerate(parts):
+            system.rename(part, path(name % k))
 
 
 @query(f"select cast(doc_id as varchar) as id, cast(length(text) as bigint) as chars from ({DOCS})")

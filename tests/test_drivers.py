@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenmill.operators import sampling
 from lumenmill.plans import drivers
-from lumenmill.sources import jsonl, ledger, shared
+from lumenmill.sources import jsonl, ledger, ordered, shared
 from lumenmill.streaming import incremental
 
 LONG = "We compute $a$, $b$ and $c$ with care. " * 30
@@ -221,3 +221,43 @@ def test_acceptance_by_route(spark):
     docs = spark.createDataFrame([(1, "# Sums\n\nA plain passage about sums of numbers, long enough to use.")], "doc_id long, text string")
     got = sampling.acceptance(routes.route_a(docs, model)).first()
     assert (got["n_rows"], got["kept"], got["thinking"], got["boxed"], got["leaks"], got["system_texts"]) == (1, 1, 1, 1, 0, 0)
+
+
+def test_lines_in_the_order_of_sorted_files(spark, tmp_path):
+    """Files that are read in several splits each, empty ones, blank and bad lines, names with spaces: as reading them one after the other."""
+    want, folder = [], tmp_path / "in"
+    for name, n in (("b 2.jsonl", 400), ("a+1.jsonl", 3), ("c.jsonl", 0), ("b 10.jsonl", 150), ("d.jsonl", 1)):
+        lines(folder / name, ["\n" if k % 50 == 9 else "{bad\n" if k % 50 == 10 else {"id": f"{name}-{k}", "text": "x" * (k % 90)} for k in range(n)])
+    k = 0
+    for f in sorted(folder.iterdir()):
+        for line in f.read_text().splitlines():
+            if line.strip():
+                want.append((k, f.name, None if line == "{bad" else json.loads(line)["id"]))
+            k += 1
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size, cost in (("3000", "10"), ("128m", "4m")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", cost)
+            got = ordered.read(spark, f"{folder}", "id STRING, text STRING", "tolerant")
+            assert sorted((r["ord"], r["file"], r["id"]) for r in got.collect()) == want
+            assert got.rdd.getNumPartitions() > 5 or size == "128m"
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert ordered.read(spark, f"{folder}", "id STRING").count() == sum(i is not None for *_, i in want)
+    with pytest.raises(Exception):  # noqa: B017 - the engine's own
+        ordered.read(spark, f"{folder}", "id STRING", "strict").collect()
+    assert ordered.lines(spark, f"{folder}/c.jsonl").count() == 0
+
+
+def test_class_outputs_are_merged_in_their_order(spark, tmp_path):
+    row = lambda p, a: {"messages": [{"role": "system", "content": ""}, {"role": "user", "content": p}, {"role": "assistant", "content": a}]}
+    one, two = "find the sum of two and two here", "find the product of nine and ten at once"
+    lines(tmp_path / "B" / "sft" / "part-1.json", [row(two, "B1"), "\n", row(one, "B2")])
+    lines(tmp_path / "A" / "sft" / "part-2.json", [row(one, "A3")])
+    lines(tmp_path / "A" / "sft" / "part-1.json", [row(one, "A1"), row("something else that is asked here", "A2")])
+    lines(tmp_path / "A" / "sft" / "part-0.json", [])
+    assert counts(drivers.merge_cold_start(spark, f"{tmp_path}", "DBCA")) == {"A": 3, "B": 2, "kept": 3}
+    assert sorted(r["messages"][2]["content"] for r in spark.read.json(f"{tmp_path}/final").collect()) == ["A1", "A2", "B1"]
+    assert drivers.merge_cold_start(spark, f"{tmp_path}/none").count() == 0 and not jsonl.exists(spark, f"{tmp_path}/none")
