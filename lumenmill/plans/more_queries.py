@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions import text as t
-from ..operators import dedup, gates, inference, quality, routes, sampling
-from ..sources.shared import workspace
+from ..operators import dedup, equivalence, gates, inference, quality, routes, sampling
+from ..sources.shared import workers_find_package, workspace
 from .dedup_queries import prompt_sql
 from .extract_queries import SQL_PARTS, documents
 from .fixture import in_batches, mathdocs
@@ -140,6 +140,29 @@ def des2_same_answers(spark, sf_dir):
     return documents(spark, sf_dir).selectExpr("doc_id", f"{turn(GIVEN)} as a", f"{turn(FOUND)} as b").select("doc_id", gates.same_answer(F.col("a"), F.col("b")).alias("same"))
 
 
+ANSWER_N = "(doc_id % 50 + length(text) % 7 + 2)"
+FORMS = (  # an answer, another way to write it, and what a check must say
+    ("concat('(x+', {n}, ')(x-', {n}, ')')", "concat('x^2 - ', {n} * {n})", "same"),
+    ("concat(chr(92), 'sqrt{', 4 * {n}, '}')", "concat('2', chr(92), 'sqrt{', {n}, '}')", "same"),
+    ("concat(chr(92), 'frac{', 3 * {n}, '}{', 12, '}')", "concat({n}, '/4')", "same"),
+    ("concat('y = ', {n}, 'x + 1')", "concat({n}, 'x + 1 = y')", "same"),
+    ("concat('(a+', {n}, ')^2')", "concat('a^2+', {n} * {n})", "different"),
+    ("concat({n}, chr(92), 'pi')", "concat({n}, '.5', chr(92), 'pi')", "different"),
+    ("concat(chr(92), 'sqrt{', {n}, 'x}')", "concat(chr(92), 'sqrt{x}')", "undecided"),
+    ("concat('about ', {n})", "concat('roughly ', {n})", "undecided"),
+    ("text", "concat(text, ' indeed')", "undecided"),
+    ("text", "text", "same"),
+)
+
+
+@query(f"select doc_id, case when text = '' and doc_id % 10 >= 8 then 'undecided' else case doc_id % 10 " + " ".join(f"when {k} then '{x[2]}'" for k, x in enumerate(FORMS)) + " end end as verdict from (select doc_id, coalesce(text, '') as text from documents)")
+def des2_equivalent_answers(spark, sf_dir):
+    turn = lambda at: "case doc_id % 10 " + " ".join(f"when {k} then {x[at].replace('{n}', ANSWER_N)}" for k, x in enumerate(FORMS)) + " end"
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "coalesce(text, '') as text").selectExpr("doc_id", f"{turn(0)} as a", f"{turn(1)} as b")
+    workers_find_package(spark)
+    return rows.select("doc_id", equivalence.answer_verdict(F.col("a"), F.col("b")).alias("verdict"))
+
+
 STEPS = f"list_filter(list_transform(string_split(text, chr(10)), lambda x: {strip('x')}), lambda x: x <> '')"
 STEPPED = "concat(text, chr(10), 'second', chr(10), chr(10), ' third ', chr(10), text, chr(10), 'the end')"
 
