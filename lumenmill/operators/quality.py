@@ -9,6 +9,9 @@ from ..functions import patterns as p
 from ..functions import text as t
 
 
+REASONS = ("too_short", "low_nemo", "noise_dense", "low_math")  # the kinds of reason that the cascade gives
+
+
 def quality_cascade(docs: DataFrame, text: str = "text", score: str = "score", min_len: int = 800, max_len: int = 50_000, min_score: float = 1.5, max_noise: float = 0.15, min_math: float = 0.5) -> DataFrame:
     """FLT1-FLT4: adds ``label`` (normal, long, discard) and ``reason``; tests run cheapest first and the first failure decides. A null text is empty, a null score 0."""
     c, s = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(score).cast("double"), F.lit(0.0))

@@ -18,30 +18,33 @@ def heading_sections(c: Column) -> Column:
     return F.filter(parts, lambda x: t.strip(x) != "")
 
 
-def merged(sections: Column, min_chunk: int) -> Column:
-    """TVF2: a section shorter than ``min_chunk`` joins the piece before it; the first starts one."""
-    empty = F.array().cast("array<string>")
+def _joined(parts: Column, starts: Column) -> Column:
+    """Parts from each start (from 0) to the next one, a blank line between them. A part is copied once."""
+    to = lambda k: F.coalesce(F.try_element_at(starts, k + 2), F.size(parts))
+    return F.transform(starts, lambda at, k: F.array_join(F.slice(parts, at + 1, to(k) - at), "\n\n"))
 
-    def step(acc, x):
-        last = F.try_element_at(acc, F.lit(-1))
-        joined = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.concat(last, F.lit("\n\n"), x)))
-        return F.when((F.size(acc) > 0) & (F.length(x) < min_chunk), joined).otherwise(F.concat(acc, F.array(x)))
 
-    return F.aggregate(F.transform(sections, t.strip), empty, step)
+def merged(sections: Column, min_chunk: int) -> Column:
+    """TVF2: a section shorter than ``min_chunk`` joins the piece before it; the first starts one. Places are found first, then texts are joined."""
+    starts = lambda x: F.array_compact(F.transform(x, lambda s, i: F.when((i == 0) | (F.length(s) >= min_chunk), i)))
+    return t.let(F.transform(sections, t.strip), lambda x: t.let(starts(x), lambda at: _joined(x, at)))
 
 
 def force_split(piece: Column, target: int, limit: int) -> Column:
-    """TVF3: a piece over ``limit`` is refilled paragraph by paragraph up to ``target``; a longer paragraph stays whole."""
-    paragraphs = F.filter(F.split(piece, r"\n{2,}"), lambda x: t.strip(x) != "")
-    empty = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("now"))
+    """TVF3: a piece over ``limit`` is refilled paragraph by paragraph up to ``target``; a longer paragraph stays whole. The fold goes over lengths and keeps where pieces begin, so its state is a number for each piece."""
+    empty = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).cast("long").alias("now"))
 
     def step(acc, x):
-        fits = (F.length(acc["now"]) == 0) | (F.length(acc["now"]) + F.length(x) + 2 <= target)
-        grown = F.when(F.length(acc["now"]) == 0, x).otherwise(F.concat(acc["now"], F.lit("\n\n"), x))
-        return F.when(fits, F.struct(acc["done"].alias("done"), grown.alias("now"))).otherwise(F.struct(F.concat(acc["done"], F.array(acc["now"])).alias("done"), x.alias("now")))
+        size = x["n"].cast("long")
+        fits = (acc["now"] > 0) & (acc["now"] + size + 2 <= target)
+        return F.when(fits, F.struct(acc["starts"].alias("starts"), (acc["now"] + size + 2).alias("now"))).otherwise(F.struct(F.concat(acc["starts"], F.array(x["i"])).alias("starts"), size.alias("now")))
+
+    def refilled(paragraphs):
+        sizes = F.transform(paragraphs, lambda x, i: F.struct(i.alias("i"), F.length(x).alias("n")))
+        return t.let(F.aggregate(sizes, empty, step, lambda acc: acc["starts"]), lambda at: _joined(paragraphs, at))
 
-    refilled = F.aggregate(paragraphs, empty, step, lambda a: F.when(F.length(a["now"]) > 0, F.concat(a["done"], F.array(a["now"]))).otherwise(a["done"]))
-    return F.when(F.length(piece) > limit, refilled).otherwise(F.array(piece))
+    paragraphs = F.filter(F.split(piece, r"\n{2,}"), lambda x: t.strip(x) != "")
+    return F.when(F.length(piece) > limit, t.let(paragraphs, refilled)).otherwise(F.array(piece))
 
 
 def _chunks(c: Column, min_chunk: int, target: int, max_chunk: int) -> Column:

@@ -44,6 +44,14 @@ def src2_src5_dropping_scan_of_a_list(spark, sf_dir):
     return jsonl.read(spark, [lines_written(spark, sf_dir), lines_written(spark, sf_dir)], mode="drop").select("id", "text")
 
 
+@query(f"""select 'rows' as route, cast(doc_id as varchar) as id, text, null as line, null as cause from ({DOCS}) where doc_id % 5 <> 0 union all select 'malformed', null, null, '{{bad ' || doc_id, 'cut off' from ({DOCS}) where doc_id % 5 = 0
+ union all select 'blank', null, null, null, null from ({DOCS}) where doc_id % 5 in (1, 2)""")
+def src1_src6_intake_of_every_line(spark, sf_dir):
+    work = workspace(spark, "intake")
+    drivers.intake_stage(spark, lines_written(spark, sf_dir), f"{work}/out")
+    return spark.read.schema("id STRING, text STRING, line STRING, cause STRING, route STRING").json(f"{work}/out").select("route", "id", "text", "line", "cause")
+
+
 def rows_written(spark, sf_dir, name: str = "rows"):
     path = f"{workspace(spark, name)}/raw"
     own = docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "text", F.struct(F.lit(1.5).alias("nemocurator_scores"), F.lit(None).cast("double").alias("finemath_scores"), F.col("source").alias("category")).alias("metadata"))

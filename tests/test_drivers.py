@@ -251,6 +251,28 @@ def test_lines_in_the_order_of_sorted_files(spark, tmp_path):
     assert ordered.lines(spark, f"{folder}/c.jsonl").count() == 0
 
 
+def test_every_line_is_in_one_place(spark, tmp_path):
+    good = {"question": "q", "solution": "s", "answer": "4", "source_index": "x"}
+    rows_ = [good, "\n", '{"question":"q2","solution":"s","answer":"5","source_index": ab-12}\n', '\ufeff{"question":"q3"}\n', '{"question":"q4",}\n', '{"question":"q5"\n', "[1, 2]\n", "{x}\n", "   \n"]
+    lines(tmp_path / "in" / "a.jsonl", rows_)
+    lines(tmp_path / "in" / "b.jsonl", [good])
+    got = counts(drivers.intake_stage(spark, f"{tmp_path}/in", f"{tmp_path}/out", jsonl.WORKSHOP))
+    assert got == {"rows": 2, "repaired": 3, "malformed": 3, "blank": 2, "repair:byte order mark": 1, "repair:bare source_index": 1, "repair:comma before the end": 1, "cause:cut off": 1, "cause:no object": 1, "cause:no JSON of the schema": 1}
+    out = spark.read.schema("file STRING, ord LONG, route STRING, question STRING, source_index STRING, line STRING, cause STRING").json(f"{tmp_path}/out").orderBy("ord").collect()
+    assert [r["ord"] for r in out] == list(range(10)) and [r["file"] for r in out] == ["a.jsonl"] * 9 + ["b.jsonl"]
+    assert [r["question"] for r in out] == ["q", None, "q2", "q3", "q4", None, None, None, None, "q"] and out[2]["source_index"] == "ab-12"
+    assert [r["line"] for r in out if r["route"] == "malformed"] == ['{"question":"q5"', "[1, 2]", "{x}"]
+
+
+def test_reports_come_from_the_pass_that_writes(spark, raw, tmp_path):
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("report", "report")
+    drivers.filter_stage(spark, raw, f"{tmp_path}/f").collect()
+    drivers.clean_stage(spark, [f"{tmp_path}/f/label=normal"], f"{tmp_path}/c").collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs.getJobIdsForGroup("report")) <= 4
+
+
 def test_class_outputs_are_merged_in_their_order(spark, tmp_path):
     row = lambda p, a: {"messages": [{"role": "system", "content": ""}, {"role": "user", "content": p}, {"role": "assistant", "content": a}]}
     one, two = "find the sum of two and two here", "find the product of nine and ten at once"
