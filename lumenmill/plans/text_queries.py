@@ -164,13 +164,13 @@ def reasoning_flags(c: str) -> str:
 
 
 ANSWERS = ("text", "concat('User: ', text)", "replace(text, chr(10), ' ')", "concat(text, ' ', chr(92), 'boxed{1}')", "md5(text)")  # the last is a short one that all of a text decides
-ASKED = "case when doc_id % 10 = 2 then text else split_part(text, chr(10), 1) end"
+ASKING = "case when doc_id % 10 = 2 then text else split_part(text, chr(10), 1) end"
 ANSWER = "case doc_id % 5 " + " ".join(f"when {i} then {x}" for i, x in enumerate(ANSWERS)) + " end"
 
 
-@query(f"{M}, q as (select doc_id, {ASKED} as q, {ANSWER} as a from m) select doc_id, {answer_flags('q', 'a')} as flags from q")
+@query(f"{M}, q as (select doc_id, {ASKING} as q, {ANSWER} as a from m) select doc_id, {answer_flags('q', 'a')} as flags from q")
 def flt16_answer_flags(spark, sf_dir):
-    docs = mathdocs(spark, sf_dir).selectExpr("doc_id", f"{ASKED} as q", f"{ANSWER} as a")
+    docs = mathdocs(spark, sf_dir).selectExpr("doc_id", f"{ASKING} as q", f"{ANSWER} as a")
     return docs.select("doc_id", F.array_join(gates.answer_flags(F.col("q"), F.col("a")), ",").alias("flags"))
 
 
