@@ -13,8 +13,8 @@ _MARK = "\u0001"
 
 
 def heading_sections(c: Column) -> Column:
-    """TVF1: bodies with their heading line, the preamble first where it is not blank."""
-    parts = F.split(F.regexp_replace(c, r"(?Udm)^(?=#{1,4}\s+.)", _MARK), _MARK)
+    """TVF1: bodies with their heading line, the preamble first where it is not blank. A bare ``##`` takes the next line that isn't blank as its title, so a heading there begins no section of its own."""
+    parts = F.split(F.regexp_replace(c, r"(?Udm)^#{1,4}\s+.", _MARK + "$0"), _MARK)
     return F.filter(parts, lambda x: t.strip(x) != "")
 
 

@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from lumenmill.operators import split
 
 
@@ -50,3 +52,12 @@ def test_equals_a_plain_pass(spark):
     assert found == {k: plain(t, 1) for k, t in docs}
     whole = split.split_documents(spark.createDataFrame(docs, "doc_id long, text string"), min_math=0.0).collect()
     assert {r["doc_id"]: r["chunk_total"] for r in whole} == {k: len(plain(t)) for k, t in docs if any(len(x) >= 800 for x in plain(t))}
+
+
+def test_a_bare_heading_takes_the_next_line_as_its_title(spark):
+    text = "before\n\n## \n\n## Part three\nshort\n\n# \n# \n# last\nend\n## more\nx"
+    got = spark.createDataFrame([(text,)], "c string").select(split.heading_sections(F.col("c")).alias("x")).collect()[0]["x"]
+    starts = [m.start() for m in re.finditer(r"(?m)^(#{1,4})\s+(.+)", text)]
+    assert got == [text[a:b] for a, b in zip([0, *starts], [*starts, len(text)], strict=True)] == ["before\n\n", "## \n\n## Part three\nshort\n\n", "# \n# \n", "# last\nend\n", "## more\nx"]
+    chunk = split.split_documents(spark.createDataFrame([(1, text)], "doc_id long, text string"), min_chunk=1, min_math=0.0).orderBy("chunk_index").collect()
+    assert chunk[1]["text"] == "## \n\n## Part three\nshort"
