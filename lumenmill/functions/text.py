@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 
 from .patterns import ANSWER_LIKE, BOXED_PLAIN, CONCEPT_MARK, EXCESS_BLANK, EXPLICIT_QUESTION, LIST_MARK, NEXT_PROBLEM, NEXT_Q, PROBLEM_UNIT, RESCUE, ROLE_LINE, SESSION_WORD, THINK, P
 
-_STRIP = r"(?Ud)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+# What ``(?U)[\s\x1c-\x1f]`` matches, character by character: a trim looks at both ends alone, where a pattern would try every place of a text.
+WHITE = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def strip(c: Column) -> Column:
     """White space by Unicode rules off both ends (TXT helper)."""
-    return F.regexp_replace(c, _STRIP, "")
+    return F.btrim(c, F.lit(WHITE))
+
+
+def strip_end(c: Column) -> Column:
+    return F.rtrim(c, F.lit(WHITE))
 
 
 def count(c: Column, p: P) -> Column:
@@ -40,7 +45,7 @@ def let(x: Column, f) -> Column:
 
 
 def nullif_empty(c: Column) -> Column:
-    return F.when(c != "", c)
+    return let(c, lambda x: F.when(x != "", x))
 
 
 def compress_blank(c: Column) -> Column:
@@ -51,7 +56,7 @@ def light_clean(c: Column) -> Column:
     """TXT13."""
     c = F.replace(F.coalesce(c, F.lit("")), F.lit("\r"), F.lit("\n"))
     c = F.regexp_replace(c, r"(?Ud)https?://\S+", " ")
-    return strip(compress_blank(F.regexp_replace(c, r"[ \t]+", " ")))
+    return strip(compress_blank(F.regexp_replace(c, r" [ \t]+|\t[ \t]*", " ")))  # a lone blank stays as it is
 
 
 def title(c: Column) -> Column:
@@ -59,16 +64,18 @@ def title(c: Column) -> Column:
     return light_clean(F.regexp_extract(F.coalesce(c, F.lit("")), r"(?Udm)^#\s+(.+)", 1))
 
 
+_OTHER = r"[^0-9a-z\x{4e00}-\x{9fff}]"
+
+
 def normalise(c: Column) -> Column:
     """TXT15: the form that near-duplicate tests compare."""
     c = F.regexp_replace(F.lower(light_clean(c)), BOXED_PLAIN.java, " ")
-    return F.btrim(F.regexp_replace(c, r"[^0-9a-z\x{4e00}-\x{9fff}]+", " "))
+    return F.btrim(F.regexp_replace(c, rf" {_OTHER}+|[^ 0-9a-z\x{{4e00}}-\x{{9fff}}]{_OTHER}*", " "))  # a lone blank stays as it is
 
 
 def tokens(c: Column) -> Column:
     """TXT38: distinct tokens of the normalised text; none for an empty one."""
-    n = normalise(c)
-    return F.when(n == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.split(n, " ")))
+    return let(normalise(c), lambda n: F.when(n == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.split(n, " "))))
 
 
 def last_boxed(c: Column) -> Column:
@@ -160,8 +167,11 @@ def problem_unit(c: Column, most: int = 1400) -> Column:
 
 def concept_excerpt(c: Column, most: int = 900) -> Column:
     """TXT20: paragraphs with a marker until ``most`` characters are reached, else the first three."""
-    blocks = F.filter(F.transform(F.split(light_clean(c), r"(?U)\n\s*\n"), strip), lambda x: x != "")
-    marked = F.filter(blocks, lambda x: F.exists(F.array(*map(F.lit, CONCEPT_MARK)), lambda w: F.contains(F.lower(x), w)))
+    return let(F.filter(F.transform(F.split(light_clean(c), r"(?U)\n\s*\n"), strip), lambda x: x != ""), lambda blocks: _excerpt(blocks, most))
+
+
+def _excerpt(blocks: Column, most: int) -> Column:
+    marked = F.filter(blocks, lambda x: let(F.lower(x), lambda low: F.exists(F.array(*map(F.lit, CONCEPT_MARK)), lambda w: F.contains(low, w))))
     grow = lambda acc, x: F.when(F.length(acc) >= most, acc).otherwise(F.concat(acc, F.when(acc == "", "").otherwise("\n\n"), x))
     kept = F.aggregate(marked, F.lit(""), grow)
     return F.substring(light_clean(F.coalesce(nullif_empty(kept), F.array_join(F.slice(blocks, 1, 3), "\n\n"))), 1, most)
@@ -169,7 +179,7 @@ def concept_excerpt(c: Column, most: int = 900) -> Column:
 
 def without_thinking(c: Column) -> Column:
     """What a model's reply keeps: no thinking, no turn symbols (LLM2)."""
-    return F.translate(sub(c, THINK), "⚇⚼", "")
+    return F.replace(F.replace(sub(c, THINK), F.lit("⚇"), F.lit("")), F.lit("⚼"), F.lit(""))
 
 
 def _without_leaks(c: Column) -> Column:

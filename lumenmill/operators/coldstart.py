@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as p
 from ..functions import text as t
 from . import dedup, extract, gates
+from .names import kept
 
 
 def gated_pairs(docs: DataFrame, text: str = "text", label: str = "label", relaxed: bool = False) -> DataFrame:
@@ -18,12 +19,12 @@ def gated_pairs(docs: DataFrame, text: str = "text", label: str = "label", relax
 
 def cold_start(docs: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "label", relaxed: bool = False) -> DataFrame:
     """Audit rows of the pairs that pass L1-L6 and, in the order of class and id (unique, not null), of no earlier kept pair's likeness (L7)."""
-    passed = gated_pairs(docs, text, label, relaxed).filter("gate is null").withColumn("_o", F.struct(label, id_col))
-    passed = dedup.durable(passed)  # extraction runs once, though keys and rows are both read
+    pairs = gated_pairs(docs, text, label, relaxed).select(*dict.fromkeys((id_col, label, "strategy", "problem", "solution", "boxed_injected", "gate")))
+    passed = dedup.durable(kept(pairs, "gate is null").drop("gate").withColumn("_o", F.struct(label, id_col)))  # extraction runs once, though keys and rows are both read; whole texts stay behind
     keyed = passed.select("_o", t.fingerprint120(F.col("problem")).alias("_k"), t.bigrams(F.col("problem")).alias("_s"))
-    kept = passed.join(dedup.dedup_questions(keyed, "_o", "_k", "_s", 8000).select("_o"), "_o", "left_semi")
+    stays = passed.join(dedup.dedup_questions(keyed, "_o", "_k", "_s", 8000).select("_o"), "_o", "left_semi")
     size = F.struct(F.length("problem").alias("problem"), F.length("solution").alias("solution"))
-    return kept.select(
+    return stays.select(
         F.col(id_col).cast("string").alias("source_id"),
         F.col(label).alias("input_class"),
         F.col("strategy").alias("extraction_strategy"),
@@ -37,7 +38,7 @@ def cold_start(docs: DataFrame, id_col: str = "doc_id", text: str = "text", labe
 def rejects(pairs: DataFrame, id_col: str = "doc_id", label: str = "label") -> DataFrame:
     """The dry run's rows of documents without a pair or with a failed gate."""
     tail = F.substring(F.reverse(F.col("solution")), 1, 80)
-    return pairs.filter("gate is not null").select(
+    return kept(pairs, "gate is not null").select(
         F.col(id_col).cast("string").alias("id"),
         F.col(label).alias("input"),
         F.coalesce("strategy", F.lit("SKIP")).alias("strategy"),

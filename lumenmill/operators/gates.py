@@ -15,17 +15,16 @@ def _last_full(c: Column) -> Column:
 
 def gate_reason(problem: Column, solution: Column, relaxed: bool = False) -> Column:
     """L1-L6: the first failure as ``Ln:reason``, or null."""
-    return t.let(F.struct(problem.alias("p"), solution.alias("s")), lambda x: _gate_reason(x["p"], x["s"], relaxed))
+    seen = lambda x: F.struct(x["p"].alias("p"), x["s"].alias("s"), F.regexp_count(x["s"], F.lit(p.BOXED.java)).alias("n"))
+    return t.let(t.let(F.struct(problem.alias("p"), solution.alias("s")), seen), lambda x: _gate_reason(x["p"], x["s"], x["n"], relaxed))
 
 
-def _gate_reason(problem: Column, solution: Column, relaxed: bool) -> Column:
-    found = F.regexp_count(solution, F.lit(p.BOXED.java))
+def _gate_reason(problem: Column, solution: Column, found: Column, relaxed: bool) -> Column:
     # where the last boxed answer starts: what a greedy prefix leaves
     place = F.length(F.regexp_extract(solution, r"(?Uds)\A(.*)\\boxed\{[^}]*\}", 1))
     content = _last_full(solution)
     code = F.aggregate(F.regexp_extract_all(solution, F.lit(p.CODE_BLOCK.java), F.lit(0)), F.lit(0), lambda a, x: a + F.length(x))
-    end = F.lower(F.right(F.regexp_replace(solution, r"(?Ud)[\s\x1c-\x1f]+\z", ""), F.lit(50)))
-    cut = F.exists(F.array(*map(F.lit, p.TRUNCATED)), lambda x: F.endswith(end, x))
+    cut = t.let(F.lower(F.substring(t.strip_end(solution), -50, 50)), lambda end: F.exists(F.array(*map(F.lit, p.TRUNCATED)), lambda x: F.endswith(end, x)))  # the end is made once, not for every word
     n, m = F.length(problem), F.length(solution)
     start = t.strip(problem)
     return (
@@ -56,12 +55,12 @@ def clean_answer(c: Column) -> Column:
 
 def inject_boxed(solution: Column) -> Column:
     """TXT29: the solution with its final answer boxed at the end; null where it has a box or no sure answer. Later priorities are tried where an earlier answer isn't clean."""
-    return t.let(solution, _injected)
+    return t.let(solution, lambda s: F.when(~t.has(s, p.BOXED), t.let(F.right(s, F.lit(600)), lambda tail: _injected(s, tail))))
 
 
-def _injected(solution: Column) -> Column:
-    tail = F.right(solution, F.lit(600))
+def _injected(solution: Column, tail: Column) -> Column:
     last = lambda c, q: t.strip(F.try_element_at(F.regexp_extract_all(c, F.lit(q.java), F.lit(1)), F.lit(-1)))
+    closed = lambda q: F.when(tail.rlike(r"(?Udm)\$[.,;)!\s]*$"), last(tail, q))  # noqa: E731 - the end that both patterns have: without it their words need not be tried at every place
     ok = lambda a, most=100: t.let(a, lambda x: F.when(clean_answer(x) & (F.length(x) <= most), x))
     display = t.strip(F.regexp_replace(t.strip(t.nullif_empty(F.regexp_extract(solution, p.DISPLAY_FINAL.java, 1))), r"(?Ud)\A=\s*", ""))
     # the last inline formula, and up to 80 characters before it: what formulas part, read from the end
@@ -69,9 +68,8 @@ def _injected(solution: Column) -> Column:
     after = F.element_at(F.split(tail, p.INLINE.java), -1)
     context = F.right(F.left(tail, F.length(tail) - F.length(after) - F.length(formula)), F.lit(80))
     inline = t.strip(F.substr(formula, F.lit(2), F.length(formula) - 2))
-    answer = F.coalesce(ok(last(tail, p.CONCLUSION_INLINE)), ok(last(tail, p.EQUATION_INLINE)), ok(display), ok(last(tail, p.ANSWER_LABEL)), F.when(t.has(context, p.CONCLUSION_WORD), ok(inline, 60)))
-    trimmed = F.regexp_replace(solution, r"(?Ud)[\s\x1c-\x1f]+\z", "")
-    return F.when(~t.has(solution, p.BOXED) & answer.isNotNull(), F.concat(trimmed, F.lit("\n\n\\boxed{"), answer, F.lit("}")))
+    answer = F.coalesce(ok(closed(p.CONCLUSION_INLINE)), ok(closed(p.EQUATION_INLINE)), ok(display), ok(last(tail, p.ANSWER_LABEL)), F.when(t.has(context, p.CONCLUSION_WORD), ok(inline, 60)))
+    return F.concat(t.strip_end(solution), F.lit("\n\n\\boxed{"), answer, F.lit("}"))  # null without an answer
 
 
 def _flags(*given: tuple[str, Column]) -> Column:

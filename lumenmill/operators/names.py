@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def fresh(rows: DataFrame, *stems: str) -> list[str]:
@@ -18,3 +19,10 @@ def without(rows: DataFrame, outputs: tuple[str, ...], used: tuple[str, ...] = (
     kept = {c.lower() for c in used}
     gone = {c.lower() for c in outputs} - kept
     return rows.drop(*(c for c in rows.columns if c.lower() in gone))
+
+
+def kept(rows: DataFrame, condition: Column | str) -> DataFrame:
+    """The rows that meet a condition on columns that long expressions make. A plain filter moves below the projection that makes them, and they are made twice; one that also reads a row's number stays above it."""
+    (at,) = fresh(rows, "at")
+    condition = F.expr(condition) if isinstance(condition, str) else condition
+    return rows.withColumn(at, F.monotonically_increasing_id()).filter(condition & (F.col(at) >= 0)).drop(at)
