@@ -1,7 +1,7 @@
 """Calls of a chat model from tasks: in batches of like lengths, several in flight, and written through (LLM1, LLM2, LLM11, TVF6).
 
 A model is a factory, called once in a task. What it gives is asked by ``reply(prompt, max_tokens, temperature) -> str``, or, if it has one,
-by ``reply_many(prompts, max_tokens, temperature)``, which returns a text or an exception for each prompt. A task sorts the prompts of an Arrow batch by length,
+by ``reply_many(prompts, max_tokens, temperature)``, which returns a text or an exception for each prompt. A task sorts up to ``ROWS`` prompts of an Arrow batch by length,
 parts them in batches of ``BATCH`` and keeps ``IN_FLIGHT`` calls open from as many threads, so a client must bear that many at once; replies come back in the order of the rows.
 A batch that fails as a whole is asked again in halves, down to the prompt that fails, so a failure belongs to its row alone.
 
@@ -28,6 +28,7 @@ from .names import fresh
 
 Model = Callable[[], Callable[[str, int, float], str]]
 BATCH, IN_FLIGHT = 32, 4
+ROWS = 1024  # prompts of an Arrow batch that are Python strings at once, where replies are not written through
 REPLY = "struct<text: string, error: string>"
 LOG = "key STRING, text STRING, error STRING"
 
@@ -161,6 +162,7 @@ def ask(rows: DataFrame, question: Column, out: str, model: Model | WriteThrough
     def replies(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         with Client(model, max_tokens, temperature, batch, in_flight) as client:
             for prompts in batches:
-                yield pd.DataFrame(client.replies(prompts.tolist()), columns=["text", "error"], dtype=object)
+                for lo in range(0, len(prompts), ROWS):
+                    yield pd.DataFrame(client.replies(prompts.iloc[lo : lo + ROWS].tolist()), columns=["text", "error"], dtype=object)
 
     return rows.withColumn(out, replies.asNondeterministic()(question))

@@ -113,7 +113,10 @@ def is_low_value(c: Column) -> Column:
 
 def is_concept(title: Column, c: Column) -> Column:
     """FLT15."""
-    low, head = F.lower(title), F.lower(F.substring(c, 1, 900))
+    return t.let(F.struct(F.lower(title).alias("low"), F.lower(F.substring(c, 1, 900)).alias("head")), lambda x: _is_concept(x["low"], x["head"]))  # made once, not for every word
+
+
+def _is_concept(low: Column, head: Column) -> Column:
     any_of = lambda col, words: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(col, w))
     question = low.endswith("?") & ~low.contains("how to") & ~low.contains("what is") & (F.length(low) > 40)
     solved = head.contains("## solution") & ~head.contains("objective") & ~head.contains("big idea")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from . import dedup, gates, inference, quality
 from .inference import Model, WriteThrough
+from .names import kept
 
 # Instructions to the model, by task; a caller may pass others of the same keys.
 PROMPTS = {
@@ -62,18 +63,23 @@ def classify_model(model: Model, text: str = "text", max_chars: int = 600) -> Ca
     return label
 
 
+def _asked(rows: DataFrame, *question, **how) -> DataFrame:
+    """:func:`ask`, written at once: the next question is made of what is in that table, so no step before it runs again and a task has one Python worker, not one for every question so far."""
+    return dedup.durable(ask(rows, *question, **how), "asked")
+
+
 def _answered(rows: DataFrame, task: str, model: Model, prompts: dict[str, str], **parts: Column) -> DataFrame:
     """LLM5-LLM7, LLM9: answer, box where it lacks one, flags, reasoning. Rows (question, source_unit) whose answer failed go."""
     q, unit = F.col("question"), F.col("source_unit")
-    rows = ask(rows, prompt(task, prompts, question=q, **parts), "_a", model, 600).filter("_a.error is null")
+    rows = _asked(rows, prompt(task, prompts, question=q, **parts), "_a", model, 600).filter("_a.error is null")
     rows = rows.withColumn("answer", t.clean_answer(F.col("_a.text"))).drop("_a")
     a, boxed = F.col("answer"), F.lit("\\boxed{")
     again = ~F.contains(a, boxed) & (F.length(a) > 60) & ~F.array_contains(gates.answer_flags(q, a), "question_copied")
-    rows = ask(rows, F.when(again, prompt("box", prompts, question=q, solution=a)), "_b", model, 700)
+    rows = _asked(rows, F.when(again, prompt("box", prompts, question=q, solution=a)), "_b", model, 700)
     rows = rows.withColumn("answer", F.when(F.contains("_b.text", boxed), t.clean_answer(F.col("_b.text"))).otherwise(a)).drop("_b")
     rows = rows.withColumn("_flags", gates.answer_flags(q, a))
     good = F.size("_flags") == 0
-    rows = ask(rows, F.when(good, prompt("reasoning", prompts, question=q, passage=unit)), "_t", model, 1500)
+    rows = _asked(rows, F.when(good, prompt("reasoning", prompts, question=q, passage=unit)), "_t", model, 1500)
     rows = rows.withColumn("_think", F.when(good, t.clean_reasoning(F.col("_t.text"))))
     rows = rows.withColumn("_think_flags", F.when(good, gates.reasoning_flags(F.col("_think"))))
     sound = F.coalesce(F.size("_think_flags") == 0, F.lit(False))
@@ -94,14 +100,14 @@ def units(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     """Route A before the model: source_id, title, source_unit (40 characters or more) and the explicit ``question``, '' where none is asked."""
     c = F.coalesce(F.col(text), F.lit(""))
     unit = F.coalesce(t.nullif_empty(t.problem_unit(c)), t.light_clean(F.substring(c, 1, 1400)))
-    rows = docs.select(F.col(id_col).cast("string").alias("source_id"), t.title(c).alias("title"), unit.alias("source_unit")).filter(F.length("source_unit") >= 40)
+    rows = kept(docs.select(F.col(id_col).cast("string").alias("source_id"), t.title(c).alias("title"), unit.alias("source_unit")), F.length("source_unit") >= 40)
     return rows.withColumn("question", t.explicit_question(F.col("source_unit"), F.col("title")))
 
 
 def route_a(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", prompts: dict[str, str] = PROMPTS) -> DataFrame:
     """LLM10: one row a document at most: its own question, or one that the model finds for its passage."""
     rows, q = units(docs, id_col, text), F.col("question")
-    rows = ask(rows, F.when(q == "", prompt("question", prompts, title=F.col("title"), passage=F.col("source_unit"))), "_q", model, 160, 0.1)
+    rows = _asked(rows, F.when(q == "", prompt("question", prompts, title=F.col("title"), passage=F.col("source_unit"))), "_q", model, 160, 0.1)
     found = t.clean_question(F.col("_q.text"), F.when(F.col("title").endswith("?"), F.col("title")).otherwise(""))
     rows = rows.filter("_q.error is null").withColumn("question", F.when(q == "", found).otherwise(q)).drop("_q")
     rows = rows.filter(~gates.question_rejected(q))
@@ -113,7 +119,7 @@ def excerpts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     c = F.coalesce(F.col(text), F.lit(""))
     unit = F.coalesce(t.nullif_empty(t.concept_excerpt(c)), t.light_clean(F.substring(c, 1, 900)))
     point = F.coalesce(t.nullif_empty(t.title(c)), F.lit("mathematical concept"))
-    return docs.select(F.col(id_col).cast("string").alias("source_id"), point.alias("knowledge_point"), unit.alias("source_unit")).filter(F.length("source_unit") >= 40)
+    return kept(docs.select(F.col(id_col).cast("string").alias("source_id"), point.alias("knowledge_point"), unit.alias("source_unit")), F.length("source_unit") >= 40)
 
 
 def stock_questions(point: Column) -> Column:
@@ -124,7 +130,7 @@ def stock_questions(point: Column) -> Column:
 def route_b(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", prompts: dict[str, str] = PROMPTS) -> DataFrame:
     """TVF6: up to two questions about a document's topic, each a row ``<id>::<hash of the question>``."""
     rows, point = excerpts(docs, id_col, text), F.col("knowledge_point")
-    rows = ask(rows, prompt("questions", prompts, topic=point, excerpt=F.col("source_unit")), "_q", model, 180, 0.2)
+    rows = _asked(rows, prompt("questions", prompts, topic=point, excerpt=F.col("source_unit")), "_q", model, 180, 0.2)
     asked = t.parse_questions(F.col("_q.text"))
     rows = rows.withColumn("_asked", asked).withColumn("question", F.explode(F.when(F.size("_asked") > 0, F.col("_asked")).otherwise(stock_questions(point)))).drop("_q", "_asked")
     rows = rows.withColumn("source_id", F.concat("source_id", F.lit("::"), t.short_hash(F.col("question"))))
@@ -145,5 +151,5 @@ def merged(rows: DataFrame, threshold_bp: int = 8200) -> DataFrame:
     rows = gates.keep_rows(rows).withColumn("_o", place).dropDuplicates(["_o"])
     rows = dedup.durable(rows)  # a model is asked once: what follows reads what it said
     keyed = rows.select("_o", t.normalise(q).alias("_k"), t.tokens(F.concat_ws(" ", q, t.last_boxed(a))).alias("_s"))
-    kept = dedup.dedup_questions(keyed, "_o", "_k", "_s", threshold_bp).select("_o")
-    return rows.join(kept, "_o", "left_semi").drop("_o")
+    stays = dedup.dedup_questions(keyed, "_o", "_k", "_s", threshold_bp).select("_o")
+    return rows.join(stays, "_o", "left_semi").drop("_o")
