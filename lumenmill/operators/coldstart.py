@@ -13,7 +13,12 @@ from .names import kept
 
 def gated_pairs(docs: DataFrame, text: str = "text", label: str = "label", relaxed: bool = False) -> DataFrame:
     """Every document: its pair where it has one, ``boxed_injected`` and ``gate`` (``no_extraction``, the first failure of L1-L6, or null)."""
-    pairs = gates.gated(extract.extract_pairs(docs, text, label, keep_skipped=True, cold_start=True), relaxed)
+    return gated(extract.extract_pairs(docs, text, label, keep_skipped=True, cold_start=True), relaxed)
+
+
+def gated(pairs: DataFrame, relaxed: bool = False) -> DataFrame:
+    """The same of extracted pairs, nulls where a document has none."""
+    pairs = gates.gated(pairs, relaxed)
     return pairs.withColumn("gate", F.when(F.col("strategy").isNull(), "no_extraction").otherwise(F.col("gate")))
 
 

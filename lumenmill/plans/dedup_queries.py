@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as p
 from ..functions import text as t
 from ..operators import coldstart, dedup, extract, gates, routes, sampling, split
-from .extract_queries import ALL_TURNS, SQL_PARTS, cold_docs, cold_rows, documents, turn_docs
+from .extract_queries import ALL_TURNS, SQL_PARTS, as_put_together, cold_docs, cold_rows, documents, turn_docs
 from .fixture import in_batches, mathdocs, reply_sql, scripted_model
 from .sql import M, any_of, has, last_boxed, light, lit, n, normal, query, question, rx, strip, title
 from .text_queries import EXCERPTS, GATE, UNITS, answer_flags, reasoning, reasoning_flags, reply_ctes, two_questions
@@ -120,7 +120,8 @@ def cas6_dd2_cold_start(spark, sf_dir):
 select cast(doc_id as varchar) as id, label as input, strategy, gate as filter_reason, left(problem, 80) as problem_preview, right(solution, 80) as solution_tail from g where gate is not null
 union all select cast(doc_id as varchar), label, 'SKIP', 'no_extraction', null, null from none""")
 def snk5_txt36_cold_start_rejects(spark, sf_dir):
-    return coldstart.rejects(coldstart.gated_pairs(cold_docs(spark, sf_dir), relaxed=True))
+    pairs = as_put_together(extract.extract_pairs(cold_docs(spark, sf_dir), keep_skipped=True, cold_start=True))
+    return coldstart.rejects(coldstart.gated(pairs, relaxed=True))
 
 
 def prompt_sql(task: str, **parts: str) -> str:
