@@ -1,7 +1,7 @@
 """The pattern catalogue, one place for every regular expression.
 
 ``P.java`` is the form for Spark (Unicode classes, new line alone ends a line), ``P.re`` the compiled Python form,
-``P.re2`` the form for an SQL engine with RE2."""
+``P.re2`` the form for an SQL engine with RE2, ``P.scan`` the form that :mod:`.counts` counts by."""
 
 from __future__ import annotations
 
@@ -14,6 +14,12 @@ from functools import cached_property
 class P:
     body: str
     flags: str = ""
+    #: The body for RE2 over ASCII where matches are counted: the next match is looked for in the rest alone, so a match that ends in a word takes the rest of it.
+    counted: str = ""
+
+    @property
+    def scan(self) -> str:
+        return f"(?{self.flags})" + self.counted
 
     @property
     def java(self) -> str:
@@ -37,6 +43,11 @@ NOISE = P(
     r"|\b(click here|read more|subscribe|sign up|log in|register)\b"
     r"|\b(views?|likes?|shares?|comments?|followers?)\s*:\s*\d+",
     "i",
+    r"\[INS:[^\]]*\]|\[DEL:[^\]]*\]"
+    r"|\b(?:cookie|advertisement|navbar|menu|sidebar|footer|header)\b"
+    r"|\d{1,2}:\d{2}[\t-\r ]*[ap]m(?:\w*[a-z_])?|\bhttps?://[^\t-\r ]+"
+    r"|\b(?:click here|read more|subscribe|sign up|log in|register)\b"
+    r"|\b(?:views?|likes?|shares?|comments?|followers?)[\t-\r ]*:[\t-\r ]*\d+(?:\w*[a-z_])?",
 )
 MATH = P(
     r"\$[^$]+\$|\$\$[\s\S]+?\$\$|\\[a-zA-Z]+"
@@ -44,6 +55,10 @@ MATH = P(
     r"calculate|compute|solve|simplify|evaluate|differentiate|integrate)\b"
     r"|\b\d+\s*[\+\-\*\/\^=]\s*\d+|\b(sin|cos|tan|log|ln|sqrt|lim|sum|prod)\b",
     "i",
+    r"\$[^$]+\$|\$\$[\s\S]+?\$\$|\\[a-z]+\w*"
+    r"|\b(?:equation|theorem|proof|lemma|corollary|formula|integral|derivative|matrix|vector|polynomial|function|variable|coefficient|"
+    r"calculate|compute|solve|simplify|evaluate|differentiate|integrate)\b"
+    r"|\b\d+[\t-\r ]*[\+\-\*\/\^=][\t-\r ]*\d+\w*|\b(?:sin|cos|tan|log|ln|sqrt|lim|sum|prod)\b",
 )
 HEADING = P(r"^(#{1,4})\s+(.+)$", "m")
 # Cleaning.

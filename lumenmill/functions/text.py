@@ -34,9 +34,14 @@ def sub(c: Column, p: P, to: str = "") -> Column:
     return F.regexp_replace(c, p.java, to)
 
 
-def density(c: Column, p: P, per: int) -> Column:
-    """Matches per ``per`` characters; 0 for an empty text (FLT1, FLT2)."""
-    return F.when(F.length(c) > 0, F.regexp_count(c, F.lit(p.java)) / (F.length(c) / F.lit(float(per)))).otherwise(F.lit(0.0))
+def per(n: Column, c: Column, chars: int) -> Column:
+    """A number of matches in ``c`` per so many characters; 0 for an empty text."""
+    return F.when(F.length(c) > 0, n / (F.length(c) / F.lit(float(chars)))).otherwise(F.lit(0.0))
+
+
+def density(c: Column, p: P, chars: int) -> Column:
+    """Matches per ``chars`` characters; 0 for an empty text (FLT1, FLT2)."""
+    return per(F.regexp_count(c, F.lit(p.java)), c, chars)
 
 
 def let(x: Column, f) -> Column:

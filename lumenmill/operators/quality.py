@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions import text as t
+from ..functions.counts import counts
+from .names import fresh
 
 
 REASONS = ("too_short", "low_nemo", "noise_dense", "low_math")  # the kinds of reason that the cascade gives
@@ -15,14 +17,17 @@ REASONS = ("too_short", "low_nemo", "noise_dense", "low_math")  # the kinds of r
 def quality_cascade(docs: DataFrame, text: str = "text", score: str = "score", min_len: int = 800, max_len: int = 50_000, min_score: float = 1.5, max_noise: float = 0.15, min_math: float = 0.5) -> DataFrame:
     """FLT1-FLT4: adds ``label`` (normal, long, discard) and ``reason``; tests run cheapest first and the first failure decides. A null text is empty, a null score 0."""
     c, s = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(score).cast("double"), F.lit(0.0))
-    noise, math = t.density(c, p.NOISE, 100), t.density(c, p.MATH, 500)
+    (n,) = fresh(docs, "counts")
+    enough = (F.length(c) >= min_len) & (s >= min_score)
+    docs = docs.withColumn(n, counts(F.when(enough, c), noise=p.NOISE, math=p.MATH))
+    noise, math = t.per(F.col(n)["noise"], c, 100), t.per(F.col(n)["math"], c, 500)
     reason = (
         F.when(F.length(c) < min_len, F.format_string("too_short(%d)", F.length(c)))
         .when(s < min_score, F.format_string("low_nemo(%.2f)", s))
         .when(noise > max_noise, F.format_string("noise_dense(%.3f)", noise))
         .when(math < min_math, F.format_string("low_math(%.3f)", math))
     )
-    return docs.withColumn("reason", reason).withColumn("label", F.when(F.col("reason").isNotNull(), "discard").when(F.length(c) > max_len, "long").otherwise("normal"))
+    return docs.withColumn("reason", reason).drop(n).withColumn("label", F.when(F.col("reason").isNotNull(), "discard").when(F.length(c) > max_len, "long").otherwise("normal"))
 
 
 def reason_kind(c: Column) -> Column:

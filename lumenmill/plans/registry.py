@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions import text as t
+from ..functions.counts import counts
 from ..operators import coldstart, dedup, extract, gates, quality, routes, sampling, split
 from . import dedup_queries, extract_queries, file_queries, more_queries, text_queries  # noqa: F401 - register their queries
 from .fixture import mathdocs, scored, scripted_model
@@ -33,7 +34,7 @@ def agg2_reason_histogram(spark, sf_dir):
 
 @query(f"{M} select doc_id, {n('text', p.NOISE)} as noise, {n('text', p.MATH)} as math from m")
 def flt1_flt2_density_counts(spark, sf_dir):
-    return mathdocs(spark, sf_dir).select("doc_id", t.count(F.col("text"), p.NOISE).alias("noise"), t.count(F.col("text"), p.MATH).alias("math"))
+    return mathdocs(spark, sf_dir).select("doc_id", counts(F.col("text"), noise=p.NOISE, math=p.MATH).alias("n")).select("doc_id", "n.noise", "n.math")
 
 
 def rule(name):
