@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions import text as t
+from ..functions.counts import counts, counts_each
 from .names import fresh, without
 
 _MARK = "\u0001"
@@ -53,28 +54,30 @@ def _chunks(c: Column, min_chunk: int, target: int, max_chunk: int) -> Column:
     return F.flatten(F.transform(pieces, lambda x: force_split(x, target, max_chunk)))
 
 
-def _kept(chunk: Column, min_chunk: int, min_math: float) -> Column:
-    return (F.length(chunk) >= min_chunk) & (t.density(chunk, p.MATH, 500) >= min_math)
-
-
 def split_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_chunk: int = 800, target: int = 8000, max_chunk: int = 15_000, min_math: float = 0.3) -> DataFrame:
     """TVF4: chunks with ``chunk_index`` and ``chunk_total`` (both before the drop of short or plain chunks), ``chunk_chars``, ``source_doc_id`` and a chunk id, in place of columns of those names. Null and empty texts give none."""
     pieces, piece, of = fresh(docs, "chunks", "chunk", "of")
     rows = without(docs.withColumn(of, F.col(id_col)), ("chunk_index", "chunk_total", "chunk_chars", "source_doc_id", "chunk_id"), (id_col, text)).withColumn(pieces, _chunks(F.col(text), min_chunk, target, max_chunk))
-    rows = rows.select("*", F.size(pieces).cast("long").alias("chunk_total"), F.posexplode(pieces).alias("chunk_index", piece)).drop(pieces)
-    rows = rows.withColumn(text, F.col(piece)).drop(piece).withColumn("chunk_chars", F.length(text).cast("long"))
-    rows = rows.filter(_kept(F.col(text), min_chunk, min_math))
+    rows = rows.withColumn("chunk_total", F.size(pieces).cast("long"))  # before a row for each chunk is made, which would carry all chunks for this
+    names = [c for c in rows.columns if c != pieces]
+    rows = rows.select(*(c for c in names if c.lower() != text.lower()), F.posexplode(pieces).alias("chunk_index", piece))
+    rows = rows.select(*(F.col(piece).alias(text) if c.lower() == text.lower() else c for c in names), "chunk_index").withColumn("chunk_chars", F.length(text).cast("long"))
+    (n,) = fresh(rows, "counts")
+    rows = rows.filter(F.length(text) >= min_chunk).withColumn(n, counts(F.col(text), math=p.MATH))
+    rows = rows.filter(t.per(F.col(n)["math"], F.col(text), 500) >= min_math).drop(n)
     return rows.withColumn("source_doc_id", F.col(of)).withColumn("chunk_id", t.chunk_id(F.col(of), F.col("chunk_index"))).drop(of)
 
 
 def chunk_stats(docs: DataFrame, text: str = "text", min_chunk: int = 800, target: int = 8000, max_chunk: int = 15_000, min_math: float = 0.3) -> DataFrame:
     """AGG7 of the chunks that :func:`split_documents` gives: their number, documents without one, mean by integer division, and the lengths at the sorted places
     n // 10, n // 2, int(n * 0.9); nulls without a chunk. One lazy aggregate: rows are counted by length before anything is ordered."""
-    lengths = F.transform(F.filter(_chunks(F.col(text), min_chunk, target, max_chunk), lambda x: _kept(x, min_chunk, min_math)), F.length)
-    counts = docs.select(F.explode_outer(lengths).alias("len")).groupBy("len").agg(F.count("*").alias("n"))  # a null length: a document without a chunk
+    pieces = docs.select(F.filter(_chunks(F.col(text), min_chunk, target, max_chunk), lambda x: F.length(x) >= min_chunk).alias("pieces"))
+    found = pieces.select(F.transform("pieces", F.length).alias("sizes"), counts_each(F.col("pieces"), p.MATH).alias("math"))
+    sizes = F.zip_with("sizes", "math", lambda x, n: F.when(n / (x / 500.0) >= min_math, x))
+    of_length = found.select(F.explode_outer(F.array_compact(sizes)).alias("len")).groupBy("len").agg(F.count("*").alias("n"))  # a null length: a document without a chunk
     own = F.when(F.col("len").isNotNull(), F.col("n")).otherwise(0)
     ordered = Window.orderBy("len").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a row for each length
-    placed = counts.withColumn("own", own).withColumn("to", F.sum("own").over(ordered)).withColumn("total", F.sum("own").over(Window.partitionBy(F.lit(0))))
+    placed = of_length.withColumn("own", own).withColumn("to", F.sum("own").over(ordered)).withColumn("total", F.sum("own").over(Window.partitionBy(F.lit(0))))
     at = lambda place: F.max(F.when((F.col("to") - F.col("own") <= place) & (place < F.col("to")), F.col("len"))).cast("long")
     total = F.col("total")
     return placed.agg(
