@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as p
 from ..functions import text as t
-from ..operators import gates, quality, routes
+from ..operators import dedup, gates, quality, routes
 from .fixture import mathdocs
 from .sql import M, any_of, compress, flags, has, last_boxed, light, lit, n, normal, query, question, rx, strip, title
 from .sql import lines as lines_sql
@@ -131,7 +131,7 @@ def txt37_txt38_sets(spark, sf_dir):
 @query(f"""{M}, s as (select doc_id, string_split({normal("text")}, ' ') as a from m), r as (select x.doc_id, list_distinct(x.a) as a, list_distinct(y.a) as b from s x join s y on y.doc_id = x.doc_id + 1)
 select doc_id, case when a = [''] and b = [''] then 0.0 else len(list_intersect(list_filter(a, lambda x: x <> ''), list_filter(b, lambda x: x <> ''))) / cast(greatest(1, len(list_distinct(list_concat(list_filter(a, lambda x: x <> ''), list_filter(b, lambda x: x <> ''))))) as double) end as jaccard from r""")
 def txt39_jaccard_of_neighbours(spark, sf_dir):
-    own = mathdocs(spark, sf_dir).select("doc_id", t.tokens(F.col("text")).alias("a"))
+    own = dedup.durable(mathdocs(spark, sf_dir).select("doc_id", t.tokens(F.col("text")).alias("a")), "tokens")  # made once for both sides
     return own.join(own.select((F.col("doc_id") - 1).alias("doc_id"), F.col("a").alias("b")), "doc_id").select("doc_id", t.jaccard(F.col("a"), F.col("b")).alias("jaccard"))
 
 
