@@ -11,6 +11,7 @@ from .patterns import ANSWER_LIKE, BOXED_PLAIN, CONCEPT_MARK, EXCESS_BLANK, EXPL
 
 # What ``(?U)[\s\x1c-\x1f]`` matches, character by character: a trim looks at both ends alone, where a pattern would try every place of a text.
 WHITE = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+BLANK = WHITE.translate(dict.fromkeys(range(0x1C, 0x20)))  # what ``(?U)\s`` matches
 
 
 def strip(c: Column) -> Column:
@@ -198,9 +199,16 @@ def rescue_boxed(c: Column) -> Column:
     return let(strip(c), lambda text: let(split(text), lambda lines: _rescued(text, lines)))
 
 
+def _displayed(text: Column) -> Column:
+    """What stands between the first ``$$`` of a text and the ``$$`` that ends it, after which a full stop may stand; null if none does. The pattern of this form reads the rest of a text from every ``$$``."""
+    stopped = F.when(text.endswith(".") | text.endswith("。"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    between = lambda x: F.when(x.endswith("$$"), F.substring(x, F.instr(x, "$$") + 2, F.length(x) - F.instr(x, "$$") - 3))
+    return let(F.when(F.contains(text, F.lit("$$")), F.rtrim(stopped, F.lit(BLANK))), between)
+
+
 def _rescued(text: Column, lines: Column) -> Column:
     tail = F.when(F.size(lines) > 6, F.slice(lines, -6, 6)).otherwise(lines)
-    places = {"text": text, "lines": F.array_join(tail, " "), "last": F.coalesce(F.try_element_at(lines, F.lit(-1)), F.lit(""))}
+    places = {"lines": F.array_join(tail, " "), "last": F.coalesce(F.try_element_at(lines, F.lit(-1)), F.lit(""))}
 
     def sure(least: int, most: int, v: Column) -> Column:
         free = ~v.startswith("=") & ~F.contains(v, F.lit("\\begin{array}")) & ~F.contains(v, F.lit("\\begin{align"))
@@ -208,8 +216,8 @@ def _rescued(text: Column, lines: Column) -> Column:
 
     found = []
     for q, place, trim, least, most in RESCUE:
-        v = F.regexp_extract(places[place], q.java, 1)
-        v = strip(F.regexp_replace(v, r"(?U)\s+", " ") if place == "text" else v)
+        v = F.regexp_replace(_displayed(text), r"(?U)\s+", " ") if place == "text" else F.regexp_extract(places[place], q.java, 1)
+        v = strip(v)
         v = F.regexp_replace(v, f"[{trim}]+\\z", "") if trim else v
         found.append(let(v, partial(sure, least, most)))
     return F.coalesce(*found, F.lit(""))
