@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,15 +55,21 @@ def nullif_empty(c: Column) -> Column:
     return let(c, lambda x: F.when(x != "", x))
 
 
+def where(c: Column, marks: tuple[str, ...], f) -> Column:
+    """``f`` of a text that has one of ``marks``, without which ``f`` changes nothing: looking for them costs less than a pattern that is tried at every place."""
+    return let(c, lambda x: F.when(reduce(or_, (F.contains(x, F.lit(m)) for m in marks)), f(x)).otherwise(x))
+
+
 def compress_blank(c: Column) -> Column:
-    return sub(c, EXCESS_BLANK, "\n\n")
+    return where(c, ("\n\n\n",), lambda x: sub(x, EXCESS_BLANK, "\n\n"))
 
 
 def light_clean(c: Column) -> Column:
     """TXT13."""
     c = F.replace(F.coalesce(c, F.lit("")), F.lit("\r"), F.lit("\n"))
-    c = F.regexp_replace(c, r"(?Ud)https?://\S+", " ")
-    return strip(compress_blank(F.regexp_replace(c, r" [ \t]+|\t[ \t]*", " ")))  # a lone blank stays as it is
+    c = where(c, ("://",), lambda x: F.regexp_replace(x, r"(?Ud)https?://\S+", " "))
+    c = where(c, ("  ", "\t"), lambda x: F.regexp_replace(x, r" [ \t]+|\t[ \t]*", " "))  # a lone blank stays as it is
+    return strip(compress_blank(c))
 
 
 def title(c: Column) -> Column:
@@ -174,10 +181,12 @@ def concept_excerpt(c: Column, most: int = 900) -> Column:
 
 
 def _excerpt(blocks: Column, most: int) -> Column:
-    marked = F.filter(blocks, lambda x: let(F.lower(x), lambda low: F.exists(F.array(*map(F.lit, CONCEPT_MARK)), lambda w: F.contains(low, w))))
-    grow = lambda acc, x: F.when(F.length(acc) >= most, acc).otherwise(F.concat(acc, F.when(acc == "", "").otherwise("\n\n"), x))
-    kept = F.aggregate(marked, F.lit(""), grow)
-    return F.substring(light_clean(F.coalesce(nullif_empty(kept), F.array_join(F.slice(blocks, 1, 3), "\n\n"))), 1, most)
+    """Blocks of a cleaned text joined as they stand are clean. A block is looked through only while fewer than ``most`` characters are found, and its length is taken once."""
+    marked = lambda x: let(F.lower(x), lambda low: F.exists(F.array(*map(F.lit, CONCEPT_MARK)), lambda w: F.contains(low, w)))
+    found = lambda got, x: F.struct(F.concat(got["kept"], F.array(x)).alias("kept"), (got["n"] + F.length(x) + F.when(got["n"] > 0, 2).otherwise(0)).alias("n"))
+    grow = lambda got, x: F.when(got["n"] >= most, got).otherwise(F.when(marked(x), found(got, x)).otherwise(got))
+    kept = F.aggregate(blocks, F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("n")), grow, lambda got: got["kept"])
+    return let(kept, lambda k: F.substring(F.array_join(F.when(F.size(k) > 0, k).otherwise(F.slice(blocks, 1, 3)), "\n\n"), 1, most))
 
 
 def without_thinking(c: Column) -> Column:
